@@ -36,9 +36,15 @@ def rename_positions(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.toDF(*names)
 
 
+_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def number(text: Column) -> Column:
-    """The number written in a cell, NULL when it holds something else."""
-    return text.try_cast("double")
+    """The number written in a cell, NULL when it holds something else.
+
+    The pattern keeps out spellings a cast would accept, such as ``12D`` or ``nan``.
+    """
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
 def is_number(text: Column) -> Column:
