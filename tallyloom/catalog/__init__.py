@@ -1,0 +1 @@
+from tallyloom.catalog import columns, relational  # noqa: F401

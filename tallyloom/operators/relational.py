@@ -119,14 +119,16 @@ def classify(
     return df.withColumn(into, F.explode(classes))
 
 
-def number_rows(df: DataFrame, order: Sequence[str], into: str, start: int = 0) -> DataFrame:
-    """Consecutive numbers in the order of ``order``, then of all other columns.
+def number_rows(
+    df: DataFrame, order: Sequence[str], into: str, start: int = 0, unique: bool = False
+) -> DataFrame:
+    """Consecutive numbers in the order of ``order``, then of all other columns unless it is ``unique``.
 
     Rows are range-partitioned and sorted, written once, and numbered by the position inside their
     range plus the size of the ranges before it. No task sees more than one range, and the numbers
     do not depend on where the range borders fall.
     """
-    rest = [c for c in df.columns if c not in order]
+    rest = [] if unique else [c for c in df.columns if c not in order]
     ordered = df.repartitionByRange(*order, *rest).sortWithinPartitions(*order, *rest)
     placed = materialize(ordered.withColumn("_place", F.monotonically_increasing_id()), "numbered")
     split = placed.select(

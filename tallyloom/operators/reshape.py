@@ -37,21 +37,26 @@ def explode_parallel(
     return df.select(*keep, F.inline(items))
 
 
+def _quoted(columns: Sequence[str]) -> list[str]:
+    return [f"`{c}`" for c in columns]
+
+
 def unpivot_present(df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str, value: str) -> DataFrame:
     """Listed columns to rows; missing values are left out."""
-    return df.unpivot(list(ids), list(columns), name, value).where(F.col(value).isNotNull())
+    long = df.unpivot(_quoted(ids), _quoted(columns), name, value)
+    return long.where(F.col(f"`{value}`").isNotNull())
 
 
 def unpivot_rest(df: DataFrame, ids: Sequence[str], name: str = "Test", value: str = "value") -> DataFrame:
     """All columns other than ``ids`` to rows as text; missing values are kept."""
     rest = [c for c in df.columns if c not in ids]
-    as_text = df.select(*[F.col(f"`{c}`") for c in ids], *[F.col(f"`{c}`").cast("string").alias(c) for c in rest])
-    return as_text.unpivot(list(ids), rest, name, value)
+    as_text = df.select(*_quoted(ids), *[F.col(c).cast("string").alias(c.strip("`")) for c in _quoted(rest)])
+    return as_text.unpivot(_quoted(ids), _quoted(rest), name, value)
 
 
 def split_wide(
     df: DataFrame, key: str, dimension: Sequence[str], name: str = "Test", value: str = "value"
 ) -> tuple[DataFrame, DataFrame]:
     """A wide sheet as a dimension (key and descriptive columns) and long results (key, name, value)."""
-    facts = df.drop(*[c for c in dimension if c != key])
-    return df.select(key, *[c for c in dimension if c != key]), unpivot_rest(facts, [key], name, value)
+    described = [c for c in dimension if c != key]
+    return df.select(*_quoted([key, *described])), unpivot_rest(df.drop(*described), [key], name, value)

@@ -51,7 +51,7 @@ def labelled(block: DataFrame, fiscal_year: str) -> DataFrame:
 
 def projects(block: DataFrame, fiscal_year: str) -> DataFrame:
     """Labelled rows numbered in sheet order. Stored once, so all later writes share the ids."""
-    return number_rows(labelled(block, fiscal_year), ["file", "row"], "PROJECT_ID").drop("file", "row")
+    return number_rows(labelled(block, fiscal_year), ["file", "row"], "PROJECT_ID", unique=True).drop("file", "row")
 
 
 def documentation_counts(block: DataFrame) -> DataFrame:
