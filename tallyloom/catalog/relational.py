@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from tallyloom.catalog.registry import query, table
 from tallyloom.functions.text import suffix_from
 from tallyloom.operators import relational as ops
-from tallyloom.sources.files import head_as_pandas  # noqa: F401  (documented entry point)
+from tallyloom.sources.files import literal_rows
+from tallyloom.sources.schemas import INT, TEXT, record
 
 LINE = "l_orderkey, l_linenumber"
 LINE_ALL = (
@@ -28,7 +29,7 @@ NAME_SECTORS = [(1, "RING"), (2, "RED")]
     """
 )
 def sector_summary(spark, sf):
-    sectors = spark.createDataFrame([(1, "CFS"), (2, "LMS"), (3, "TBD")], "sector_id int, sector_lbl string")
+    sectors = literal_rows(spark, [(1, "CFS"), (2, "LMS"), (3, "TBD")], record(sector_id=INT, sector_lbl=TEXT))
     assigned = ops.classify(table(spark, sf, "part"), "p_name", NAME_SECTORS, 3, "sector_id")
     counts = assigned.groupBy("sector_id").agg(F.count(F.lit(1)).alias("part_cnt"))
     return counts.join(sectors, "sector_id").select("sector_id", "sector_lbl", "part_cnt")

@@ -130,8 +130,12 @@ def jdbc_options(url: str, table: str, split: tuple[str, int, int, int] | None =
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: StructType) -> DataFrame:
-    """A small table written out in code."""
-    return spark.createDataFrame(list(rows), schema)
+    """A small table written out in code, as constants the optimiser can size and fold."""
+    structs = [
+        F.struct(*[F.lit(value).cast(field.dataType).alias(field.name) for value, field in zip(row, schema.fields)])
+        for row in rows
+    ]
+    return spark.sql("SELECT 1").select(F.inline(F.array(*structs)))
 
 
 def from_pandas(spark: SparkSession, frame: pd.DataFrame, schema: StructType | str) -> DataFrame:
