@@ -8,6 +8,7 @@ from tallyloom.operators.flagging import Cell, all_of, any_of, clause
 from tallyloom.operators.relational import lookup_set
 from tallyloom.operators.splits import find_splits, splits_summary
 from tallyloom.plans import spend_audit as plan
+from tallyloom.sources.files import parse_once
 
 LIMIT = 400.0
 CATEGORIES = ["9399", "7011", "4111", "7513", "7932", "5411", "5812", None]
@@ -28,10 +29,10 @@ def _sql_pick(values, position):
 
 def events_master(spark, sf):
     """Transactions: one per event. Some merchants, totals and dates are missing on purpose."""
-    k = F.from_json("props", "k int")["k"]
+    k = F.col("k")
     return (
         table(spark, sf, "events")
-        .withColumn("k", k)
+        .withColumn("k", parse_once(F.get_json_object("props", "$.k").cast("int")))
         .select(
             F.col("event_id").alias("row_index"),
             F.concat(F.lit("CH"), "user_id").alias("cardholder"),

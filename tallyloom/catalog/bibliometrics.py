@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tallyloom.catalog.registry import query, table
 from tallyloom.operators.quality import profile_nested
 from tallyloom.plans import bibliometrics as plan
+from tallyloom.session import spread
 from tallyloom.sources import schemas
 from tallyloom.sources.files import literal_rows, parse_json_lines
 
@@ -75,7 +76,7 @@ def publication_lines(spark, sf):
     entries = F.when(F.col("l_partkey") % 7 != 0, F.array(entry)).otherwise(F.slice(F.array(entry), 1, 0))
     terms = _nested([("@searchTerms", F.concat(F.lit("AF-ID(600"), F.lpad(F.col("l_suppkey").cast("string"), 5, "0"), F.lit(")")))])
     page = _nested([("search-results", _nested([("opensearch:Query", terms), ("entry", entries)]))])
-    return table(spark, sf, "lineitem").select(F.to_json(page).alias("value"), line.alias("line"))
+    return spread(table(spark, sf, "lineitem")).select(F.to_json(page).alias("value"), line.alias("line"))
 
 
 def citation_lines(spark, sf):
@@ -91,7 +92,7 @@ def citation_lines(spark, sf):
             ("citeColumnTotalXML", _nested([("citeCountHeader", header)])),
         ]
     )
-    return table(spark, sf, "orders").select(F.to_json(_nested([("abstract-citations-response", body)])).alias("value"))
+    return spread(table(spark, sf, "orders")).select(F.to_json(_nested([("abstract-citations-response", body)])).alias("value"))
 
 
 def metric_lines(spark, sf):
@@ -112,7 +113,7 @@ def metric_lines(spark, sf):
         _nested([("name", F.lit("capture")), ("count_types", F.array(readers))]),
     )
     document = _nested([("id_value", F.col("o_orderkey").cast("string")), ("count_categories", categories)])
-    return table(spark, sf, "orders").select(F.to_json(document).alias("value"))
+    return spread(table(spark, sf, "orders")).select(F.to_json(document).alias("value"))
 
 
 def affiliation_pages(spark, sf):

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.catalog.registry import query, table
 from tallyloom.plans import labour, samples, tracker
+from tallyloom.session import spread
 from tallyloom.sources.files import parse_block, stack_sheets
 from tallyloom.sources.schemas import TRACKER_INDICATORS
 
@@ -40,7 +41,7 @@ def tracker_sheets(spark, sf):
     heading = F.lit("Tracker\n\n\"Projects, all\nregions\",,\nName,Value")
     content = F.concat_ws("\n", heading, plain, F.lit("," * 32), quoted)
     name = F.concat(F.lit("sheet-"), F.lpad(order.cast("string"), 12, "0"))
-    return table(spark, sf, "orders").select(name.alias("file"), content.alias("value"))
+    return spread(table(spark, sf, "orders")).select(name.alias("file"), content.alias("value"))
 
 
 def tracker_block(spark, sf):

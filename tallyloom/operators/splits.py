@@ -112,8 +112,14 @@ def _with_sessions(purchases: DataFrame, max_days: int) -> DataFrame:
 
 
 def _fold_sessions(purchases: DataFrame, max_days: int, similarity: int) -> DataFrame:
-    """Groups of sessions whose size is bounded: one array per session."""
-    arrays = purchases.groupBy("holder", "session").agg(_ordered("n", "amount").alias("rows"))
+    """Groups of sessions whose size is bounded: one array per session.
+
+    The partition count is given so that adaptive execution does not merge these small but
+    computation-heavy partitions; the aggregate then needs no shuffle of its own.
+    """
+    parts = int(purchases.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread_out = purchases.repartition(parts, "holder", "session")
+    arrays = spread_out.groupBy("holder", "session").agg(_ordered("n", "amount").alias("rows"))
     folded = arrays.withColumn("homes", _fold(F.col("rows"), max_days, similarity)["homes"])
     pairs = F.arrays_zip("rows", "homes")
     return folded.select("holder", F.explode(pairs).alias("pair")).select(
@@ -181,13 +187,15 @@ def find_splits(
         micros(F.col(date)).alias("at"),
         F.col(total).cast(_MONEY).alias("amount"),
     )
-    staged = materialize(_with_sessions(_purchases(rows), max_days), "purchases")
+    purchases = materialize(_purchases(rows), "purchases")
+    staged = materialize(_with_sessions(purchases, max_days), "sessions")
     alone = staged.where("size = 1").select("holder", "pos", "shop", "at", "n", "amount", F.col("pos").alias("home"))
     short = staged.where(F.col("size").between(2, fold_limit))
     grouped = alone.unionByName(_fold_sessions(short, max_days, similarity))
     long = staged.where(F.col("size") > fold_limit)
     if not long.isEmpty():
         grouped = grouped.unionByName(_peel_sessions(long, max_days, similarity, batch))
+    grouped = materialize(grouped, "groups")
 
     groups = grouped.groupBy("holder", "home").agg(
         F.sum("n").alias("split_rows"), F.sum("amount").cast("double").alias("split_total")

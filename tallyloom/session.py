@@ -48,6 +48,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for heavy per-row work when the input comes in fewer splits than there are cores.
+
+    Large inputs have more splits than that and are left as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def filesystem(spark: SparkSession, path: str):
     """The Hadoop file system that serves ``path`` and the path object for it."""
     jvm = spark._jvm

@@ -31,6 +31,15 @@ def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumn("filename", F.col("_metadata.file_path"))
 
 
+def parse_once(parsed: Column) -> Column:
+    """A parsed value that later filters and projections share instead of parsing again.
+
+    The optimiser moves filters below a projection by copying its expressions, which would repeat
+    the parser for every predicate. It does not move them below a generator.
+    """
+    return F.explode(F.array(parsed))
+
+
 def parse_json_lines(lines: DataFrame, schema: StructType, value: str = "value", into: str = "page") -> DataFrame:
     """Parse one JSON document per line. A line that is no document gets a NULL ``into``.
 
@@ -38,7 +47,7 @@ def parse_json_lines(lines: DataFrame, schema: StructType, value: str = "value",
     """
     marked = StructType([*schema.fields, StructField("_malformed", StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}
-    parsed = lines.withColumn("_parsed", F.from_json(value, marked, options))
+    parsed = lines.withColumn("_parsed", parse_once(F.from_json(value, marked, options)))
     fields = F.struct(*[F.col("_parsed")[f.name].alias(f.name) for f in schema.fields])
     whole = F.col("_parsed").isNotNull() & F.col("_parsed._malformed").isNull()
     return parsed.withColumn(into, F.when(whole, fields)).drop("_parsed")
@@ -77,7 +86,7 @@ def read_block(
 
     A file is read as one text, which suits sheets: their size is bounded by the sheet format.
     """
-    sheets = spark.read.option("wholetext", True).text(path).withColumn("file", F.col("_metadata.file_path"))
+    sheets = spark.read.text(path, wholetext=True).withColumn("file", F.col("_metadata.file_path"))
     return parse_block(sheets, columns, first_row, first_column)
 
 
@@ -101,7 +110,7 @@ def parse_block(
     parsed = lines.where(F.col("at") >= first_row - 1).select(
         "file",
         (F.col("at") + 1).alias("row"),
-        F.from_csv("line", cells, {"multiLine": "true", "escape": '"'}).alias("cells"),
+        parse_once(F.from_csv("line", cells, {"multiLine": "true", "escape": '"'})).alias("cells"),
     )
     chosen = parsed.select("file", "row", *[f"cells._c{i}" for i in range(first_column - 1, width)])
     return drop_empty(rename_positions(chosen, ["file", "row", *columns]), columns)
