@@ -248,7 +248,7 @@ def split_members(spark, sf):
 )
 def split_groups(spark, sf):
     """Short sessions folded and long ones peeled: the limit is set low, so both run."""
-    return splits_summary(find_splits(events_master(spark, sf), LIMIT, fold_limit=64, batch=32))
+    return splits_summary(find_splits(events_master(spark, sf), LIMIT, fold_limit=64, batch=200))
 
 
 @query(

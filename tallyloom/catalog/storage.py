@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyloom.catalog import bibliometrics, jobs
 from tallyloom.catalog.registry import query, table
 from tallyloom.operators.quality import has_size, is_complete, is_unique, run_checks
+from tallyloom.plans import bibliometrics as plan
 from tallyloom.plans import samples
 from tallyloom.session import scratch_path
 from tallyloom.sinks import snapshots, tables
@@ -184,3 +185,130 @@ def table_as_select(spark, sf):
     tables.append(more, path)
     spark.catalog.refreshTable(name)
     return files.read_table(spark, name)
+
+
+def _checks_sql():
+    """Expected rows of the bibliometric checks."""
+
+    def row(name, constraint, source, bad):
+        return (
+            f"SELECT '{name}' AS \"table\", '{constraint}' AS \"constraint\", count(*) AS n_rows, {bad} AS n_bad FROM {source}"
+        )
+
+    def missing(column, parent):
+        return f"count(*) FILTER (WHERE {column} NOT IN (SELECT {column} FROM {parent}))"
+
+    size, none = "CAST(count(*) = 0 AS BIGINT)", "CAST(0 AS BIGINT)"
+    author_bridge = "(SELECT DISTINCT AUTHOR_ID, DOCUMENT_ID FROM au)"
+    affiliation_bridge = "(SELECT DISTINCT DOCUMENT_ID, AFFILIATION_ID FROM en)"
+    publication, author = "(SELECT DISTINCT DOCUMENT_ID FROM en)", "(SELECT DISTINCT AUTHOR_ID FROM au)"
+    metric = "(SELECT DISTINCT DOCUMENT_ID, CATEGORY_LBL, SUB_CATEGORY_LBL FROM fl)"
+    source = "(SELECT DISTINCT DOCUMENT_ID, CITATION_SOURCE_LBL FROM fl WHERE CATEGORY_LBL = 'citation' AND CITATION_SOURCE_LBL IS NOT NULL)"
+    document = "Reference(DOCUMENT_ID -> PUBLICATION)"
+    rows = []
+    for name, table_sql, checks in [
+        ("AFFILIATION", "aff", [("Completeness(AFFILIATION_ID)", none), ("Completeness(ELECTRONIC_ID)", none), ("Uniqueness(AFFILIATION_ID)", none)]),
+        ("PUBLICATION", publication, [("Completeness(DOCUMENT_ID)", none), ("Uniqueness(DOCUMENT_ID)", none)]),
+        (
+            "AFFILIATION_PUBLICATION",
+            affiliation_bridge,
+            [
+                ("Completeness(DOCUMENT_ID)", none),
+                (document, none),
+                ("Completeness(AFFILIATION_ID)", none),
+                (
+                    "Reference(AFFILIATION_ID -> AFFILIATION)",
+                    "count(*) FILTER (WHERE CAST(AFFILIATION_ID AS BIGINT) NOT IN (SELECT AFFILIATION_ID FROM aff))",
+                ),
+            ],
+        ),
+        ("AUTHOR", author, [("Completeness(AUTHOR_ID)", none), ("Uniqueness(AUTHOR_ID)", none)]),
+        (
+            "AUTHOR_PUBLICATION",
+            author_bridge,
+            [
+                ("Completeness(DOCUMENT_ID)", none),
+                (document, none),
+                ("Completeness(AUTHOR_ID)", none),
+                ("Reference(AUTHOR_ID -> AUTHOR)", none),
+            ],
+        ),
+        (
+            "CITATION_COUNT_BY_YEAR",
+            "ci",
+            [("Completeness(DOCUMENT_ID)", none), (document, missing("DOCUMENT_ID", "en")), ("Uniqueness(DOCUMENT_ID,YEAR_LBL)", none)],
+        ),
+        (
+            "IMPACT_METRIC",
+            metric,
+            [("Completeness(DOCUMENT_ID)", none), (document, missing("DOCUMENT_ID", "en")), ("Uniqueness(DOCUMENT_ID,SUB_CATEGORY_LBL)", none)],
+        ),
+        (
+            "IMPACT_CITATION_SOURCE",
+            source,
+            [("Completeness(DOCUMENT_ID)", none), (document, missing("DOCUMENT_ID", "en")), ("Uniqueness(DOCUMENT_ID,CITATION_SOURCE_LBL)", none)],
+        ),
+        ("affiliations", "aff", [("Completeness(page)", none)]),
+        ("publications", "lineitem", [("Completeness(page)", none)]),
+        ("citations", "orders", [("Completeness(page)", none)]),
+        ("metrics", "orders", [("Completeness(page)", none)]),
+    ]:
+        rows.append(row(name, "Size", table_sql, size))
+        rows += [row(name, constraint, table_sql, bad) for constraint, bad in checks]
+    return " UNION ALL ".join(rows)
+
+
+def _landed_run(spark, sf, gate):
+    base, run_date = scratch_path(spark, "run"), "2021-07-08"
+    for kind, lines in {
+        "affiliations": bibliometrics.affiliation_lines,
+        "publications": bibliometrics.publication_lines,
+        "citations": bibliometrics.citation_lines,
+        "metrics": bibliometrics.metric_lines,
+    }.items():
+        lines(spark, sf).select("value").write.text(f"{base}/landing/{kind}/run_date={run_date}")
+    return base, plan.load_run(spark, f"{base}/landing", f"{base}/lake", run_date, gate)
+
+
+@query(
+    f"WITH {bibliometrics.AFFILIATION_SQL}, {bibliometrics.AUTHOR_SQL}, {bibliometrics.CITATION_SQL}, {bibliometrics.METRIC_SQL} {_checks_sql()}"
+)
+def bibliometric_run(spark, sf):
+    """A whole dated run: landed text, bronze, silver, checks, published tables; the check results."""
+    return _landed_run(spark, sf, gate=False)[1].select("table", "constraint", "n_rows", "n_bad")
+
+
+@query(
+    f"""
+    WITH {bibliometrics.AUTHOR_SQL}, {bibliometrics.CITATION_SQL}
+    SELECT DOCUMENT_ID, count(DISTINCT AUTHOR_ID) AS authors, any_value(cited) AS cited FROM au LEFT JOIN
+      (SELECT DOCUMENT_ID AS d, CAST(sum(CITATION_CNT) AS BIGINT) AS cited FROM ci GROUP BY 1) ON d = DOCUMENT_ID GROUP BY 1
+    """
+)
+def published_tables(spark, sf):
+    """Authors and citations per document, from the tables a run published."""
+    gold = f"{_landed_run(spark, sf, gate=False)[0]}/lake/gold"
+    bridge = spark.read.schema(schemas.AUTHOR_PUBLICATION).parquet(f"{gold}/AUTHOR_PUBLICATION")
+    citations = spark.read.schema(schemas.CITATION_COUNT_BY_YEAR).parquet(f"{gold}/CITATIONS_BY_YEAR")
+    authors = bridge.groupBy("DOCUMENT_ID").agg(F.count(F.lit(1)).alias("authors"))
+    cited = citations.groupBy("DOCUMENT_ID").agg(F.sum("CITATION_CNT").alias("cited"))
+    return authors.join(cited, "DOCUMENT_ID", "left")
+
+
+@query("SELECT CAST(year(o_orderdate) AS VARCHAR) AS YEAR_LBL, CAST(count(*) AS VARCHAR) AS ACKNOWLEDGEMENTS FROM orders GROUP BY 1")
+def acknowledgements_load(spark, sf):
+    """Two CSV columns under other header names, taken by position."""
+    path = scratch_path(spark, "acknowledgements")
+    years = table(spark, sf, "orders").groupBy(F.year("o_orderdate").alias("Year"))
+    years.agg(F.count(F.lit(1)).alias("Count")).write.option("header", True).csv(path)
+    return plan.acknowledgements(spark, path)
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT c_custkey, upper(c_name) FROM customer WHERE c_custkey % 2 = 1")
+def appended_pages(spark, sf):
+    """Two landings appended to one table."""
+    path = scratch_path(spark, "appended")
+    customer = table(spark, sf, "customer").select("c_custkey", "c_name")
+    tables.append(customer.where("c_custkey % 2 = 0"), path)
+    tables.append(customer.where("c_custkey % 2 = 1").withColumn("c_name", F.upper("c_name")), path)
+    return spark.read.schema(customer.schema).parquet(path)

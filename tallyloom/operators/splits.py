@@ -13,6 +13,9 @@ the ordered part small and everything else parallel:
 * A longer session is peeled in rounds: the leaders among its first undecided purchases are folded
   from a bounded batch, then every undecided purchase is tested against them in parallel. A purchase
   no earlier leader took can only be taken by these, in their order, so each round is final.
+* When a long session runs forward in time, a leader reaches no further than the next five-day
+  period. Its periods are then peeled one after the other, all cardholders together, and each
+  purchase takes part only in the rounds of its own period.
 
 No step collects an unbounded group, and each cut of the lineage is a table in the shared folder.
 """
@@ -21,7 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
 from tallyloom.functions.cells import DAY_MICROS, micros
 from tallyloom.functions.text import similar_at_least
@@ -29,6 +32,7 @@ from tallyloom.session import materialize, scratch_path
 
 MAX_DAYS = 4
 SIMILARITY = 60
+LARGEST_BATCH = 1000  # up to here Spark applies a rank limit before the shuffle
 _MONEY = "decimal(28,6)"
 _LEADER = "struct<pos:bigint,shop:string,at:bigint>"
 
@@ -99,13 +103,15 @@ def _with_sessions(purchases: DataFrame, max_days: int) -> DataFrame:
     from_here = down.rowsBetween(Window.unboundedPreceding, 0)
     gap = F.col("first_at") - F.max("last_at").over(earlier)
     in_order = F.max("last_pos").over(earlier) < F.min("first_pos").over(from_here)
+    forward = F.coalesce(F.max("last_pos").over(earlier) < F.col("first_pos"), F.lit(True))
     undated = F.max(F.col("day").isNull()).over(Window.partitionBy("holder"))
     cut = (gap >= (max_days + 1) * DAY_MICROS) & in_order & ~undated
+    whole = Window.partitionBy("holder", "session")
     sessions = (
-        days.withColumn("cut", F.coalesce(cut.cast("int"), F.lit(0)))
+        days.withColumns({"cut": F.coalesce(cut.cast("int"), F.lit(0)), "forward": forward & ~undated})
         .withColumn("session", F.sum("cut").over(so_far))
-        .withColumn("size", F.sum("purchases").over(Window.partitionBy("holder", "session")))
-        .select(F.col("holder").alias("_holder"), F.col("day").alias("_day"), "session", "size")
+        .withColumns({"size": F.sum("purchases").over(whole), "forward": F.min("forward").over(whole)})
+        .select(F.col("holder").alias("_holder"), F.col("day").alias("_day"), "session", "size", "forward")
     )
     same = (dated["holder"] == sessions["_holder"]) & dated["day"].eqNullSafe(sessions["_day"])
     return dated.join(sessions, same).drop("_holder", "_day", "day")
@@ -127,35 +133,59 @@ def _fold_sessions(purchases: DataFrame, max_days: int, similarity: int) -> Data
     )
 
 
+def _first_leaders(undecided: DataFrame, max_days: int, similarity: int, batch: int) -> DataFrame:
+    """Leaders among the first ``batch`` undecided purchases of each session, as an array.
+
+    The rank limit is applied in every map task, so a hot session sends ``batch`` rows per task.
+    """
+    by_position = Window.partitionBy("holder", "session").orderBy("pos")
+    head = undecided.withColumn("rank", F.row_number().over(by_position)).where(F.col("rank") <= batch)
+    folded = _fold(_ordered(), max_days, similarity)["leaders"]
+    return head.groupBy("holder", "session").agg(folded.alias("leaders"))
+
+
+def _settle(undecided: DataFrame, leaders: DataFrame, path: str, max_days: int, similarity: int) -> DataFrame:
+    """Test undecided purchases against a block of leaders, store the answers, return the rest."""
+    earlier = F.filter("leaders", lambda leader: leader["pos"] <= F.col("pos"))
+    home = _first_taker(earlier, F.struct("shop", "at"), max_days, similarity)
+    tested = undecided.join(leaders, ["holder", "session"], "left").withColumn("home", home).drop("leaders")
+    tested = tested.withColumn("decided", F.col("home").isNotNull())
+    tested.write.partitionBy("decided").parquet(path)
+    stored = undecided.sparkSession.read.schema(tested.schema).parquet(path)
+    return stored.where("NOT decided").select(undecided.columns)
+
+
 def _peel_sessions(purchases: DataFrame, max_days: int, similarity: int, batch: int) -> DataFrame:
-    """Groups of sessions of any size, in rounds of at most ``batch`` purchases per session."""
+    """Groups of sessions of any size, in rounds of at most ``batch`` purchases per session.
+
+    Sessions that run forward in time are worked through by periods of ``max_days + 1`` days, all
+    sessions of a period together; the others form one period of their own. The periods listed on
+    the driver are bounded by the calendar.
+    """
     spark = purchases.sparkSession
-    base = scratch_path(spark, "peeled")
-    by_position = Window.partitionBy("holder", "session").orderBy("pos")
-    columns = purchases.select("holder", "session", "pos", "shop", "at", "n", "amount")
-    undecided, number = columns, 0
-    while True:
-        head = undecided.withColumn("rank", F.row_number().over(by_position)).where(F.col("rank") <= batch)
-        leaders = head.groupBy("holder", "session").agg(
-            _fold(_ordered(), max_days, similarity)["leaders"].alias("leaders")
-        )
-        tested = undecided.join(leaders, ["holder", "session"]).withColumn(
-            "home",
-            _first_taker(
-                F.filter("leaders", lambda leader: leader["pos"] <= F.col("pos")),
-                F.struct("shop", "at"),
-                max_days,
-                similarity,
-            ),
-        )
-        decided = tested.drop("leaders").withColumn("decided", F.col("home").isNotNull())
-        decided.write.partitionBy("decided").parquet(f"{base}/round={number}")
-        schema = decided.schema
-        left = spark.read.schema(schema).parquet(f"{base}/round={number}").where("NOT decided")
-        if left.isEmpty():
-            break
-        undecided, number = left.select(columns.columns), number + 1
-    done = spark.read.schema(StructType([*schema.fields, StructField("round", IntegerType())])).parquet(base).where("decided")
+    base, rounds = scratch_path(spark, "peeled"), 0
+    span = (max_days + 1) * DAY_MICROS
+    period = F.when(F.col("forward"), F.floor(F.col("at") / span))
+    columns = ["holder", "session", "pos", "shop", "at", "n", "amount"]
+    dated = purchases.select(*columns, period.alias("period"))
+    periods = [row.period for row in dated.select("period").distinct().orderBy("period").collect()]
+    previous, carried = None, []
+    for current in periods:
+        rest = dated.where(F.col("period").eqNullSafe(F.lit(current))).select(*columns)
+        in_reach = carried if previous is not None and current == previous + 1 else []
+        for leaders in in_reach:
+            rest = _settle(rest, leaders, f"{base}/round={rounds}", max_days, similarity)
+            rounds += 1
+        opened = []
+        while not rest.isEmpty():
+            leaders = materialize(_first_leaders(rest, max_days, similarity, batch), "leaders")
+            rest = _settle(rest, leaders, f"{base}/round={rounds}", max_days, similarity)
+            rounds += 1
+            opened.append(leaders)
+        previous, carried = current, opened
+    stored = [*dated.select(*columns, F.col("pos").alias("home")).schema.fields]
+    stored += [StructField("decided", BooleanType()), StructField("round", IntegerType())]
+    done = spark.read.schema(StructType(stored)).parquet(base).where("decided")
     return done.select("holder", "pos", "shop", "at", "n", "amount", "home")
 
 
@@ -170,8 +200,8 @@ def find_splits(
     total: str = "total",
     max_days: int = MAX_DAYS,
     similarity: int = SIMILARITY,
-    fold_limit: int = 256,
-    batch: int = 256,
+    fold_limit: int = 1000,
+    batch: int = LARGEST_BATCH,
 ) -> DataFrame:
     """Member rows of all valid splits: more than one row and a total of at least ``limit``.
 
@@ -180,6 +210,8 @@ def find_splits(
     every row is returned with its group. Totals are added as decimals, so they do not depend on
     partitioning.
     """
+    if not 1 <= batch <= LARGEST_BATCH:
+        raise ValueError(f"batch must be between 1 and {LARGEST_BATCH}")
     rows = df.where(F.col(cardholder).isNotNull()).select(
         F.col(order).cast("bigint").alias("pos"),
         F.col(cardholder).alias("holder"),

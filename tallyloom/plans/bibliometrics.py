@@ -12,9 +12,10 @@ from tallyloom.functions.text import after_colon, in_parentheses, suffix_from
 from tallyloom.operators import relational
 from tallyloom.operators.quality import has_size, is_complete, is_unique, refers_to, run_checks
 from tallyloom.operators.reshape import explode_items, explode_parallel
-from tallyloom.sinks.tables import conform
+from tallyloom.session import materialize
+from tallyloom.sinks.tables import conform, publish, refresh, refresh_run
 from tallyloom.sources import schemas
-from tallyloom.sources.files import literal_rows
+from tallyloom.sources.files import literal_rows, parse_json_lines, read_csv, read_text_lines
 
 # Fixed values: (sector, text in the name), the fallback sector, and the sector table.
 SECTOR_RULES = [(1, "FOREST"), (2, "LAND")]
@@ -185,6 +186,11 @@ def indicator_table(spark: SparkSession) -> DataFrame:
     return literal_rows(spark, INDICATORS, schemas.AFFILIATION_INDICATOR)
 
 
+def acknowledgements(spark: SparkSession, path: str) -> DataFrame:
+    """ACKNOWLEDGEMENTS_BY_YEAR from a CSV whose two columns are taken by position."""
+    return read_csv(spark, path, schemas.ACKNOWLEDGEMENTS_BY_YEAR, by_position=True)
+
+
 def sector_summary(assigned: DataFrame, sectors: DataFrame) -> DataFrame:
     """Affiliations per sector. Counting first leaves one row per sector for the join."""
     counts = assigned.groupBy("SECTOR_ID").agg(F.count(F.lit(1)).alias("AFFILIATION_CNT"))
@@ -286,3 +292,47 @@ def silver_tables(
         "IMPACT_METRIC": impact_metrics(metric_documents),
         "IMPACT_CITATION_SOURCE": impact_sources(impact_flat(metric_documents)),
     }
+
+
+# Landed kinds of pages and their declared schemas.
+PAGE_SCHEMAS = {
+    "affiliations": schemas.AFFILIATION_PAGE,
+    "publications": schemas.PUBLICATION_PAGE,
+    "citations": schemas.CITATION_OVERVIEW,
+    "metrics": schemas.METRIC_DOCUMENT,
+}
+
+
+def bronze_pages(spark: SparkSession, landing: str, lake: str, run_date: str, kind: str) -> DataFrame:
+    """Parse one landed kind of a run once and store it as Parquet under its run date.
+
+    Later plans read only the nested fields they need from there. A line that is no document keeps
+    its text and has no page. Storing a run again replaces that run alone.
+    """
+    lines = read_text_lines(spark, f"{landing}/{kind}/run_date={run_date}")
+    parsed = parse_json_lines(lines, PAGE_SCHEMAS[kind]).where((F.length(F.trim("value")) > 0))
+    kept = parsed.select(
+        "page",
+        "filename",
+        F.when(F.col("page").isNull(), F.col("value")).alias("malformed"),
+        F.lit(run_date).alias("run_date"),
+    )
+    return refresh_run(kept, f"{lake}/bronze/{kind}").where(F.col("run_date") == run_date)
+
+
+def load_run(spark: SparkSession, landing: str, lake: str, run_date: str, gate: bool = True) -> DataFrame:
+    """One dated run from landed pages to published tables; returns the check results.
+
+    Every stage is a stored table: ``bronze/<kind>``, ``silver/<table>``, ``gold/<table>``. With
+    ``gate`` nothing is published when a check fails.
+    """
+    bronze = {kind: bronze_pages(spark, landing, lake, run_date, kind) for kind in PAGE_SCHEMAS}
+    pages = {kind: df.where(F.col("page").isNotNull()).select("page.*") for kind, df in bronze.items()}
+    plans = silver_tables(pages["affiliations"], pages["publications"], pages["citations"], pages["metrics"])
+    silver = {name: refresh(df, f"{lake}/silver/{name}") for name, df in plans.items()}
+    results = table_checks(silver)
+    for kind, df in bronze.items():
+        results = results.unionByName(run_checks(kind, df, [has_size(), is_complete("page")]))
+    stored = materialize(results, "checks")
+    publish(spark, silver, f"{lake}/gold", stored, gate, PUBLISHED_NAMES)
+    return stored

@@ -16,9 +16,12 @@ from tallyloom.functions.cells import rename_positions
 _RECORD = r'((?:[^"\r\n]++|"[^"]*+"|")*+)(?:\r\n|\n|\r|\z)'
 
 
-def read_csv(spark: SparkSession, path: str, columns: StructType) -> DataFrame:
-    """CSV with a header line; all columns are text and the header must match ``columns``."""
-    return spark.read.schema(columns).option("header", True).option("enforceSchema", False).csv(path)
+def read_csv(spark: SparkSession, path: str, columns: StructType, by_position: bool = False) -> DataFrame:
+    """CSV with a header line; all columns are text.
+
+    The header must match ``columns``, unless they name the columns by position.
+    """
+    return spark.read.schema(columns).option("header", True).option("enforceSchema", by_position).csv(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType, whole_files: bool = False) -> DataFrame:
