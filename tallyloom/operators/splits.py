@@ -160,14 +160,17 @@ def _peel_sessions(purchases: DataFrame, max_days: int, similarity: int, batch:
 
     Sessions that run forward in time are worked through by periods of ``max_days + 1`` days, all
     sessions of a period together; the others form one period of their own. The periods listed on
-    the driver are bounded by the calendar.
+    the driver are bounded by the calendar. Purchases are stored by period, in balanced files, so a
+    round reads its period only.
     """
     spark = purchases.sparkSession
-    base, rounds = scratch_path(spark, "peeled"), 0
+    source, base, rounds = scratch_path(spark, "periods"), scratch_path(spark, "peeled"), 0
     span = (max_days + 1) * DAY_MICROS
     period = F.when(F.col("forward"), F.floor(F.col("at") / span))
     columns = ["holder", "session", "pos", "shop", "at", "n", "amount"]
-    dated = purchases.select(*columns, period.alias("period"))
+    by_period = purchases.select(*columns, period.alias("period"))
+    by_period.hint("rebalance", "period").write.partitionBy("period").parquet(source)
+    dated = spark.read.schema(by_period.schema).parquet(source)
     periods = [row.period for row in dated.select("period").distinct().orderBy("period").collect()]
     previous, carried = None, []
     for current in periods:
