@@ -133,7 +133,7 @@ def metric_documents(spark, sf):
 
 
 AFFILIATION_SQL = """
-    aff AS (SELECT 60000000 + s_suppkey AS AFFILIATION_ID, '10-s2.0-' || s_suppkey AS ELECTRONIC_ID,
+    aff AS (SELECT CAST(60000000 + s_suppkey AS INTEGER) AS AFFILIATION_ID, '10-s2.0-' || s_suppkey AS ELECTRONIC_ID,
         'https://example.org/' || s_suppkey AS PRISM_URL,
         replace(replace(p_name, 'ring', 'forest'), 'red', 'land') AS AFFILIATION_NM, s_nationkey AS DOCUMENT_CNT
       FROM supplier JOIN part ON s_suppkey = p_partkey)
@@ -205,7 +205,7 @@ def affiliation_indicators(spark, sf):
         'Title ' || l_linenumber, '2-s2.0-' || l_partkey, l_returnflag, l_linestatus, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR),
         CASE WHEN l_discount > 0.05 THEN 1 WHEN l_discount < 0.02 THEN 0 END NULLS FIRST, CAST(l_suppkey AS VARCHAR)) AS rn FROM en)
     SELECT DOCUMENT_ID, 'Title ' || l_linenumber AS DOCUMENT_TITLE_LBL, '2-s2.0-' || l_partkey AS ELECTRONIC_ID, l_returnflag AS SUB_TYPE_ID,
-      l_linestatus AS SUB_TYPE_LBL, strftime(l_shipdate, '%Y-%m-%d') AS COVER, NULL AS DISPLAY, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS CITED_BY_CNT,
+      l_linestatus AS SUB_TYPE_LBL, strftime(l_shipdate, '%Y-%m-%d') AS COVER, CAST(NULL AS VARCHAR) AS DISPLAY, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS CITED_BY_CNT,
       CASE WHEN l_discount > 0.05 THEN 1 WHEN l_discount < 0.02 THEN 0 END AS OPEN_ACCESS_IND,
       CASE WHEN l_discount > 0.05 THEN 'Open Access' ELSE 'Not Open Access' END AS OPEN_ACCESS_IND_LBL,
       CAST(l_suppkey AS VARCHAR) AS PRISM_VOLUME_NBR, 'Journal' AS PRIMS_AGGREGATION_TYPE_LBL

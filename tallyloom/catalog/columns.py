@@ -58,7 +58,7 @@ def label_codes(spark, sf):
 
 @query(
     """
-    SELECT year(o_orderdate) AS order_year, count(*) AS n FROM orders
+    SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year, count(*) AS n FROM orders
     WHERE year(o_orderdate) BETWEEN 1999 + 1 - 3 AND 1999 + 1 GROUP BY 1
     """
 )
@@ -83,7 +83,7 @@ def scaled_in_sql(spark, sf):
 
 @query(
     """
-    SELECT p_partkey, levenshtein(p_name, lower(p_type || ' ' || p_brand)) AS distance,
+    SELECT p_partkey, CAST(levenshtein(p_name, lower(p_type || ' ' || p_brand)) AS INTEGER) AS distance,
       round(100.0 * (greatest(1, length(p_name), length(p_type || ' ' || p_brand))
         - levenshtein(p_name, lower(p_type || ' ' || p_brand)))
         / greatest(1, length(p_name), length(p_type || ' ' || p_brand)), 6) AS similarity,

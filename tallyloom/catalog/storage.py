@@ -162,7 +162,7 @@ def snapshot_as_of(spark, sf):
 
 @query(
     """
-    SELECT 0 AS version, 'CREATE' AS operation, count(*) AS n_rows FROM orders
+    SELECT CAST(0 AS BIGINT) AS version, 'CREATE' AS operation, count(*) AS n_rows FROM orders
     UNION ALL SELECT 1, 'UPDATE', count(*) FROM orders
     """
 )

@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_scratch: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -19,7 +20,7 @@ def shared_folder(spark: SparkSession) -> str:
     removed when the process ends. On a cluster a missing setting is an error, because a
     machine-local folder would not survive the loss of that machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
@@ -34,7 +35,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/tallyloom/{label}-{uuid.uuid4().hex}"
+    _scratch.append(f"{shared_folder(spark)}/tallyloom/{label}-{uuid.uuid4().hex}")
+    return _scratch[-1]
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove this process's intermediate tables. Results that were not stored elsewhere go with them."""
+    while _scratch:
+        remove_path(spark, _scratch.pop())
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
