@@ -202,7 +202,7 @@ ORDER_LINES_SQL = f"""
 
 def order_lines_flagged(spark, sf):
     customer, part = table(spark, sf, "customer"), table(spark, sf, "part")
-    return plan.flagged_rows(
+    return rules.with_list_flags(
         order_lines_master(spark, sf),
         lookup_set(customer.where("c_acctbal < 0"), "c_name"),
         lookup_set(customer.where("c_acctbal < 500"), "c_name"),
@@ -230,8 +230,7 @@ def rule_hits(spark, sf):
 @query(f"WITH {EVENTS_SQL} SELECT row_index, cardholder FROM f WHERE NOT in_fps AND coalesce(gl_code, '') <> '52008'")
 def split_candidates(spark, sf):
     master = events_master(spark, sf)
-    flagged = plan.flagged_rows(master, *events_lists(master))
-    return flagged.where(rules.split_candidate()).select("row_index", "cardholder")
+    return plan.split_candidates(master, events_lists(master)[0]).select("row_index", "cardholder")
 
 
 @query(f"WITH RECURSIVE {EVENTS_SQL}, {splits_sql('m', LIMIT)} SELECT * FROM members")

@@ -43,16 +43,9 @@ def refers_to(keys: Mapping[str, str], parent: DataFrame, parent_name: str) -> C
     )
 
 
-def _result(name: str, rows: Column, bad: Column) -> Column:
-    failed = bad > 0
-    message = F.concat(bad.cast("string"), F.lit(" of "), rows.cast("string"), F.lit(" rows break the constraint"))
-    return F.struct(
-        F.lit(name).alias("constraint"),
-        F.when(failed, FAILURE).otherwise(SUCCESS).alias("status"),
-        rows.alias("n_rows"),
-        bad.alias("n_bad"),
-        F.when(failed, message).alias("message"),
-    )
+def _count_row(name: str, rows: str, bad: str) -> str:
+    literal = name.replace("\\", "\\\\").replace("'", "\\'")
+    return f"named_struct('constraint', '{literal}', 'n_rows', {rows}, 'n_bad', {bad})"
 
 
 def _scalar_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
@@ -61,21 +54,19 @@ def _scalar_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     measures += [
         F.count_if(F.col(c.columns[0]).isNull()).alias(f"m{i}") for i, c in enumerate(checks) if c.kind == "complete"
     ]
-    bad = [
-        (F.col("n") == 0).cast("bigint") if c.kind == "size" else F.col(f"m{i}") for i, c in enumerate(checks)
-    ]
-    rows = [_result(c.name, F.col("n"), b) for c, b in zip(checks, bad)]
-    return df.agg(*measures).select(F.inline(F.array(*rows)))
+    bad = ["CAST(n = 0 AS BIGINT)" if c.kind == "size" else f"m{i}" for i, c in enumerate(checks)]
+    rows = ", ".join(_count_row(c.name, "n", b) for c, b in zip(checks, bad))
+    return df.agg(*measures).selectExpr(f"inline(array({rows}))")
 
 
 def _unique_check(df: DataFrame, check: Check) -> DataFrame:
     present = reduce(Column.__and__, [F.col(c).isNotNull() for c in check.columns])
     counts = df.where(present).groupBy(*check.columns).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-        F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("bad"),
+    return counts.agg(
+        F.lit(check.name).alias("constraint"),
+        F.expr("coalesce(sum(n), 0)").alias("n_rows"),
+        F.expr("coalesce(sum(n) FILTER (WHERE n > 1), 0)").alias("n_bad"),
     )
-    return total.select(F.inline(F.array(_result(check.name, F.col("n"), F.col("bad")))))
 
 
 def _reference_check(df: DataFrame, check: Check) -> DataFrame:
@@ -85,11 +76,11 @@ def _reference_check(df: DataFrame, check: Check) -> DataFrame:
         *[F.col(c).alias(f"_p{i}") for i, c in enumerate(check.parent_columns)], F.lit(True).alias("_known")
     ).distinct()
     same = reduce(Column.__and__, [F.col(c) == F.col(f"_p{i}") for i, c in enumerate(check.columns)])
-    total = keys.join(parent, same, "left").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-        F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("n"))), F.lit(0)).alias("bad"),
+    return keys.join(parent, same, "left").agg(
+        F.lit(check.name).alias("constraint"),
+        F.expr("coalesce(sum(n), 0)").alias("n_rows"),
+        F.expr("coalesce(sum(n) FILTER (WHERE _known IS NULL), 0)").alias("n_bad"),
     )
-    return total.select(F.inline(F.array(_result(check.name, F.col("n"), F.col("bad")))))
 
 
 def run_checks(table: str, df: DataFrame, checks: Sequence[Check]) -> DataFrame:
@@ -98,7 +89,15 @@ def run_checks(table: str, df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     parts = [_scalar_checks(df, scalar)] if scalar else []
     parts += [_unique_check(df, c) for c in checks if c.kind == "unique"]
     parts += [_reference_check(df, c) for c in checks if c.kind == "reference"]
-    return reduce(DataFrame.unionByName, parts).select(F.lit(table).alias("table"), "*")
+    counts = reduce(DataFrame.union, parts)
+    return counts.select(
+        F.lit(table).alias("table"),
+        "constraint",
+        F.expr(f"if(n_bad > 0, '{FAILURE}', '{SUCCESS}')").alias("status"),
+        "n_rows",
+        "n_bad",
+        F.expr("if(n_bad > 0, concat(n_bad, ' of ', n_rows, ' rows break the constraint'), NULL)").alias("message"),
+    )
 
 
 def overall_status(results: DataFrame) -> DataFrame:

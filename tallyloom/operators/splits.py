@@ -192,7 +192,17 @@ def _peel_sessions(purchases: DataFrame, max_days: int, similarity: int, batch:
     return done.select("holder", "pos", "shop", "at", "n", "amount", "home")
 
 
-def find_splits(
+def _rows(df: DataFrame, order: str, cardholder: str, merchant: str, date: str, total: str) -> DataFrame:
+    return df.where(F.col(cardholder).isNotNull()).select(
+        F.col(order).cast("bigint").alias("pos"),
+        F.col(cardholder).alias("holder"),
+        F.coalesce(merchant, F.lit("")).alias("shop"),
+        micros(F.col(date)).alias("at"),
+        F.col(total).cast(_MONEY).alias("amount"),
+    )
+
+
+def split_purchases(
     df: DataFrame,
     limit: float | None,
     *,
@@ -206,22 +216,16 @@ def find_splits(
     fold_limit: int = 1000,
     batch: int = LARGEST_BATCH,
 ) -> DataFrame:
-    """Member rows of all valid splits: more than one row and a total of at least ``limit``.
+    """Purchases in valid splits: more than one row and a total of at least ``limit``.
 
-    Columns: ``order``, ``cardholder``, ``split_index`` (``order`` of the group's first row),
-    ``split_rows`` and ``split_total``. ``order`` must be a unique whole number. With ``limit=None``
-    every row is returned with its group. Totals are added as decimals, so they do not depend on
-    partitioning.
+    Columns: ``holder``, ``shop`` and ``at`` identify the purchase (:func:`mark_splits` joins rows to
+    them), ``split_index`` is the ``order`` of the group's first row, then ``split_rows`` and
+    ``split_total``. ``order`` must be a unique whole number. With ``limit=None`` all groups are
+    valid. Totals are added as decimals, so they do not depend on partitioning.
     """
     if not 1 <= batch <= LARGEST_BATCH:
         raise ValueError(f"batch must be between 1 and {LARGEST_BATCH}")
-    rows = df.where(F.col(cardholder).isNotNull()).select(
-        F.col(order).cast("bigint").alias("pos"),
-        F.col(cardholder).alias("holder"),
-        F.coalesce(merchant, F.lit("")).alias("shop"),
-        micros(F.col(date)).alias("at"),
-        F.col(total).cast(_MONEY).alias("amount"),
-    )
+    rows = _rows(df, order, cardholder, merchant, date, total)
     purchases = materialize(_purchases(rows), "purchases")
     staged = materialize(_with_sessions(purchases, max_days), "sessions")
     alone = staged.where("size = 1").select("holder", "pos", "shop", "at", "n", "amount", F.col("pos").alias("home"))
@@ -237,26 +241,45 @@ def find_splits(
     )
     if limit is not None:
         groups = groups.where((F.col("split_rows") > 1) & (F.col("split_total") >= limit))
-    members = grouped.join(groups, ["holder", "home"]).select(
-        F.col("holder").alias("_holder"),
-        F.col("shop").alias("_shop"),
-        F.col("at").alias("_at"),
-        "home",
-        "split_rows",
-        "split_total",
+    return grouped.join(groups, ["holder", "home"]).select(
+        "holder", "shop", "at", F.col("home").alias("split_index"), "split_rows", "split_total"
     )
-    same = (
-        (rows["holder"] == members["_holder"])
-        & (rows["shop"] == members["_shop"])
-        & rows["at"].eqNullSafe(members["_at"])
+
+
+def mark_splits(
+    df: DataFrame,
+    purchases: DataFrame,
+    applies: Column | None = None,
+    how: str = "left",
+    cardholder: str = "cardholder",
+    merchant: str = "merchant",
+    date: str = "date",
+) -> DataFrame:
+    """Add ``split_index``, ``split_rows`` and ``split_total`` to the rows of split purchases.
+
+    Rows outside any split, or for which ``applies`` is not true, get NULL, or vanish with ``inner``.
+    """
+    holder = F.col(cardholder) if applies is None else F.when(applies, F.col(cardholder))
+    keyed = df.withColumns(
+        {"_holder": holder, "_shop": F.coalesce(merchant, F.lit("")), "_at": micros(F.col(date))}
     )
-    return rows.join(members, same).select(
-        F.col("pos").alias(order),
-        F.col("holder").alias(cardholder),
-        F.col("home").alias("split_index"),
-        "split_rows",
-        "split_total",
+    same = (
+        (keyed["_holder"] == purchases["holder"])
+        & (keyed["_shop"] == purchases["shop"])
+        & keyed["_at"].eqNullSafe(purchases["at"])
     )
+    return keyed.join(purchases, same, how).drop("_holder", "_shop", "_at", "holder", "shop", "at")
+
+
+def find_splits(df: DataFrame, limit: float | None, **options) -> DataFrame:
+    """Member rows of all valid splits, with the options of :func:`split_purchases`.
+
+    Columns: ``order``, ``cardholder``, ``split_index``, ``split_rows``, ``split_total``.
+    """
+    names = {k: options.get(k, k) for k in ("cardholder", "merchant", "date")}
+    members = mark_splits(df, split_purchases(df, limit, **options), how="inner", **names)
+    order = options.get("order", "row_index")
+    return members.select(order, names["cardholder"], "split_index", "split_rows", "split_total")
 
 
 def splits_summary(members: DataFrame) -> DataFrame:

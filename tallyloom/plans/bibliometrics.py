@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -267,10 +268,7 @@ def table_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
         ],
     }
     results = [run_checks(name, tables[name], checks) for name, checks in declared.items() if name in tables]
-    combined = results[0]
-    for result in results[1:]:
-        combined = combined.unionByName(result)
-    return combined
+    return reduce(DataFrame.union, results)
 
 
 def _text_ids(affiliation: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.cells import cell
-from tallyloom.operators.relational import lookup_set
+from tallyloom.operators.relational import flag_membership, lookup_set
 from tallyloom.operators.rules import (
     SPEND_LIMIT,
     SPLIT_COLOUR,
@@ -20,7 +20,7 @@ from tallyloom.operators.rules import (
     split_candidate,
     with_list_flags,
 )
-from tallyloom.operators.splits import find_splits
+from tallyloom.operators.splits import mark_splits, split_purchases
 from tallyloom.sources.files import require_inputs
 from tallyloom.sources.schemas import AUDIT_CELLS
 
@@ -49,14 +49,9 @@ def list_sets(sheets: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def flagged_rows(master: DataFrame, fps: DataFrame, rcm: DataFrame, dsc: DataFrame) -> DataFrame:
-    """Rows of the audit with list flags; ``in_split`` is still false."""
-    return with_list_flags(master, fps, rcm, dsc)
-
-
-def split_members(flagged: DataFrame, spend_limit: float = SPEND_LIMIT, **options) -> DataFrame:
-    """Member rows of the valid splits among the candidates."""
-    return find_splits(flagged.where(split_candidate()), spend_limit, **options)
+def split_candidates(master: DataFrame, fps: DataFrame) -> DataFrame:
+    """Rows the split detector looks at. Only the one list it needs is joined."""
+    return flag_membership(master, F.col("cardholder"), fps, "in_fps").where(split_candidate()).drop("in_fps")
 
 
 def audit(
@@ -65,13 +60,12 @@ def audit(
     """Every master row with ``criteria`` and ``highlight``.
 
     Rows without a cardholder stay as they are. The split is the last rule: its name comes last and
-    its colour wins.
+    its colour wins. The master is read twice, once for the splits and once for the result.
     """
-    flagged = flagged_rows(master, fps, rcm, dsc)
-    members = split_members(flagged, spend_limit, **options)
-    marks = members.select(F.col("row_index").alias("_row"), F.lit(True).alias("_split"))
-    joined = flagged.join(marks, F.col("row_index") == F.col("_row"), "left")
-    rows = joined.withColumn("in_split", F.coalesce("_split", F.lit(False))).drop("_row", "_split")
+    purchases = split_purchases(split_candidates(master, fps), spend_limit, **options)
+    flagged = with_list_flags(master, fps, rcm, dsc)
+    marked = mark_splits(flagged, purchases, split_candidate())
+    rows = marked.withColumn("in_split", F.col("split_index").isNotNull())
     rules = [*spend_rules(spend_limit), Rule(SPLIT_NAME, F.col("in_split"), SPLIT_COLOUR)]
     existing = F.col("criteria") if "criteria" in master.columns else None
     return apply_rules(rows, rules, F.col("cardholder").isNotNull(), existing)

@@ -25,7 +25,10 @@ def read_csv(spark: SparkSession, path: str, columns: StructType, by_position: b
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType, whole_files: bool = False) -> DataFrame:
-    """A directory of JSON documents, one per line, or one per file with ``whole_files``."""
+    """A directory of JSON documents, one per line, or one per file with ``whole_files``.
+
+    What is no document becomes a row of NULLs; read lines and :func:`parse_json_lines` to report it.
+    """
     return spark.read.schema(schema).option("multiLine", whole_files).json(path)
 
 

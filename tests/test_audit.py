@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators import flagging
 from tallyloom.operators.flagging import Cell, all_of, any_of, clause
+from tallyloom.operators.rules import with_list_flags
 from tallyloom.plans import spend_audit as plan
 
 SHEET = "a double, b double, c double, d string"
@@ -149,6 +150,6 @@ def test_master_by_letters(spark):
 def test_hits_include_rules_without_any(spark):
     df = spark.createDataFrame([(1, "CH", "S", None, DAY, 1.0, "9399", None, None)], MASTER)
     empty = spark.createDataFrame([], "entry string")
-    hits = plan.hits_per_rule(plan.flagged_rows(df, empty, empty, empty)).orderBy("position").collect()
+    hits = plan.hits_per_rule(with_list_flags(df, empty, empty, empty)).orderBy("position").collect()
     assert [h.hits for h in hits] == [1] + [0] * 11
     assert df.select(F.lit(1)).count() == 1
