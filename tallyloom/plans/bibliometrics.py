@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,9 +29,16 @@ CITATION_CATEGORY = "citation"
 PUBLISHED_NAMES = {"CITATION_COUNT_BY_YEAR": "CITATIONS_BY_YEAR"}
 
 
-def entries(pages: DataFrame) -> DataFrame:
-    """One row per entry of a search page; pages with an empty entry list give none."""
-    return explode_items(pages, F.col("`search-results`.entry"), "item")
+def entries(pages: DataFrame, fields: Sequence[str] = ()) -> DataFrame:
+    """One row per entry of a search page; pages with an empty entry list give none.
+
+    With ``fields`` an ``item`` holds those alone, and a Parquet scan reads only them: pruning sees
+    through the zipped field arrays, but not through a generator of whole entries.
+    """
+    entry = F.col("`search-results`.entry")
+    if fields:
+        entry = F.arrays_zip(*[F.col(f"`search-results`.entry.`{field}`") for field in fields])
+    return explode_items(pages, entry, "item")
 
 
 def affiliations(pages: DataFrame) -> DataFrame:
@@ -89,7 +96,7 @@ def affiliation_publications(pages: DataFrame) -> DataFrame:
 
 def author_entries(pages: DataFrame) -> DataFrame:
     """One row per author of each listed publication, duplicates included."""
-    listed = entries(pages).select(
+    listed = entries(pages, ["dc:identifier", "author"]).select(
         suffix_from(F.col("item.`dc:identifier`"), 11).alias("DOCUMENT_ID"), F.explode("item.author").alias("author")
     )
     return listed.select(
