@@ -59,10 +59,10 @@ def with_id_prefix(affiliation: DataFrame, prefix: str = "600") -> DataFrame:
     return affiliation.where(F.col("AFFILIATION_ID").cast("string").startswith(prefix))
 
 
-def publication_entries(pages: DataFrame) -> DataFrame:
+def publication_entries(pages: DataFrame, fields: Sequence[str] = ()) -> DataFrame:
     """One row per listed publication: affiliation searched for, document id and the entry's fields."""
     terms = F.col("`search-results`.`opensearch:Query`.`@searchTerms`")
-    return entries(pages).select(
+    return entries(pages, fields).select(
         in_parentheses(terms).alias("AFFILIATION_ID"),
         after_colon(F.col("item.`dc:identifier`")).alias("DOCUMENT_ID"),
         "item",
@@ -82,7 +82,8 @@ def _publication_column(name: str, source: str):
 
 def publications(pages: DataFrame) -> DataFrame:
     """PUBLICATION: one row per document, the first by cover date and then by all columns."""
-    rows = publication_entries(pages).select(
+    fields = ["dc:identifier", *dict.fromkeys(schemas.PUBLICATION_FIELDS.values())]
+    rows = publication_entries(pages, fields).select(
         "DOCUMENT_ID", *[_publication_column(c, s) for c, s in schemas.PUBLICATION_FIELDS.items()]
     )
     return conform(relational.keep_first(rows, ["DOCUMENT_ID"], ["PRISM_COVER_DT"]), schemas.PUBLICATION)
