@@ -22,6 +22,7 @@ from __future__ import annotations
 import functools
 import os
 import re
+import struct
 import uuid
 import zlib
 
@@ -37,10 +38,9 @@ from tallyloom.session import materialize, scratch_path
 
 SEQUENCE = 1024
 BATCH_SEQUENCES = 512
-KEPT_CHUNKS = 400_000
-KEPT_WORDS = 700_000
+KEPT_CHUNKS = 700_000
+KEPT_WORDS = 500_000
 
-_blank = str.maketrans("\t\n\x0b\x0c\r", "     ")
 # Latin letters that neither the normalizer's composition nor its lower-casing joins with anything, then punctuation.
 _plain = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?*#$%&|]*)").fullmatch
 
@@ -51,32 +51,46 @@ class Encoder:
     def __init__(self, path: str):
         self.tokenizer = load(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.pack, self.code = struct.pack, "H" if self.kind.itemsize == 2 else "I"
         self.known: dict[str, bytes] = {"": b""}
         self.words: dict[str, bytes] = {"": b""}
 
     def ask(self, parts: list[str]) -> dict[str, bytes]:
-        encoded = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        return {p: np.array(e.ids, self.kind).tobytes() for p, e in zip(parts, encoded)}
+        """Ids of parts from the library; plain lower-case words go straight to its model."""
+        model, pack, found, rest = self.tokenizer.model.tokenize, self.pack, {}, []
+        for part in parts:
+            if part.isascii() and part.isalpha() and part.islower():
+                ids = [t.id for t in model(part)]
+                found[part] = pack(f"<{len(ids)}{self.code}", *ids)
+            else:
+                rest.append(part)
+        for part, encoded in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            found[part] = pack(f"<{len(encoded.ids)}{self.code}", *encoded.ids)
+        return found
 
     def learn(self, chunks: list[str]) -> None:
         """Ids of new chunks. A word with punctuation behind it is two tokens' worth of input to the library."""
-        split, rest, words = {}, [], set()
+        plain, words, tails, rest = [], [], [], []
         for chunk in chunks:
             if match := _plain(chunk):
-                split[chunk] = own = (match[1].lower(), match[2])
-                words.update(own)
+                plain.append(chunk)
+                words.append(match[1].lower())
+                tails.append(match[2])
             else:
                 rest.append(chunk)
-        unseen = list(words - self.words.keys())
+        unseen = list(set(words).union(tails) - self.words.keys())
         self.words.update(self.ask(unseen))
-        self.known.update({c: self.words[w] + self.words[p] for c, (w, p) in split.items()})
+        ids = self.words.__getitem__
+        self.known.update(zip(plain, map(bytes.__add__, map(ids, words), map(ids, tails))))
         self.known.update(self.ask(rest))
         if len(self.words) > KEPT_WORDS:
             for w in unseen:
                 del self.words[w]
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
-        chunks = [text.translate(_blank).split(" ") for text in texts]
+        for blank in "\t\n\x0b\x0c\r":
+            texts = [text.replace(blank, " ") for text in texts]
+        chunks = [text.split(" ") for text in texts]
         known = self.known
         unseen = list(set().union(*chunks) - known.keys())
         self.learn(unseen)
