@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyloom.llm import language, quality_model, quality_rules, secret_scan, winnowing
 from tallyloom.llm.binary_output import token_output
 from tallyloom.llm.token_counts import count_tokens
 
@@ -25,11 +26,41 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+@query
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judge(documents(spark, folder))
+
+
+ORACLES["op1_quality_rules"] = quality_rules.ORACLE
+
+
 @query
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    return secret_scan.scan(docs, secret_scan.learn(docs))
+
+
+@query
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_model.classify(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 @query
 def op5_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return token_output(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return winnowing.contamination(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+@query
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    return language.identify(docs, language.learn(docs))
