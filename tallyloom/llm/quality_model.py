@@ -30,6 +30,7 @@ NAMES = (
     "words", "word_length", "symbols", "bars", "exclamations", "capitals", "digits", "points", "lines",
     "next_same", "second_same", "distinct", "longest_run",
 )
+SMOOTH = 8
 SYMBOLS = b"#*$%&<>@^~{}[]\\"
 _, _WORD = byte_table(False, b" \t\n\x0b\x0c\r")
 
@@ -57,7 +58,7 @@ def statistics(column: pa.Array) -> np.ndarray:
     for table in _COUNTED:
         sums = np.concatenate([[0], np.cumsum(table[data], dtype=np.int64)])
         counts.append(sums[bounds[1:]] - sums[bounds[:-1]])
-    per = np.maximum(words, 1)
+    per = words + SMOOTH  # shares of a text of a few words are no evidence
     size = np.diff(bounds)
 
     def repeats(distance: int) -> np.ndarray:
@@ -73,9 +74,9 @@ def statistics(column: pa.Array) -> np.ndarray:
     symbols, bars, exclamations, capitals, digits, points, lines = counts
     share = lambda x: np.log1p(50 * x / per)
     return np.column_stack([
-        np.log1p(words), np.log1p((size - words) / per), share(symbols), share(bars), share(exclamations),
+        np.log1p(words), np.log1p(size / np.maximum(words, 1)), share(symbols), share(bars), share(exclamations),
         share(capitals), share(digits), share(points), share(lines), share(repeats(1)) if rows else [], share(repeats(2)) if rows else [],
-        np.log((distinct + 1) / np.sqrt(words + 1.0)), np.log1p(longest),
+        np.log((distinct + SMOOTH) / np.sqrt(per)), np.log1p(longest),
     ]).reshape(rows, len(NAMES))
 
 

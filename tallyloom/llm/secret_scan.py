@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.texts import hash_spans, runs, sliced, utf8
 
-SAMPLE_ROWS = 4_000
+SAMPLE_ROWS = 2_000
 WINDOW = 10
 HASHED = 512
 KINDS = ("assign", "access", "hex", "crf")
@@ -257,7 +257,7 @@ def training_windows(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def train(windows: list[tuple[np.ndarray, np.ndarray]], rounds: int = 80, rate: float = 0.15, decay: float = 1e-4) -> Field | None:
+def train(windows: list[tuple[np.ndarray, np.ndarray]], rounds: int = 60, rate: float = 0.15, decay: float = 1e-4) -> Field | None:
     """Maximise the conditional likelihood of the windows' tags by full-batch steps with momentum scaling."""
     if not any((tags == BEGIN).any() for _, tags in windows):
         return None
