@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import language, quality_model, quality_rules, secret_scan, winnowing
+from tallyloom.llm import language, minhash, quality_model, quality_rules, secret_scan, winnowing
 from tallyloom.llm.binary_output import token_output
 from tallyloom.llm.token_counts import count_tokens
 
@@ -55,6 +55,11 @@ def op5_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return token_output(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op8_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, folder), size=3, threshold=85)
+
+
 @query
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return winnowing.contamination(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
