@@ -236,4 +236,4 @@ def keep_first(df: DataFrame, size: int = 5, threshold: int = 80) -> DataFrame:
     """
     verdict = near_duplicates(df, size, threshold)
     dropped = materialize(verdict.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_dropped")).distinct(), "dropped")
-    return df.join(dropped, F.col("doc_id") == F.col("_dropped"), "left_anti")
+    return df.join(dropped, df["doc_id"] == dropped["_dropped"], "left_anti")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import language, minhash, quality_model, quality_rules, secret_scan, suffix_dedup, winnowing
+from tallyloom.llm import language, minhash, pieces, quality_model, quality_rules, secret_scan, suffix_dedup, winnowing
 from tallyloom.llm.binary_output import token_output
 from tallyloom.llm.token_counts import count_tokens
 
@@ -55,6 +55,11 @@ def op5_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return token_output(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encode(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.remove_repeats(documents(spark, folder)).drop("kept")

@@ -205,4 +205,4 @@ def drop_contaminated(df: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     rows, hits = text_hits(df, benchmark, window=window)
     bad = rows.join(hits, "key").where(_contaminated(share)).select("key").distinct()
     bad = materialize(bad.withColumnRenamed("key", "_text_key"), "contaminated-texts")
-    return df.join(bad, text_key("text") == F.col("_text_key"), "left_anti")
+    return df.join(bad, text_key("text") == bad["_text_key"], "left_anti")
