@@ -122,9 +122,18 @@ def publish_roundtrip(spark, sf):
 def compaction(spark, sf):
     path = scratch_path(spark, "small")
     customer = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
-    customer.repartition(16).write.parquet(path)
-    tables.compact(spark, path)
-    return spark.read.parquet(path)
+    tables.refresh(customer.repartition(16), path)
+    tables.compact(spark, path, customer.schema)
+    return tables.read_current(spark, path, customer.schema)
+
+
+def _orders_by_year(spark, sf):
+    year = F.year("o_orderdate").cast("string").alias("run_date")
+    return table(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"), year)
+
+
+def _years(orders):
+    return [r.run_date for r in orders.select("run_date").distinct().orderBy("run_date").collect()]
 
 
 @query(
@@ -135,12 +144,37 @@ def compaction(spark, sf):
 )
 def dated_rerun(spark, sf):
     """All years land once; one year lands again and replaces only itself."""
-    path = scratch_path(spark, "runs")
-    orders = table(spark, sf, "orders").select(
-        "o_orderkey", F.col("o_orderstatus").alias("status"), F.year("o_orderdate").cast("string").alias("run_date")
-    )
-    tables.refresh_run(orders.withColumn("status", F.lit("old")), path)
-    return tables.refresh_run(files.run_rows(orders, "1997"), path)
+    path, orders = scratch_path(spark, "runs"), _orders_by_year(spark, sf)
+    tables.refresh_run(orders.withColumn("status", F.lit("old")), path, _years(orders))
+    return tables.refresh_run(files.run_rows(orders, "1997"), path, ["1997"])
+
+
+@query(
+    """
+    SELECT o_orderkey, o_orderstatus AS status, CAST(year(o_orderdate) AS VARCHAR) AS run_date FROM orders
+    WHERE year(o_orderdate) <> 1996 AND (year(o_orderdate) <> 1995 OR o_orderstatus = 'F')
+    """
+)
+def dated_empty_rerun(spark, sf):
+    """All years land once; one lands again without any row, another with fewer rows."""
+    path, orders = scratch_path(spark, "runs"), _orders_by_year(spark, sf)
+    tables.refresh_run(orders, path, _years(orders))
+    again = files.run_rows(orders, "1995").where("status = 'F'")
+    return tables.refresh_run(again, path, ["1995", "1996"])
+
+
+@query(
+    """
+    SELECT o_orderkey, CASE WHEN year(o_orderdate) = 1994 THEN 'new' ELSE o_orderstatus END AS status,
+           CAST(year(o_orderdate) AS VARCHAR) AS run_date FROM orders
+    """
+)
+def dated_compaction(spark, sf):
+    """A dated table of many small files is compacted, then one run lands again; no row is lost."""
+    path, orders = scratch_path(spark, "runs"), _orders_by_year(spark, sf)
+    tables.refresh_run(orders.repartition(12), path, _years(orders))
+    tables.compact(spark, path, orders.schema)
+    return tables.refresh_run(files.run_rows(orders, "1994").withColumn("status", F.lit("new")), path, ["1994"])
 
 
 @query(
@@ -288,8 +322,8 @@ def bibliometric_run(spark, sf):
 def published_tables(spark, sf):
     """Authors and citations per document, from the tables a run published."""
     gold = f"{_landed_run(spark, sf, gate=False)[0]}/lake/gold"
-    bridge = spark.read.schema(schemas.AUTHOR_PUBLICATION).parquet(f"{gold}/AUTHOR_PUBLICATION")
-    citations = spark.read.schema(schemas.CITATION_COUNT_BY_YEAR).parquet(f"{gold}/CITATIONS_BY_YEAR")
+    bridge = tables.read_published(spark, gold, "AUTHOR_PUBLICATION", schemas.AUTHOR_PUBLICATION)
+    citations = tables.read_published(spark, gold, "CITATIONS_BY_YEAR", schemas.CITATION_COUNT_BY_YEAR)
     authors = bridge.groupBy("DOCUMENT_ID").agg(F.count(F.lit(1)).alias("authors"))
     cited = citations.groupBy("DOCUMENT_ID").agg(F.sum("CITATION_CNT").alias("cited"))
     return authors.join(cited, "DOCUMENT_ID", "left")

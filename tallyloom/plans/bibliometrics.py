@@ -14,7 +14,7 @@ from tallyloom.operators import relational
 from tallyloom.operators.quality import has_size, is_complete, is_unique, refers_to, run_checks
 from tallyloom.operators.reshape import explode_items, explode_parallel
 from tallyloom.session import materialize
-from tallyloom.sinks.tables import conform, publish, refresh, refresh_run
+from tallyloom.sinks.tables import conform, publish, read_runs, refresh, refresh_run
 from tallyloom.sources import schemas
 from tallyloom.sources.files import literal_rows, parse_json_lines, read_csv, read_text_lines
 
@@ -323,7 +323,8 @@ def bronze_pages(spark: SparkSession, landing: str, lake: str, run_date: str, ki
         F.when(F.col("page").isNull(), F.col("value")).alias("malformed"),
         F.lit(run_date).alias("run_date"),
     )
-    return refresh_run(kept, f"{lake}/bronze/{kind}").where(F.col("run_date") == run_date)
+    refresh_run(kept, f"{lake}/bronze/{kind}", [run_date])
+    return read_runs(spark, f"{lake}/bronze/{kind}", kept.schema, [run_date])
 
 
 def load_run(spark: SparkSession, landing: str, lake: str, run_date: str, gate: bool = True) -> DataFrame:

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
-from math import ceil
+from collections.abc import Mapping, Sequence
+from urllib.parse import quote, unquote, unquote_plus
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from tallyloom.operators.quality import assert_passed
 from tallyloom.session import filesystem, remove_path
+from tallyloom.sinks import versions
 
 
 def create_table(spark: SparkSession, name: str, schema: StructType, path: str | None = None) -> None:
@@ -38,40 +39,76 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*columns)
 
 
-def swap_in(spark: SparkSession, new: str, path: str) -> None:
-    """Put the finished directory ``new`` in the place of ``path``."""
-    fs, target = filesystem(spark, path)
-    _, fresh = filesystem(spark, new)
-    _, old = filesystem(spark, f"{path}__old")
-    fs.mkdirs(target.getParent())
-    fs.delete(old, True)
-    if fs.exists(target) and not fs.rename(target, old):
-        raise OSError(f"cannot move {path} aside")
-    if not fs.rename(fresh, target):
-        fs.rename(old, target)
-        raise OSError(f"cannot move {new} to {path}")
-    fs.delete(old, True)
+def read_current(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The current version of a table that :func:`refresh` wrote."""
+    return spark.read.schema(schema).parquet(versions.current(spark, path))
 
 
 def refresh(df: DataFrame, path: str, schema: StructType | None = None) -> DataFrame:
     """Replace a table by a query result and return the stored table.
 
-    The result is written beside the table and swapped in, so the query may read the table itself
-    and a failed run leaves it untouched.
+    The result is written once, as a new version that becomes current when it is complete, so the query
+    may read the table itself and a failed run leaves it untouched.
     """
     spark = df.sparkSession
     result = df if schema is None else conform(df, schema)
-    remove_path(spark, f"{path}__next")
-    result.write.parquet(f"{path}__next")
-    swap_in(spark, f"{path}__next", path)
-    return spark.read.schema(result.schema).parquet(path)
+    version = versions.fresh(path)
+    result.write.parquet(version)
+    versions.commit(spark, path, version)
+    return spark.read.schema(result.schema).parquet(version)
 
 
-def refresh_run(df: DataFrame, path: str, run_column: str = "run_date") -> DataFrame:
-    """Replace only the dated runs present in ``df``; a re-run of a date does not duplicate it."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(run_column).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def _run_path(path: str, run: str) -> str:
+    return f"{path}/run-{quote(str(run), safe='')}"
+
+
+def refresh_run(df: DataFrame, path: str, runs: Sequence[str], run_column: str = "run_date") -> DataFrame:
+    """Replace the given dated runs by their rows in ``df``, a run without rows included; returns all runs.
+
+    Every run is a versioned table of its own, so a re-run does not duplicate, and a re-run that finds
+    nothing leaves nothing of the earlier one. Rows of other runs are an error, since they would be lost.
+    """
+    spark = df.sparkSession
+    named = F.col(run_column).cast("string")
+    foreign = ~F.coalesce(named.isin([str(r) for r in runs]), F.lit(False))
+    checked = F.when(foreign, F.raise_error(F.concat(F.lit("row of another run: "), F.coalesce(named, F.lit("NULL")))).cast(df.schema[run_column].dataType))
+    guarded = df.withColumn(run_column, checked.otherwise(F.col(run_column)))
+    staged = versions.fresh(f"{path}/_staged")
+    guarded.withColumn("_run", F.url_encode(named)).write.partitionBy("_run").parquet(staged)
+    fs, _ = filesystem(spark, staged)
+    written = {unquote_plus(unquote(name.partition("=")[2])): name for name in _partitions(spark, staged)}
+    for run in runs:
+        version = versions.fresh(_run_path(path, run))
+        _, target = filesystem(spark, version)
+        fs.mkdirs(target.getParent())
+        if str(run) in written:
+            _, source = filesystem(spark, f"{staged}/{written[str(run)]}")
+            if not fs.rename(source, target):
+                raise OSError(f"cannot move the rows of run {run}")
+        else:
+            fs.mkdirs(target)
+        versions.commit(spark, _run_path(path, run), version)
+    remove_path(spark, staged)
+    return read_runs(spark, path, df.schema)
+
+
+def _partitions(spark: SparkSession, path: str) -> list[str]:
+    fs, folder = filesystem(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(folder) if s.getPath().getName().startswith("_run=")]
+
+
+def stored_runs(spark: SparkSession, path: str) -> list[str]:
+    """Runs of a dated table, in order; a run without rows is one of them."""
+    return sorted(unquote(name.removeprefix("run-")) for name in versions.children(spark, path) if name.startswith("run-"))
+
+
+def read_runs(spark: SparkSession, path: str, schema: StructType, runs: Sequence[str] | None = None) -> DataFrame:
+    """The current rows of all or some runs of a dated table."""
+    wanted = stored_runs(spark, path) if runs is None else [str(r) for r in runs]
+    paths = [versions.current(spark, _run_path(path, run)) for run in wanted]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths)
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -98,22 +135,28 @@ def publish(
 ) -> dict[str, str]:
     """Copy checked tables to ``target`` and return name -> path.
 
-    With ``gate`` a failed check stops everything before the first table is replaced; without it the
+    All tables go to one new release, which becomes current as a whole when the last is complete.
+    With ``gate`` a failed check stops everything before the first table is written; without it the
     results are informative only.
     """
     if gate and results is not None:
         assert_passed(results)
-    paths = {}
+    release, stored = versions.fresh(target), {}
     for name, df in tables.items():
-        published = (renames or {}).get(name, name)
-        paths[published] = f"{target}/{published}"
-        refresh(df, paths[published])
-    return paths
+        df.write.parquet(f"{release}/{(renames or {}).get(name, name)}")
+        stored[(renames or {}).get(name, name)] = f"{release}/{(renames or {}).get(name, name)}"
+    versions.commit(spark, target, release)
+    return stored
+
+
+def read_published(spark: SparkSession, target: str, name: str, schema: StructType) -> DataFrame:
+    """A table of the current release."""
+    return spark.read.schema(schema).parquet(f"{versions.current(spark, target)}/{name}")
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, connections: int = 8, **options: str) -> None:
     """Overwrite the rows of a database table, keeping its definition."""
-    limited = df.coalesce(connections)
+    limited = df.repartition(connections)  # the stages before keep their own width
     limited.write.format("jdbc").mode("overwrite").option("truncate", True).options(url=url, dbtable=table, **options).save()
 
 
@@ -131,24 +174,25 @@ def save_results(df: DataFrame, input_path: str, kind: str = "parquet") -> str:
     return path
 
 
-def table_bytes(spark: SparkSession, path: str) -> int:
-    fs, target = filesystem(spark, path)
-    return fs.getContentSummary(target).getLength()
+def _compacted(spark: SparkSession, path: str, schema: StructType) -> None:
+    """Rewrite the current version in files of the advisory partition size."""
+    rows = spark.read.schema(schema).parquet(versions.current(spark, path))
+    version = versions.fresh(path)
+    rows.hint("rebalance").write.parquet(version)
+    versions.commit(spark, path, version)
 
 
-def compact(spark: SparkSession, path: str, target_mb: int = 256) -> int:
-    """Rewrite a table of many small files as few large ones; returns the number of write tasks.
+def compact(spark: SparkSession, path: str, schema: StructType) -> None:
+    """Rewrite a refreshed table, or every run of a dated one, of many small files as few large ones.
 
-    The scan already packs small files into balanced partitions, so merging those needs no shuffle;
-    only a table of fewer partitions than files wanted is shuffled.
+    The layout stays what it was: runs are rewritten one by one, each switched when it is complete. A path
+    of neither layout is refused, since its readers would not see the new files.
     """
-    table = spark.read.parquet(path)
-    wanted = max(1, ceil(table_bytes(spark, path) / (target_mb << 20)))
-    scanned = table.rdd.getNumPartitions()
-    merged = table.coalesce(wanted) if wanted <= scanned else table.repartition(wanted)
-    merged.write.mode("overwrite").parquet(f"{path}__next")
-    swap_in(spark, f"{path}__next", path)
-    return wanted
+    runs = stored_runs(spark, path)
+    if not runs and not versions.exists(spark, path):
+        raise LookupError(f"{path} is no refreshed or dated table")
+    for target in [_run_path(path, run) for run in runs] or [path]:
+        _compacted(spark, target, schema)
 
 
 def inspect(df: DataFrame, rows: int = 20) -> None:

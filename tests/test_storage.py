@@ -7,7 +7,7 @@ from tallyloom.operators import quality
 from tallyloom.operators.relational import keep_first, number_rows, variants
 from tallyloom.operators.reshape import explode_parallel
 from tallyloom.plans import bibliometrics, samples
-from tallyloom.sinks import snapshots, tables
+from tallyloom.sinks import snapshots, tables, versions
 from tallyloom.sources import files, schemas
 
 
@@ -23,33 +23,73 @@ def test_required_columns_are_enforced_while_writing(spark, tmp_path):
     bad = spark.createDataFrame([("a", None)], "AFFILIATION_ID string, DOCUMENT_ID int")
     with pytest.raises(Exception, match="DOCUMENT_ID must not be NULL"):
         tables.refresh(bad, f"{tmp_path}/t", schema)
-    assert rows(spark.read.parquet(f"{tmp_path}/t")) == [("1", "a"), ("2", "b")]
+    assert rows(tables.read_current(spark, f"{tmp_path}/t", stored.schema)) == [("1", "a"), ("2", "b")]
     with pytest.raises(ValueError, match="columns missing"):
         tables.conform(good.drop("AFFILIATION_ID"), schema)
 
 
 def test_refresh_may_read_its_own_table(spark, tmp_path):
     path = f"{tmp_path}/self"
+    schema = spark.range(5).schema
     tables.refresh(spark.range(5), path)
-    tables.refresh(spark.read.parquet(path).where("id > 2"), path)
-    assert rows(spark.read.parquet(path)) == [(3,), (4,)]
+    for low in (1, 2, 3):
+        tables.refresh(tables.read_current(spark, path, schema).where(f"id >= {low}"), path)
+    assert rows(tables.read_current(spark, path, schema)) == [(3,), (4,)]
+    assert len(versions.children(spark, path)) == versions.KEPT
+    with pytest.raises(LookupError):
+        tables.read_current(spark, f"{tmp_path}/other", schema)
 
 
 def test_rerun_of_a_dated_run_does_not_duplicate(spark, tmp_path):
     path = f"{tmp_path}/runs"
-    both = spark.createDataFrame([(1, "d1"), (2, "d2")], "v int, run_date string")
-    tables.refresh_run(both, path)
-    tables.refresh_run(spark.createDataFrame([(3, "d2")], both.schema), path)
-    assert rows(tables.refresh_run(spark.createDataFrame([(3, "d2")], both.schema), path)) == [(1, "d1"), (3, "d2")]
-
-
-def test_compaction_keeps_rows(spark, tmp_path):
-    path = f"{tmp_path}/small"
-    spark.range(100).repartition(20).write.parquet(path)
-    assert tables.compact(spark, path) == 1
-    table = spark.read.parquet(path)
-    assert table.count() == 100
-    assert table.select("_metadata.file_name").distinct().count() == 1
+    both = spark.createDataFrame([(1, "d1"), (2, "d/2 x")], "v int, run_date string")
+    tables.refresh_run(both, path, ["d1", "d/2 x"])
+    again = spark.createDataFrame([(3, "d/2 x")], both.schema)
+    tables.refresh_run(again, path, ["d/2 x"])
+    assert rows(tables.refresh_run(again, path, ["d/2 x"])) == [(1, "d1"), (3, "d/2 x")]
+    assert rows(tables.refresh_run(both.limit(0), path, ["d1"])) == [(3, "d/2 x")]
+    assert tables.stored_runs(spark, path) == ["d/2 x", "d1"]
+    with pytest.raises(Exception, match="row of another run: d1"):
+        tables.refresh_run(both, path, ["d/2 x"])
+    assert rows(tables.read_runs(spark, path, both.schema)) == [(3, "d/2 x")]
+
+
+def test_compaction_keeps_rows_and_layout(spark, tmp_path):
+    path, runs = f"{tmp_path}/small", f"{tmp_path}/runs"
+    small = spark.range(100).repartition(20)
+    tables.refresh(small, path)
+    tables.compact(spark, path, small.schema)
+    table = tables.read_current(spark, path, small.schema)
+    assert table.count() == 100 and table.select("_metadata.file_name").distinct().count() == 1
+    dated = small.withColumn("run_date", F.concat(F.lit("d"), F.col("id") % 2))
+    tables.refresh_run(dated, runs, ["d0", "d1"])
+    tables.compact(spark, runs, dated.schema)
+    kept = tables.refresh_run(dated.where("run_date = 'd1' AND id < 10"), runs, ["d1"])
+    assert kept.where("run_date = 'd0'").count() == 50 and kept.where("run_date = 'd1'").count() == 5
+    assert kept.where("run_date = 'd0'").select("_metadata.file_name").distinct().count() == 1
+    spark.range(3).write.parquet(f"{tmp_path}/plain")
+    with pytest.raises(LookupError, match="no refreshed or dated table"):
+        tables.compact(spark, f"{tmp_path}/plain", small.schema)
+
+
+def test_crash_between_write_and_commit_leaves_the_table(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/t"
+    tables.refresh(spark.range(3), path)
+    tables.publish(spark, {"a": spark.range(1), "b": spark.range(2)}, f"{tmp_path}/gold")
+
+    def crash(*_):
+        raise OSError("crash")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, "commit", crash)
+        with pytest.raises(OSError):
+            tables.refresh(spark.range(9), path)
+        with pytest.raises(OSError):
+            tables.publish(spark, {"a": spark.range(8), "b": spark.range(8)}, f"{tmp_path}/gold")
+    schema = spark.range(1).schema
+    assert tables.read_current(spark, path, schema).count() == 3
+    assert [tables.read_published(spark, f"{tmp_path}/gold", n, schema).count() for n in "ab"] == [1, 2]
+    assert tables.refresh(spark.range(4), path).count() == 4
 
 
 def test_declared_table_and_results_path(spark, tmp_path):
