@@ -1,10 +1,12 @@
 """Queries for row flagging and the card-spend audit, on transactions derived from the test tables."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from tallyloom.catalog.registry import query, table
 from tallyloom.operators import flagging, rules
-from tallyloom.operators.flagging import Cell, all_of, any_of, clause
+from tallyloom.operators.flagging import Cell, all_of, any_of, clause, empty, member, negate
 from tallyloom.operators.relational import lookup_set
 from tallyloom.operators.splits import find_splits, splits_summary
 from tallyloom.plans import spend_audit as plan
@@ -124,16 +126,73 @@ def splits_sql(source, limit):
     """
 
 
+def _flag_sheet(spark, sf):
+    """A number (empty in every fifth row), a text, a text that may spell a number, a date, a truth value."""
+    events = table(spark, sf, "events")
+    fifth = F.col("event_id") % 5 == 0
+    return events.select(
+        "event_id",
+        F.when(~fifth, F.col("value")).alias("amount"),
+        F.col("event_type").alias("kind"),
+        F.when(fifth, F.col("event_type")).otherwise(F.col("value").cast("string")).alias("written"),
+        F.col("ts").cast("date").alias("day"),
+        (F.col("event_id") % 2 == 0).alias("even"),
+    )
+
+
+_FLAG_SHEET = """WITH s AS (SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN value END AS amount, value, event_type AS kind,
+    CAST(ts AS DATE) AS day, event_id % 2 = 0 AS even FROM events)"""
+
+
 @query(
-    """
-    SELECT event_id, CASE WHEN event_id % 5 = 0 THEN 'INVALID' WHEN value > 100 THEN 'Yes' ELSE 'No' END AS Results,
-           CASE WHEN event_id % 5 <> 0 AND value > 100 THEN 'Peach' END AS highlight FROM events
+    f"""
+    {_FLAG_SHEET} SELECT event_id, CASE WHEN amount IS NULL THEN 'INVALID' WHEN amount > 100 AND kind <> 'view' THEN 'Yes' ELSE 'No' END AS Results,
+           CASE WHEN amount > 100 AND kind <> 'view' THEN 'Peach' END AS highlight FROM s
     """
 )
 def flag_rows(spark, sf):
-    content = F.when(F.col("event_id") % 5 == 0, F.col("event_type")).otherwise(F.col("value").cast("string"))
-    rows = table(spark, sf, "events").select("event_id", content.alias("amount"))
-    return flagging.flag_rows(rows, clause("B", ">", 100)).select("event_id", "Results", "highlight")
+    condition = all_of(clause("B", ">", 100), clause("C", "!=", "view"))
+    return flagging.flag_rows(_flag_sheet(spark, sf), condition).select("event_id", "Results", "highlight")
+
+
+@query(f"{_FLAG_SHEET} SELECT event_id, CASE WHEN kind = 'view' THEN 'Yes' ELSE 'INVALID' END AS Results FROM s")
+def flag_text_is_no_number(spark, sf):
+    """A text cell never orders against a number, whatever it spells."""
+    condition = any_of(clause("kind", "==", "view"), clause("written", ">", 100))
+    return flagging.flag_rows(_flag_sheet(spark, sf), condition).select("event_id", "Results")
+
+
+@query(f"{_FLAG_SHEET} SELECT event_id, CASE WHEN amount IS NULL THEN 'INVALID' WHEN value > 100 THEN 'Yes' ELSE 'No' END AS Results FROM s")
+def flag_loose(spark, sf):
+    """The same text cells read as a sheet of texts."""
+    return flagging.flag_rows(_flag_sheet(spark, sf), clause("written", ">", 100), loose=True).select("event_id", "Results")
+
+
+@query(
+    f"""
+    {_FLAG_SHEET} SELECT event_id, CASE WHEN even AND day >= DATE '2024-01-10' AND amount IS NOT NULL THEN 'Yes'
+      WHEN kind IN ('view', 'click') THEN 'No' ELSE 'Yes' END AS Results FROM s
+    """
+)
+def flag_clauses(spark, sf):
+    """Truth values, dates, emptiness, membership and negation."""
+    dated = all_of(clause("even", "==", True), clause("day", ">=", dt.date(2024, 1, 10)), negate(empty("amount")))
+    condition = any_of(dated, negate(member("kind", ["view", "click"])))
+    return flagging.flag_rows(_flag_sheet(spark, sf), condition).select("event_id", "Results")
+
+
+@query(
+    """
+    SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_tax = 0 THEN 'INVALID'
+      WHEN l_quantity * 2 + l_discount / l_tax > l_linenumber + 50 THEN 'Yes' ELSE 'No' END AS Results FROM lineitem
+    """
+)
+def flag_arithmetic(spark, sf):
+    """Arithmetic between cells; a division by zero is INVALID."""
+    left = Cell("l_quantity") * 2 + Cell("l_discount") / Cell("l_tax")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_tax")
+    flagged = flagging.flag_rows(lines, clause(left, ">", Cell("l_linenumber") + 50))
+    return flagged.select("l_orderkey", "l_linenumber", "l_partkey", "Results")
 
 
 @query(
@@ -147,7 +206,6 @@ def flag_rows(spark, sf):
 )
 def flag_conditions(spark, sf):
     lines = table(spark, sf, "lineitem").withColumn("l_quantity", F.nullif(F.col("l_quantity"), F.lit(7.0)))
-    lines = lines.drop("l_shipdate")
     condition = any_of(
         all_of(clause("l_returnflag", "==", "R"), clause("l_quantity", ">", 10)), clause("l_tax", "<=", Cell("l_discount"))
     )

@@ -4,16 +4,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.operators import flagging
-from tallyloom.operators.flagging import Cell, all_of, any_of, clause
+from tallyloom.operators.flagging import Cell, all_of, any_of, clause, empty, member, negate
 from tallyloom.operators.rules import with_list_flags
 from tallyloom.plans import spend_audit as plan
 
 SHEET = "a double, b double, c double, d string"
 
 
-def answers(spark, condition, *rows, schema=SHEET):
+def answers(spark, condition, *rows, schema=SHEET, loose=False):
     df = spark.createDataFrame(list(rows), schema)
-    return [r.Results for r in flagging.flag_rows(df, condition).select("Results").collect()]
+    return [r.Results for r in flagging.flag_rows(df, condition, loose=loose).select("Results").collect()]
 
 
 def test_numeric_row(spark):
@@ -30,12 +30,32 @@ def test_text_cells(spark):
     rows = [one("Sales"), one("5"), one(None)]
     assert answers(spark, clause("D", "==", "Sales"), *rows) == ["Yes", "No", "No"]
     assert answers(spark, clause("D", "!=", "Sales"), *rows) == ["No", "Yes", "Yes"]
-    assert answers(spark, clause("D", ">", 4), *rows) == ["INVALID", "Yes", "INVALID"]
-    assert answers(spark, clause("D", "==", 5), *rows) == ["No", "Yes", "No"]
+    assert answers(spark, clause("D", ">", 4), *rows) == ["INVALID"] * 3
+    assert answers(spark, clause("D", "==", 5), *rows) == ["No"] * 3
+    assert answers(spark, clause("D", ">", 4), *rows, loose=True) == ["INVALID", "Yes", "INVALID"]
+    assert answers(spark, clause("D", "==", 5), *rows, loose=True) == ["No", "Yes", "No"]
     assert answers(spark, clause("A", "==", "Sales"), *rows) == ["No", "No", "No"]
     assert answers(spark, clause("A", "<", "Sales"), *rows) == ["INVALID"] * 3
 
 
+def test_dates_truth_values_and_terms(spark):
+    schema = "a double, b boolean, c date, d string"
+    rows = [(2.0, True, dt.date(2022, 3, 1), "x"), (0.0, False, None, None)]
+    check = lambda condition: answers(spark, condition, *rows, schema=schema)
+    assert check(clause("C", ">", dt.date(2022, 2, 28))) == ["Yes", "INVALID"]
+    assert check(clause("C", ">", 3)) == ["INVALID", "INVALID"]
+    assert check(clause("B", "==", 1)) == ["Yes", "No"]
+    assert check(clause("B", "<", 1)) == ["No", "Yes"]
+    assert check(negate(clause("B", "==", True))) == ["No", "Yes"]
+    assert check(negate(clause("C", ">", 3))) == ["INVALID", "INVALID"]
+    assert check(empty("D")) == ["No", "Yes"]
+    assert check(member("D", ["x", 2, Cell("A")])) == ["Yes", "No"]
+    assert check(clause(Cell("A") / Cell("A"), "==", 1)) == ["Yes", "INVALID"]
+    assert check(clause(Cell("A") + Cell("B") * 3 - 1, "==", 4)) == ["Yes", "No"]
+    assert check(clause(Cell("D") + "y", "==", "xy")) == ["Yes", "INVALID"]
+    assert check(clause(Cell("D") + 1, "==", "x1")) == ["INVALID", "INVALID"]
+
+
 def test_order_of_evaluation(spark):
     row = (1.0, None, 3.0, "x")
     broken = clause("B", ">", 0)
