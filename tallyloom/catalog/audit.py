@@ -16,7 +16,7 @@ LIMIT = 400.0
 CATEGORIES = ["9399", "7011", "4111", "7513", "7932", "5411", "5812", None]
 CODES = [
     "54260", "54206", "54208", "52334", "52136", "52204", "52206", "52207", "54211", "58208",
-    "52336", "52337", "53332", "54285", "54287", "54000", "54004", "52008", "51000", None,
+    "52336", "52337", "53332", "53334", "54285", "54287", "54000", "54002", "54004", "52008", "51000", None,
 ]
 
 
@@ -42,7 +42,7 @@ def events_master(spark, sf):
             F.when(k != 2, F.col("ts")).alias("date"),
             F.when((k != 3) & (k != 0), F.col("value")).alias("total"),
             _pick(CATEGORIES, F.pmod(F.col("event_id"), F.lit(8)).cast("int")).alias("merchant_category"),
-            _pick(CODES, F.pmod(F.col("event_id") + k, F.lit(20)).cast("int")).alias("gl_code"),
+            _pick(CODES, F.pmod(F.col("event_id") + k, F.lit(len(CODES))).cast("int")).alias("gl_code"),
             F.when(k == 5, "Seen before").alias("criteria"),
         )
     )
@@ -54,7 +54,7 @@ EVENTS_SQL = f"""
         CASE WHEN k = 0 THEN 'CHEQUE' WHEN k <> 1 THEN event_type || ' ' || k END AS merchant,
         CASE WHEN k <> 2 THEN ts END AS date, CASE WHEN k NOT IN (0, 3) THEN value END AS total,
         {_sql_pick(CATEGORIES, '(event_id % 8)')} AS merchant_category,
-        {_sql_pick(CODES, '((event_id + k) % 20)')} AS gl_code,
+        {_sql_pick(CODES, f'((event_id + k) % {len(CODES)})')} AS gl_code,
         CASE WHEN k = 5 THEN 'Seen before' END AS criteria FROM ev),
     fps AS (SELECT DISTINCT cardholder AS entry FROM m WHERE total > 480),
     rcm AS (SELECT DISTINCT cardholder AS entry FROM m WHERE total < 0.5),
@@ -120,8 +120,8 @@ def splits_sql(source, limit):
                 coalesce(c.at_us - l.at_us, 0) < 432000000000
                 AND 5 * levenshtein(l.shop, c.shop) <= 2 * greatest(1, length(l.shop), length(c.shop)))[1] AS hit
             FROM st JOIN cand c ON c.cardholder = st.cardholder AND c.i = st.i + 1)),
-    valid AS (SELECT home, count(*) AS split_rows, CAST(sum(CAST(total AS DECIMAL(28, 6))) AS DOUBLE) AS split_total
-        FROM st GROUP BY home HAVING count(*) > 1 AND sum(CAST(total AS DECIMAL(28, 6))) >= {limit}),
+    valid AS (SELECT home, count(*) AS split_rows, fsum(total) AS split_total
+        FROM st GROUP BY home HAVING count(*) > 1 AND fsum(total) >= {limit}),
     members AS (SELECT row_index, cardholder, home AS split_index, split_rows, split_total FROM st JOIN valid USING (home))
     """
 
@@ -242,14 +242,14 @@ def order_lines_master(spark, sf):
         F.col("p_name").alias("merchant"),
         F.col("l_extendedprice").alias("total"),
         _pick(CATEGORIES, F.pmod("p_size", F.lit(8))).alias("merchant_category"),
-        _pick(CODES, F.pmod(F.col("l_linenumber") * 3 + F.col("l_partkey"), F.lit(20)).cast("int")).alias("gl_code"),
+        _pick(CODES, F.pmod(F.col("l_linenumber") * 3 + F.col("l_partkey"), F.lit(len(CODES))).cast("int")).alias("gl_code"),
     )
 
 
 ORDER_LINES_SQL = f"""
     m AS (SELECT l_orderkey, l_partkey, l_suppkey, c_name AS cardholder, p_name AS merchant, l_extendedprice AS total,
         {_sql_pick(CATEGORIES, '(p_size % 8)')} AS merchant_category,
-        {_sql_pick(CODES, '((l_linenumber * 3 + l_partkey) % 20)')} AS gl_code
+        {_sql_pick(CODES, f'((l_linenumber * 3 + l_partkey) % {len(CODES)})')} AS gl_code
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
       JOIN part ON l_partkey = p_partkey),
     f AS (SELECT m.*, cardholder IN (SELECT upper(c_name) FROM customer WHERE c_acctbal < 0) AS in_fps,

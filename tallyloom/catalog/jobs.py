@@ -178,9 +178,19 @@ def sample_results_above(spark, sf):
     return _typed(samples.results_above(results, "TRM_aquaregia", "AR-Fe_mg/kg", 1700))
 
 
-@query(f"WITH {SAMPLE_SQL} SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_bad, 'Success' AS status FROM wide")
+@query(
+    f"""
+    WITH {SAMPLE_SQL}, listed AS (SELECT SAMPLE_ID, Sample_Type_LBL FROM wide
+        UNION ALL SELECT SAMPLE_ID, Sample_Type_LBL FROM wide WHERE Sample_Type_LBL = 'XRF' AND Zone_LBL = '1'),
+      n AS (SELECT count(*) AS n FROM listed GROUP BY SAMPLE_ID, Sample_Type_LBL)
+    SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(n) FILTER (WHERE n > 1) AS BIGINT) AS n_bad, 'Failure' AS status FROM n
+    """
+)
 def sample_duplicates(spark, sf):
-    return samples.sample_checks(sample_sheets(spark, sf)).select("n_rows", "n_bad", "status")
+    """The samples of one sheet and zone are listed twice."""
+    sheets = sample_sheets(spark, sf)
+    twice = sheets.where("`Sample Type` = 'XRF' AND Zone = '1'")
+    return samples.sample_checks(sheets.unionByName(twice)).select("n_rows", "n_bad", "status")
 
 
 def labour_rows(spark, sf):

@@ -303,7 +303,7 @@ def union_by_name(spark, sf):
     return supplier.unionByName(customer, allowMissingColumns=True)
 
 
-@query("SELECT substr(c_name, 10) AS number_text, c_custkey FROM customer WHERE substr(c_name, 10) LIKE '0000%'")
+@query("SELECT substr(c_name, 10) AS number_text, c_custkey FROM customer WHERE substr(c_name, 10) LIKE '0000001%'")
 def prefix_filter(spark, sf):
     numbered = table(spark, sf, "customer").select(suffix_from(F.col("c_name"), 10).alias("number_text"), "c_custkey")
-    return numbered.where(F.col("number_text").startswith("0000"))
+    return numbered.where(F.col("number_text").startswith("0000001"))

@@ -2,15 +2,17 @@
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
-from tallyloom.catalog import bibliometrics, jobs
+from tallyloom.catalog import audit, bibliometrics, jobs
 from tallyloom.catalog.registry import query, table
 from tallyloom.operators.quality import has_size, is_complete, is_unique, run_checks
 from tallyloom.plans import bibliometrics as plan
-from tallyloom.plans import samples
-from tallyloom.session import scratch_path
+from tallyloom.functions.cells import column_number
+from tallyloom.plans import labour, samples, spend_audit, tracker
+from tallyloom.session import materialize, scratch_path
 from tallyloom.sinks import snapshots, tables
 from tallyloom.sources import files, schemas
 from tallyloom.sources.schemas import LONG, TEXT, record
@@ -54,18 +56,21 @@ def text_lines(spark, sf):
 
 @query(
     """
-    SELECT s_suppkey, 5 AS "row", s_name AS name, CAST(s_nationkey AS VARCHAR) AS nation FROM supplier
-    UNION ALL SELECT s_suppkey, 7, 'again, "' || s_name || '"', NULL FROM supplier
+    WITH s AS (SELECT *, row_number() OVER (PARTITION BY s_suppkey // 100 ORDER BY s_suppkey) - 1 AS place FROM supplier)
+    SELECT s_suppkey, CAST(5 + 3 * place AS INTEGER) AS "row", s_name AS name, CAST(s_nationkey AS VARCHAR) AS nation FROM s
+    UNION ALL SELECT s_suppkey, 7 + 3 * place, 'again, "' || s_name || '"', NULL FROM s
     """
 )
 def positional_read(spark, sf):
-    """One sheet file per supplier: four heading lines, then rows 5 to 7, of which 6 is empty."""
+    """Sheet files of a hundred suppliers: four heading lines, then three rows each, of which one is empty."""
     base = scratch_path(spark, "sheets")
     first = F.concat_ws(",", F.col("s_suppkey").cast("string"), "s_name", F.col("s_nationkey").cast("string"))
     again = F.concat(F.col("s_suppkey").cast("string"), F.lit(',"again, ""'), "s_name", F.lit('""",'))
-    content = F.concat_ws("\n", F.lit("a\n\nb\nc"), first, F.lit(",,"), again)
-    supplier = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("sheet"), content.alias("value"))
-    supplier.write.partitionBy("sheet").text(base)
+    rows = table(spark, sf, "supplier").select("s_suppkey", F.concat_ws("\n", first, F.lit(",,"), again).alias("value"))
+    grouped = rows.groupBy(F.floor(F.col("s_suppkey") / 100).alias("sheet"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("s_suppkey", "value"))), lambda row: row["value"])
+    sheets = grouped.agg(F.concat(F.lit("a\n\nb\nc\n"), F.array_join(ordered, "\n")).alias("value"))
+    sheets.write.partitionBy("sheet").text(base)
     block = files.read_block(spark, f"{base}/*", ["s_suppkey", "name", "nation"], first_row=5)
     return block.select(F.col("s_suppkey").cast("bigint").alias("s_suppkey"), "row", "name", "nation")
 
@@ -218,7 +223,9 @@ def table_as_select(spark, sf):
     more = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("c_custkey"), F.lit("new").alias("c_mktsegment"))
     tables.append(more, path)
     spark.catalog.refreshTable(name)
-    return files.read_table(spark, name)
+    stored = materialize(files.read_table(spark, name), "table-scan")
+    spark.sql(f"DROP TABLE {name}")
+    return stored
 
 
 def _checks_sql():
@@ -346,3 +353,119 @@ def appended_pages(spark, sf):
     tables.append(customer.where("c_custkey % 2 = 0"), path)
     tables.append(customer.where("c_custkey % 2 = 1").withColumn("c_name", F.upper("c_name")), path)
     return spark.read.schema(customer.schema).parquet(path)
+
+
+# ---- whole jobs: files in, stored tables out ----
+
+
+def _tracker_files(spark, sf, base):
+    """The tracker's sheets as files of some thousand order keys each, projects in order."""
+    lines = jobs.tracker_sheets(spark, sf).select("file", F.regexp_replace("value", r"(?s)^.*Name,Value\n", "").alias("line"))
+    sheet = F.floor(F.substring("file", 7, 12).cast("bigint") / 4000)
+    grouped = lines.groupBy(F.lpad(sheet.cast("string"), 9, "0").alias("sheet"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("file", "line"))), lambda row: row["line"])
+    content = F.concat(F.lit('Tracker\n\n"Projects, all\nregions",,\nName,Value\n'), F.array_join(ordered, "\n"))
+    grouped.agg(content.alias("value")).write.partitionBy("sheet").text(base)
+
+
+@query(
+    f"""
+    WITH {jobs.PROJECT_SQL}, lk AS (SELECT unnest(['GEOLOGY_IND', 'PERMAFROST_IND', 'UNUSED_IND']) AS SPECIALIZATION_CD)
+    SELECT PROJECT_ID, SPECIALIZATION_CD, pj.PROJECT_NM, pj.o_orderstatus AS DOCUMENTATION, lk.SPECIALIZATION_CD IS NOT NULL AS known
+    FROM sp FULL JOIN lk USING (SPECIALIZATION_CD) LEFT JOIN pj USING (PROJECT_ID)
+    """
+)
+def tracker_run(spark, sf):
+    """Sheet files to the three stored tables, read back and joined."""
+    base = scratch_path(spark, "tracker")
+    _tracker_files(spark, sf, f"{base}/sheets")
+    lookup = spark.sql("SELECT explode(array('GEOLOGY_IND', 'PERMAFROST_IND', 'UNUSED_IND')) AS Specialization_CD")
+    stored = tracker.load_tracker(spark, f"{base}/sheets/*", lookup, f"{base}/tables", jobs.FISCAL_YEAR)
+    project = stored["EA_PROJECT_TRACKER"].select("PROJECT_ID", "PROJECT_NM", F.col("EA_IA_DOCUMENTATION_ISSUED_LBL").alias("DOCUMENTATION"))
+    codes = stored["EA_SPECIALIZATION"].select(F.col("Specialization_CD").alias("SPECIALIZATION_CD"), F.lit(True).alias("listed"))
+    rows = stored["EA_PROJECT_SPECIALIZATION"].join(project, "PROJECT_ID", "left").join(codes, "SPECIALIZATION_CD", "left")
+    return rows.select("PROJECT_ID", "SPECIALIZATION_CD", "PROJECT_NM", "DOCUMENTATION", F.col("listed").isNotNull().alias("known"))
+
+
+@query(f"WITH {jobs.SAMPLE_SQL} SELECT Project_NM, Sample_Type_LBL, count(*) AS n, count(v) AS n_values, round(sum(v), 2) AS total FROM res GROUP BY 1, 2")
+def samples_run(spark, sf):
+    """Workbook directories to the declared result table, and a report read from it by name."""
+    base, headers, name = scratch_path(spark, "samples"), {}, f"tallyloom_{uuid.uuid4().hex}"
+    for sheet in jobs.SHEETS:
+        wide = jobs.sample_sheet(spark, sf, sheet)
+        headers[sheet] = schemas.texts(wide.columns)
+        wide.write.option("header", True).csv(f"{base}/books/book/{sheet}")
+    results = samples.load_samples(spark, f"{base}/books", headers, name, f"{base}/table").groupBy("Project_NM", "Sample_Type_LBL")
+    value = F.col("Value_SRT").cast("double")
+    report = results.agg(F.count(F.lit(1)).alias("n"), F.count(value).alias("n_values"), F.round(F.sum(value), 2).alias("total"))
+    stored = materialize(report, "report")
+    spark.sql(f"DROP TABLE {name}")
+    return stored
+
+
+@query(
+    f"""
+    WITH {jobs.LABOUR_SQL}, ft AS (SELECT * FROM lf WHERE v IS NOT NULL AND ch = '{labour.FULL_TIME}')
+    SELECT 'history 0' AS what, 'CREATE TABLE AS SELECT' AS detail, count(*) AS n FROM ft
+    UNION ALL SELECT 'history 1', 'UPDATE', count(*) FROM ft
+    UNION ALL SELECT 'before', ch, count(*) FROM ft GROUP BY ch
+    UNION ALL SELECT 'after', 'Full Time', count(*) FROM ft
+    UNION ALL SELECT 'view', NAICS, count(*) FROM ft GROUP BY NAICS
+    """
+)
+def labour_run(spark, sf):
+    """CSV to a stored table, an update, its history, both states, and a named view for SQL."""
+    base, view = scratch_path(spark, "labour"), f"tallyloom_{uuid.uuid4().hex}"
+    jobs.labour_rows(spark, sf).write.option("header", True).csv(f"{base}/csv")
+    first, second = dt.datetime(2021, 2, 22, 22, 0), dt.datetime(2021, 2, 23, 22, 0)
+    labour.load_labour(spark, f"{base}/csv", f"{base}/table", first, second)
+    history = snapshots.history(spark, f"{base}/table")
+    parts = [history.select(F.concat(F.lit("history "), "version").alias("what"), F.col("operation").alias("detail"), F.col("n_rows").alias("n"))]
+    for what, moment in (("before", dt.datetime(2021, 2, 23)), ("after", dt.datetime(2021, 2, 24))):
+        rows = snapshots.read_as_of(spark, f"{base}/table", moment)
+        parts.append(rows.groupBy(F.lit(what).alias("what"), F.col("Labour_force_characteristics").alias("detail")).agg(F.count(F.lit(1)).alias("n")))
+    tables.register_view(snapshots.read_version(spark, f"{base}/table"), view)
+    parts.append(materialize(spark.sql(f"SELECT 'view' AS what, NAICS AS detail, count(*) AS n FROM {view} GROUP BY NAICS"), "view"))
+    spark.catalog.dropTempView(view)
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def _audit_sheet(rows, positions):
+    """A sheet of text cells with the given columns at their letters, the others empty."""
+    named = {at: name for name, at in positions.items()}
+    empty = F.lit(None).cast("string")
+    cells = [F.col(named[i]).cast("string") if i in named else empty for i in range(1, max(named) + 1)]
+    return rows.select([c.alias(f"c{i}") for i, c in enumerate(cells, 1)])
+
+
+@query(
+    f"""
+    WITH RECURSIVE {audit.EVENTS_SQL}, b AS (SELECT f.* REPLACE (CASE WHEN row_index % 11 <> 0 THEN cardholder END AS cardholder) FROM f),
+    c AS (SELECT * FROM b WHERE cardholder IS NOT NULL AND NOT in_fps AND coalesce(gl_code, '') <> '52008'),
+    {audit.splits_sql('c', audit.LIMIT)}
+    SELECT row_index, cardholder, CASE WHEN cardholder IS NOT NULL THEN criteria END AS criteria,
+      CASE WHEN cardholder IS NOT NULL THEN highlight END AS highlight
+    FROM (SELECT row_index, cardholder,
+      {audit._sql_marks([*audit.sql_rules(audit.LIMIT), ("Potential Splits", "in_split", "OrangeRed")])}
+    FROM (SELECT b.* EXCLUDE (criteria), row_index IN (SELECT row_index FROM members) AS in_split FROM b))
+    """
+)
+def audit_run(spark, sf):
+    """Four sheets from files to saved results beside them; every eleventh row has no cardholder."""
+    base = scratch_path(spark, "audit")
+    master = audit.events_master(spark, sf).withColumn("cardholder", F.when(F.col("row_index") % 11 != 0, F.col("cardholder")))
+    letters = {name: column_number(letter) for letter, name in schemas.AUDIT_CELLS.items()}
+    rows = master.withColumn("description", F.col("row_index"))
+    _audit_sheet(rows, letters).write.option("header", True).csv(f"{base}/Master.csv")
+    for name, entries in zip(spend_audit.LIST_CELLS, audit.events_lists(audit.events_master(spark, sf))):
+        _audit_sheet(entries, {"entry": column_number(spend_audit.LIST_CELLS[name])}).write.option("header", True).csv(f"{base}/{name}.csv")
+    width = max(letters.values())
+
+    def sheet(name, columns):
+        return files.read_csv(spark, f"{base}/{name}.csv", schemas.texts([f"c{i}" for i in range(1, columns + 1)]))
+
+    sheets = {name: sheet(name, column_number(letter)) for name, letter in spend_audit.LIST_CELLS.items()}
+    cells = sheet("Master", width)
+    sheets["Master"] = spend_audit.master_rows(cells.withColumn("row", F.col("c3").cast("bigint")))
+    saved = tables.save_results(spend_audit.audit_sheets(sheets, spend_limit=audit.LIMIT), f"{base}/Master.parquet")
+    return spark.read.schema(record(row_index=LONG, cardholder=TEXT, criteria=TEXT, highlight=TEXT)).parquet(saved)

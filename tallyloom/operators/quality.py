@@ -70,16 +70,16 @@ def _unique_check(df: DataFrame, check: Check) -> DataFrame:
 
 
 def _reference_check(df: DataFrame, check: Check) -> DataFrame:
-    """Child keys are counted first, so a hot key reaches the join as one row."""
-    keys = df.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("n"))
-    parent = check.parent.select(
-        *[F.col(c).alias(f"_p{i}") for i, c in enumerate(check.parent_columns)], F.lit(True).alias("_known")
-    ).distinct()
-    same = reduce(Column.__and__, [F.col(c) == F.col(f"_p{i}") for i, c in enumerate(check.columns)])
-    return keys.join(parent, same, "left").agg(
+    """Child and parent keys are counted in one partial aggregate: no join, and a hot key is one row."""
+    keys = [f"k{i}" for i in range(len(check.columns))]
+    child = df.select(*[F.col(c).alias(k) for c, k in zip(check.columns, keys)], F.lit(1).alias("n"), F.lit(0).alias("known"))
+    parent = check.parent.select(*[F.col(c).alias(k) for c, k in zip(check.parent_columns, keys)], F.lit(0).alias("n"), F.lit(1).alias("known"))
+    counts = child.union(parent).groupBy(*keys).agg(F.sum("n").alias("n"), F.max("known").alias("known"))
+    missing = " OR ".join(["known = 0", *[f"{k} IS NULL" for k in keys]])
+    return counts.agg(
         F.lit(check.name).alias("constraint"),
         F.expr("coalesce(sum(n), 0)").alias("n_rows"),
-        F.expr("coalesce(sum(n) FILTER (WHERE _known IS NULL), 0)").alias("n_bad"),
+        F.expr(f"coalesce(sum(n) FILTER (WHERE {missing}), 0)").alias("n_bad"),
     )
 
 

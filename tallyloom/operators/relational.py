@@ -26,13 +26,13 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) ->
 def keep_ties(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """All rows per key that share the smallest ``order``.
 
-    The smallest value is a partially aggregated minimum; rows are then kept by a semi join, whose
-    hot partitions adaptive execution can split, which one window partition could not be.
+    Distinct keys and orders come from a hash aggregate, the smallest per key from a rank that drops losers
+    in every map task; rows are then kept by a semi join, whose hot partitions adaptive execution can
+    split, which one window partition could not be.
     """
-    best = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_best")).select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        *[F.col("_best")[o].alias(f"_o_{o}") for o in order],
-    )
+    first = Window.partitionBy(*keys).orderBy(*order)
+    best = df.select(*keys, *order).distinct().withColumn("_rank", F.row_number().over(first)).where("_rank = 1")
+    best = best.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(o).alias(f"_o_{o}") for o in order])
     same = [df[k].eqNullSafe(best[f"_k_{k}"]) for k in keys]
     same += [df[o].eqNullSafe(best[f"_o_{o}"]) for o in order]
     return df.join(best, reduce(Column.__and__, same), "left_semi")
@@ -46,19 +46,10 @@ def duplicates(df: DataFrame, keys: Sequence[str], count: str = "copies") -> Dat
 def variants(df: DataFrame, key: str, value: str) -> DataFrame:
     """Rows whose key has more than one distinct ``value``; a missing value is one of them.
 
-    More than one variant exists when the extremes differ or when missing and present mix, which
-    one partial aggregate decides. The rows themselves are then kept by a semi join.
+    Distinct pairs are taken first, then counted per key: two hash aggregates with partial results, in
+    which a missing value is a group. The rows themselves are then kept by a semi join.
     """
-    mixed = (
-        df.groupBy(key)
-        .agg(
-            F.min(value).alias("_low"),
-            F.max(value).alias("_high"),
-            F.count(value).alias("_present"),
-            F.count(F.lit(1)).alias("_rows"),
-        )
-        .where("_low <> _high OR (_present > 0 AND _present < _rows)")
-    )
+    mixed = df.groupBy(key, value).agg(F.lit(1).alias("_one")).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     return df.join(mixed.select(key), key, "left_semi")
 
 
@@ -106,6 +97,16 @@ def flag_membership(df: DataFrame, value: Column, lookup: DataFrame, flag: str)
     return joined.withColumn(flag, F.coalesce("_hit", F.lit(False))).drop("_value", "_entry", "_hit")
 
 
+def flag_memberships(df: DataFrame, value: Column, lookups: Mapping[str, DataFrame]) -> DataFrame:
+    """Add a boolean column per lookup for the same value: the lists are merged, so one join answers all."""
+    marked = [lookup.select("entry", *[F.lit(n == name).alias(n) for n in lookups]) for name, lookup in lookups.items()]
+    merged = reduce(DataFrame.union, marked).groupBy(F.col("entry").alias("_entry"))
+    merged = merged.agg(*[F.max(n).alias(f"_{n}") for n in lookups])
+    joined = df.withColumn("_value", value).join(merged, F.col("_value") == F.col("_entry"), "left")
+    flags = {n: F.coalesce(f"_{n}", F.lit(False)) for n in lookups}
+    return joined.withColumns(flags).drop("_value", "_entry", *[f"_{n}" for n in lookups])
+
+
 def classify(
     df: DataFrame, name: str, rules: Sequence[tuple[int, str]], otherwise: int, into: str
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.relational import flag_membership
+from tallyloom.operators.relational import flag_membership, flag_memberships
 
 # Merchant category and ledger codes the rules look for.
 INTERNAL_CATEGORY = "9399"
@@ -57,8 +57,7 @@ class Rule:
 
 def with_list_flags(rows: DataFrame, fps: DataFrame, rcm: DataFrame, dsc: DataFrame) -> DataFrame:
     """Add ``in_fps``, ``in_rcm`` (cardholder as written) and ``in_dsc`` (merchant in upper case)."""
-    flagged = flag_membership(rows, F.col("cardholder"), fps, "in_fps")
-    flagged = flag_membership(flagged, F.col("cardholder"), rcm, "in_rcm")
+    flagged = flag_memberships(rows, F.col("cardholder"), {"in_fps": fps, "in_rcm": rcm})
     return flag_membership(flagged, F.coalesce(F.upper("merchant"), F.lit("")), dsc, "in_dsc")
 
 

@@ -33,7 +33,7 @@ from tallyloom.session import materialize, scratch_path
 MAX_DAYS = 4
 SIMILARITY = 60
 LARGEST_BATCH = 1000  # up to here Spark applies a rank limit before the shuffle
-_MONEY = "decimal(28,6)"
+_EXACT = "decimal(28,12)"  # what fits is added exactly, in any order; the rest as floating point
 _LEADER = "struct<pos:bigint,shop:string,at:bigint>"
 
 
@@ -77,9 +77,9 @@ def _ordered(*extra: str) -> Column:
 
 
 def _purchases(rows: DataFrame) -> DataFrame:
-    """One row per cardholder, merchant and date: first position, rows, exact total."""
+    """One row per cardholder, merchant and date: first position, rows, total."""
     return rows.groupBy("holder", "shop", "at").agg(
-        F.min("pos").alias("pos"), F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount")
+        F.min("pos").alias("pos"), F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"), F.sum("rest").alias("rest")
     )
 
 
@@ -125,7 +125,7 @@ def _fold_sessions(purchases: DataFrame, max_days: int, similarity: int) -> Data
     """
     parts = int(purchases.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread_out = purchases.repartition(parts, "holder", "session")
-    arrays = spread_out.groupBy("holder", "session").agg(_ordered("n", "amount").alias("rows"))
+    arrays = spread_out.groupBy("holder", "session").agg(_ordered("n", "amount", "rest").alias("rows"))
     folded = arrays.withColumn("homes", _fold(F.col("rows"), max_days, similarity)["homes"])
     pairs = F.arrays_zip("rows", "homes")
     return folded.select("holder", F.explode(pairs).alias("pair")).select(
@@ -167,7 +167,7 @@ def _peel_sessions(purchases: DataFrame, max_days: int, similarity: int, batch:
     source, base, rounds = scratch_path(spark, "periods"), scratch_path(spark, "peeled"), 0
     span = (max_days + 1) * DAY_MICROS
     period = F.when(F.col("forward"), F.floor(F.col("at") / span))
-    columns = ["holder", "session", "pos", "shop", "at", "n", "amount"]
+    columns = ["holder", "session", "pos", "shop", "at", "n", "amount", "rest"]
     by_period = purchases.select(*columns, period.alias("period"))
     by_period.hint("rebalance", "period").write.partitionBy("period").parquet(source)
     dated = spark.read.schema(by_period.schema).parquet(source)
@@ -189,16 +189,19 @@ def _peel_sessions(purchases: DataFrame, max_days: int, similarity: int, batch:
     stored = [*dated.select(*columns, F.col("pos").alias("home")).schema.fields]
     stored += [StructField("decided", BooleanType()), StructField("round", IntegerType())]
     done = spark.read.schema(StructType(stored)).parquet(base).where("decided")
-    return done.select("holder", "pos", "shop", "at", "n", "amount", "home")
+    return done.select("holder", "pos", "shop", "at", "n", "amount", "rest", "home")
 
 
 def _rows(df: DataFrame, order: str, cardholder: str, merchant: str, date: str, total: str) -> DataFrame:
+    paid = F.col(total).cast("double")
+    exact = paid.try_cast(_EXACT)
     return df.where(F.col(cardholder).isNotNull()).select(
         F.col(order).cast("bigint").alias("pos"),
         F.col(cardholder).alias("holder"),
         F.coalesce(merchant, F.lit("")).alias("shop"),
         micros(F.col(date)).alias("at"),
-        F.col(total).cast(_MONEY).alias("amount"),
+        exact.alias("amount"),
+        F.when(exact.isNull(), paid).alias("rest"),
     )
 
 
@@ -221,14 +224,15 @@ def split_purchases(
     Columns: ``holder``, ``shop`` and ``at`` identify the purchase (:func:`mark_splits` joins rows to
     them), ``split_index`` is the ``order`` of the group's first row, then ``split_rows`` and
     ``split_total``. ``order`` must be a unique whole number. With ``limit=None`` all groups are
-    valid. Totals are added as decimals, so they do not depend on partitioning.
+    valid. Totals of up to 16 digits before and 12 behind the point are added exactly, so they do not
+    depend on partitioning; larger ones are added as floating point numbers instead of failing.
     """
     if not 1 <= batch <= LARGEST_BATCH:
         raise ValueError(f"batch must be between 1 and {LARGEST_BATCH}")
     rows = _rows(df, order, cardholder, merchant, date, total)
     purchases = materialize(_purchases(rows), "purchases")
     staged = materialize(_with_sessions(purchases, max_days), "sessions")
-    alone = staged.where("size = 1").select("holder", "pos", "shop", "at", "n", "amount", F.col("pos").alias("home"))
+    alone = staged.where("size = 1").select("holder", "pos", "shop", "at", "n", "amount", "rest", F.col("pos").alias("home"))
     short = staged.where(F.col("size").between(2, fold_limit))
     grouped = alone.unionByName(_fold_sessions(short, max_days, similarity))
     long = staged.where(F.col("size") > fold_limit)
@@ -236,8 +240,9 @@ def split_purchases(
         grouped = grouped.unionByName(_peel_sessions(long, max_days, similarity, batch))
     grouped = materialize(grouped, "groups")
 
+    exact, rest = F.sum("amount").cast("double"), F.sum("rest")
     groups = grouped.groupBy("holder", "home").agg(
-        F.sum("n").alias("split_rows"), F.sum("amount").cast("double").alias("split_total")
+        F.sum("n").alias("split_rows"), F.coalesce(exact + rest, exact, rest).alias("split_total")
     )
     if limit is not None:
         groups = groups.where((F.col("split_rows") > 1) & (F.col("split_total") >= limit))

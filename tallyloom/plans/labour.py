@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.cells import number, scaled
+from tallyloom.sinks import snapshots
+from tallyloom.sources.files import read_csv
+from tallyloom.sources.schemas import LABOUR_FORCE
 
 # The characteristic and the industry total the reports refer to.
 FULL_TIME = "Full-time employment"
@@ -36,3 +41,10 @@ def employment_by_industry(df: DataFrame, total: str = ALL_INDUSTRIES) -> DataFr
 
 def scaled_values(df: DataFrame, factor: float = 1.5) -> DataFrame:
     return df.select("NAICS", scaled(number(F.col("VALUE")), factor).cast("float").alias("new_value"))
+
+
+def load_labour(spark: SparkSession, csv: str, path: str, at: dt.datetime, updated_at: dt.datetime) -> None:
+    """From the CSV to a stored table of full-time rows, then an update of all its rows; both stay readable."""
+    rows = full_time(read_csv(spark, csv, LABOUR_FORCE))
+    snapshots.commit(rows, path, "CREATE TABLE AS SELECT", at)
+    snapshots.update(spark, path, {"Labour_force_characteristics": F.lit("Full Time")}, updated_at)

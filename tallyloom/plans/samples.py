@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyloom.functions.cells import number
-from tallyloom.operators.quality import is_unique, run_checks
+from tallyloom.operators.quality import assert_passed, is_unique, run_checks
 from tallyloom.operators.reshape import split_wide, unpivot_rest
+from tallyloom.sinks.tables import append, conform, create_table
+from tallyloom.sources.files import read_sheets, read_table
 from tallyloom.sources.schemas import SAMPLE_DIMENSION, SAMPLE_RESULT
 
 
@@ -55,3 +60,16 @@ def results_above(results: DataFrame, sample_type: str, test: str, limit: float)
     return results.where(
         (F.col("Sample_Type_LBL") == sample_type) & (F.col("Test_NM") == test) & (number(F.col("Value_SRT")) > limit)
     )
+
+
+def load_samples(spark: SparkSession, base: str, headers: Mapping[str, StructType], name: str, path: str) -> DataFrame:
+    """From workbook directories to the declared result table ``name``; returns the stored table.
+
+    A sample listed twice on a sheet stops the run before the table is created.
+    """
+    sheets = read_sheets(spark, base, headers)
+    assert_passed(sample_checks(sheets))
+    create_table(spark, name, SAMPLE_RESULT, path)
+    append(conform(sample_results(sheets), SAMPLE_RESULT), path)
+    spark.catalog.refreshTable(name)
+    return read_table(spark, name)

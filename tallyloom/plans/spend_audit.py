@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.cells import cell
+from tallyloom.functions.cells import cell, number
 from tallyloom.operators.relational import flag_membership, lookup_set
 from tallyloom.operators.rules import (
     SPEND_LIMIT,
@@ -37,7 +37,7 @@ def master_rows(sheet: DataFrame, row_index: str = "row") -> DataFrame:
     block = sheet.select([c for c in sheet.columns if c not in (row_index, "file")])
     named = {name: cell(block, letters) for letters, name in AUDIT_CELLS.items()}
     named["date"] = named["date"].try_cast("timestamp_ntz")
-    named["total"] = named["total"].try_cast("double")
+    named["total"] = number(named["total"].cast("string"))
     return sheet.select(F.col(row_index).alias("row_index"), *[c.alias(n) for n, c in named.items()])
 
 

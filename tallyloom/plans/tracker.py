@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.cells import label
 from tallyloom.operators.relational import full_outer_lookup, number_rows
 from tallyloom.operators.reshape import unpivot_present
-from tallyloom.sinks.tables import write_jdbc
+from tallyloom.sinks.tables import refresh, write_jdbc
+from tallyloom.sources.files import read_block
 from tallyloom.sources.schemas import TRACKER_DESCRIPTIVE, TRACKER_INDICATORS
 
 FIRST_ROW = 5
@@ -70,11 +71,19 @@ def project_specializations(long: DataFrame, lookup: DataFrame) -> DataFrame:
     return full_outer_lookup(long, codes, "SPECIALIZATION_CD").select("PROJECT_ID", "SPECIALIZATION_CD")
 
 
+def tracker_tables(project: DataFrame, lookup: DataFrame, bridge: DataFrame) -> dict[str, DataFrame]:
+    """The three target tables by name."""
+    return {"EA_PROJECT_TRACKER": project, "EA_SPECIALIZATION": lookup, "EA_PROJECT_SPECIALIZATION": bridge}
+
+
 def write_tracker(project: DataFrame, lookup: DataFrame, bridge: DataFrame, url: str, **options: str) -> None:
     """Overwrite the three database tables."""
-    for table, df in {
-        "EA_PROJECT_TRACKER": project,
-        "EA_SPECIALIZATION": lookup,
-        "EA_PROJECT_SPECIALIZATION": bridge,
-    }.items():
+    for table, df in tracker_tables(project, lookup, bridge).items():
         write_jdbc(df, url, table, **options)
+
+
+def load_tracker(spark: SparkSession, sheets: str, lookup: DataFrame, target: str, fiscal_year: str) -> dict[str, DataFrame]:
+    """From sheet files to the three stored tables, refreshed below ``target``; returns them."""
+    project = projects(read_block(spark, sheets, COLUMNS, FIRST_ROW), fiscal_year)
+    bridge = project_specializations(specializations(project), lookup)
+    return {name: refresh(df, f"{target}/{name}") for name, df in tracker_tables(project, lookup, bridge).items()}

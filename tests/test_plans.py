@@ -5,7 +5,7 @@ import io
 
 from pyspark.sql import functions as F
 
-from tallyloom.operators import relational, splits
+from tallyloom.operators import quality, relational, rules, splits
 from tallyloom.plans import bibliometrics
 from tallyloom.sources import schemas
 from tallyloom.sources.files import parse_json_lines
@@ -51,3 +51,25 @@ def test_lookup_join_keeps_hot_facts_splittable(spark):
     facts, lookup = spark.range(9).selectExpr("id % 2 AS k", "id"), spark.range(3).selectExpr("id AS k", "id AS label")
     text = plan(relational.full_outer_lookup(facts, lookup, "k"), "simple")
     assert "FullOuter" not in text and "LeftOuter" in text
+
+
+def test_variants_and_ties_use_hash_aggregates(spark, tmp_path):
+    spark.range(20).selectExpr("id % 3 AS k", "cast(id % 2 AS string) AS v", "id AS o").write.parquet(f"{tmp_path}/v")
+    df = spark.read.parquet(f"{tmp_path}/v")
+    for result in (relational.variants(df, "k", "v"), relational.keep_ties(df, ["k"], ["v", "o"])):
+        text = plan(result, "simple")
+        assert "SortAggregate" not in text and "HashAggregate" in text
+
+
+def test_a_reference_check_is_one_aggregate(spark):
+    child, parent = spark.range(5).selectExpr("id % 2 AS c"), spark.range(3).selectExpr("id AS p")
+    checked = quality.run_checks("t", child, [quality.refers_to({"c": "p"}, parent, "parent")])
+    text = plan(checked, "simple")
+    assert "Join" not in text and text.count("Exchange hashpartitioning") == 1
+
+
+def test_lists_of_one_key_are_joined_once(spark):
+    rows = spark.range(3).selectExpr("cast(id AS string) AS cardholder", "'m' AS merchant")
+    lists = [spark.createDataFrame([("0",)], "entry string") for _ in range(3)]
+    text = rules.with_list_flags(rows, *lists)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Join LeftOuter") == 2

@@ -104,3 +104,11 @@ def test_repeated_rows_of_a_hot_purchase(spark):
     members = find_splits(spark.createDataFrame(rows, SCHEMA), 400.0)
     assert members.count() == 500
     assert {r.split_total for r in members.select("split_total").distinct().collect()} == {500.0}
+
+
+def test_tiny_and_huge_totals(spark):
+    day = dt.datetime(2024, 5, 1)
+    rows = [(1, "tiny", "S", day, 0.0000004), (2, "tiny", "S", day, 0.0000004), (3, "huge", "S", day, 6e22), (4, "huge", "S", day, 4e22)]
+    rows += [(5, "none", "S", day, None), (6, "none", "S", day, None)]
+    groups = find_splits(spark.createDataFrame(rows, SCHEMA), None).select("cardholder", "split_total").distinct()
+    assert {tuple(r) for r in groups.collect()} == {("tiny", 0.0000008), ("huge", 1e23), ("none", None)}
