@@ -1,5 +1,6 @@
 """Queries for the bibliometric jobs, on JSON pages that Spark derives from the test tables."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyloom.catalog.registry import query, table
@@ -20,7 +21,7 @@ def _parsed(lines, schema):
 
 
 def affiliation_lines(spark, sf):
-    """One page of one entry per supplier; every page names its affiliation after a part."""
+    """Pages of up to a hundred suppliers; every affiliation is named after a part."""
     supplier, part = table(spark, sf, "supplier"), table(spark, sf, "part")
     words = part.select("p_partkey", "p_name")
     named = supplier.join(words, F.col("s_suppkey") == F.col("p_partkey"))
@@ -33,13 +34,15 @@ def affiliation_lines(spark, sf):
             ("document-count", F.col("s_nationkey").cast("string")),
         ]
     )
-    page = _nested([("search-results", _nested([("entry", F.array(entry))]))])
-    return named.select(F.to_json(page).alias("value"))
+    listed = named.groupBy(F.floor(F.col("s_suppkey") / 100).alias("at")).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+    page = _nested([("search-results", _nested([("entry", F.col("entries"))]))])
+    return listed.select(F.to_json(page).alias("value"))
 
 
-def publication_lines(spark, sf):
-    """One page of one entry per order line, each with two authors; every seventh page is empty."""
+def publication_entry():
+    """An entry of an order line with all its fields and two authors."""
     line, part = F.col("l_linenumber"), F.col("l_partkey")
+    labelled = lambda name, column: F.concat(F.lit(name), column.cast("string"))
     author_names = F.concat(F.lit("Name "), part)
     first = _nested(
         [
@@ -70,22 +73,55 @@ def publication_lines(spark, sf):
             ("openaccessFlag", F.when(F.col("l_discount") > 0.05, True).when(F.col("l_discount") < 0.02, False)),
             ("prism:volume", F.col("l_suppkey").cast("string")),
             ("prism:aggregationType", F.lit("Journal")),
+            ("dc:description", labelled("About ", F.col("l_orderkey"))),
+            ("article-number", labelled("a", line)),
+            ("prism:issn", labelled("issn", part % 10)),
+            ("@_fa", F.lit("true")),
+            ("prism:doi", labelled("10.1/", part)),
+            ("authkeywords", labelled("k", line)),
+            ("dc:creator", labelled("C", part)),
+            ("prism:pageRange", labelled("1-", line)),
+            ("prism:url", labelled("https://example.org/p/", part)),
+            ("source-id", part.cast("string")),
+            ("prism:publicationName", labelled("Journal ", line)),
+            ("pii", labelled("S", part)),
+            ("fund-no", labelled("F", F.col("l_orderkey"))),
             ("author", F.array(first, second)),
         ]
     )
+    return entry
+
+
+def _search_terms():
+    return _nested([("@searchTerms", F.concat(F.lit("AF-ID(600"), F.lpad(F.col("l_suppkey").cast("string"), 5, "0"), F.lit(")")))])
+
+
+def publication_lines(spark, sf):
+    """One page of one entry per order line; every seventh page is empty."""
+    line, entry = F.col("l_linenumber"), publication_entry()
     entries = F.when(F.col("l_partkey") % 7 != 0, F.array(entry)).otherwise(F.slice(F.array(entry), 1, 0))
-    terms = _nested([("@searchTerms", F.concat(F.lit("AF-ID(600"), F.lpad(F.col("l_suppkey").cast("string"), 5, "0"), F.lit(")")))])
-    page = _nested([("search-results", _nested([("opensearch:Query", terms), ("entry", entries)]))])
+    page = _nested([("search-results", _nested([("opensearch:Query", _search_terms()), ("entry", entries)]))])
     return spread(table(spark, sf, "lineitem")).select(F.to_json(page).alias("value"), line.alias("line"))
 
 
+def paged_publication_lines(spark, sf):
+    """The same entries on pages of up to 25 for one supplier, without empty pages."""
+    listed = table(spark, sf, "lineitem").where("l_partkey % 7 <> 0")
+    place = F.row_number().over(Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey"))
+    paged = listed.withColumn("at", F.floor((place - 1) / 25)).groupBy("l_suppkey", "at").agg(F.collect_list(publication_entry()).alias("entries"))
+    page = _nested([("search-results", _nested([("opensearch:Query", _search_terms()), ("entry", F.col("entries"))]))])
+    return paged.select(F.to_json(page).alias("value"))
+
+
 def citation_lines(spark, sf):
-    """One overview of four years per order."""
+    """One overview of four years per order; every third customer's is of two documents."""
     steps = F.sequence(F.lit(0), F.lit(3))
     years = F.transform(steps, lambda i: _nested([("$", (F.year("o_orderdate") + i).cast("string"))]))
     counts = F.transform(steps, lambda i: _nested([("$", ((F.col("o_custkey") + i) % 5).cast("string"))]))
     header = _nested([("columnHeading", years), ("columnTotal", counts)])
-    ids = F.array(_nested([("scopus_id", F.col("o_orderkey").cast("string"))]))
+    named = lambda column: _nested([("scopus_id", column)])
+    own, other = named(F.col("o_orderkey").cast("string")), named(F.concat(F.lit("x"), "o_orderkey"))
+    ids = F.when(F.col("o_custkey") % 3 == 0, F.array(own, other)).otherwise(F.array(own))
     body = _nested(
         [
             ("identifier-legend", _nested([("identifier", ids)])),
@@ -121,7 +157,7 @@ def affiliation_pages(spark, sf):
 
 
 def publication_pages(spark, sf):
-    return _parsed(publication_lines(spark, sf), schemas.PUBLICATION_PAGE)
+    return _parsed(paged_publication_lines(spark, sf), schemas.PUBLICATION_PAGE)
 
 
 def overviews(spark, sf):
@@ -149,9 +185,33 @@ AUTHOR_SQL = f"""
       FROM en UNION ALL
       SELECT CAST(l_suppkey + 10000000 AS VARCHAR), 'Pat', 'Q' || l_suppkey, 'Pat Q' || l_suppkey, DOCUMENT_ID FROM en)
 """
+# The remaining fields of an entry as SQL.
+PUBLICATION_REST = {
+    "dc:description": "'About ' || l_orderkey",
+    "article-number": "'a' || l_linenumber",
+    "prism:issn": "'issn' || (l_partkey % 10)",
+    "@_fa": "'true'",
+    "prism:doi": "'10.1/' || l_partkey",
+    "authkeywords": "'k' || l_linenumber",
+    "dc:creator": "'C' || l_partkey",
+    "prism:pageRange": "'1-' || l_linenumber",
+    "prism:url": "'https://example.org/p/' || l_partkey",
+    "source-id": "CAST(l_partkey AS VARCHAR)",
+    "prism:publicationName": "'Journal ' || l_linenumber",
+    "pii": "'S' || l_partkey",
+    "fund-no": "'F' || l_orderkey",
+}
+
+
+def _column_of(field):
+    return next(column for column, source in schemas.PUBLICATION_FIELDS.items() if source == field)
+
+
 CITATION_SQL = """
-    ci AS (SELECT CAST(o_orderkey AS VARCHAR) AS DOCUMENT_ID, CAST(year(o_orderdate) + i AS VARCHAR) AS YEAR_LBL,
-        CAST((o_custkey + i) % 5 AS INTEGER) AS CITATION_CNT FROM orders, (SELECT unnest(range(4)) AS i))
+    ov AS (SELECT CAST(o_orderkey AS VARCHAR) AS DOCUMENT_ID, o_orderdate, o_custkey FROM orders
+        UNION ALL SELECT 'x' || o_orderkey, o_orderdate, o_custkey FROM orders WHERE o_custkey % 3 = 0),
+    ci AS (SELECT DOCUMENT_ID, CAST(year(o_orderdate) + i AS VARCHAR) AS YEAR_LBL,
+        CAST((o_custkey + i) % 5 AS INTEGER) AS CITATION_CNT FROM ov, (SELECT unnest(range(4)) AS i))
 """
 METRIC_SQL = """
     fl AS (SELECT CAST(o_orderkey AS VARCHAR) AS DOCUMENT_ID, c AS CATEGORY_LBL, s AS SUB_CATEGORY_LBL, o_custkey % m AS METRIC_CNT,
@@ -208,25 +268,16 @@ def affiliation_indicators(spark, sf):
       l_linestatus AS SUB_TYPE_LBL, strftime(l_shipdate, '%Y-%m-%d') AS COVER, CAST(NULL AS VARCHAR) AS DISPLAY, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS CITED_BY_CNT,
       CASE WHEN l_discount > 0.05 THEN 1 WHEN l_discount < 0.02 THEN 0 END AS OPEN_ACCESS_IND,
       CASE WHEN l_discount > 0.05 THEN 'Open Access' ELSE 'Not Open Access' END AS OPEN_ACCESS_IND_LBL,
-      CAST(l_suppkey AS VARCHAR) AS PRISM_VOLUME_NBR, 'Journal' AS PRIMS_AGGREGATION_TYPE_LBL
+      CAST(l_suppkey AS VARCHAR) AS PRISM_VOLUME_NBR, 'Journal' AS PRIMS_AGGREGATION_TYPE_LBL,
+      {", ".join(f"{value} AS {_column_of(field)}" for field, value in PUBLICATION_REST.items())}
     FROM fi WHERE rn = 1
     """
 )
 def publication_load(spark, sf):
-    return plan.publications(publication_pages(spark, sf)).select(
-        "DOCUMENT_ID",
-        "DOCUMENT_TITLE_LBL",
-        "ELECTRONIC_ID",
-        "SUB_TYPE_ID",
-        "SUB_TYPE_LBL",
-        F.col("PRISM_COVER_DT").cast("string").alias("COVER"),
-        F.col("PRISM_COVER_DISPLAY_DT").cast("string").alias("DISPLAY"),
-        "CITED_BY_CNT",
-        "OPEN_ACCESS_IND",
-        "OPEN_ACCESS_IND_LBL",
-        "PRISM_VOLUME_NBR",
-        "PRIMS_AGGREGATION_TYPE_LBL",
-    )
+    """All 25 columns, from pages of many entries."""
+    loaded = plan.publications(publication_pages(spark, sf))
+    dates = {"PRISM_COVER_DT": "COVER", "PRISM_COVER_DISPLAY_DT": "DISPLAY"}
+    return loaded.select([F.col(c).cast("string").alias(dates[c]) if c in dates else c for c in loaded.columns])
 
 
 @query(f"WITH {ENTRY_SQL} SELECT DISTINCT DOCUMENT_ID, AFFILIATION_ID FROM en")

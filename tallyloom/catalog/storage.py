@@ -289,8 +289,8 @@ def _checks_sql():
             source,
             [("Completeness(DOCUMENT_ID)", none), (document, missing("DOCUMENT_ID", "en")), ("Uniqueness(DOCUMENT_ID,CITATION_SOURCE_LBL)", none)],
         ),
-        ("affiliations", "aff", [("Completeness(page)", none)]),
-        ("publications", "lineitem", [("Completeness(page)", none)]),
+        ("affiliations", "(SELECT DISTINCT (AFFILIATION_ID - 60000000) // 100 FROM aff)", [("Completeness(page)", none)]),
+        ("publications", "(SELECT unnest(range(CAST(ceil(count(*) / 25.0) AS BIGINT))) FROM en GROUP BY l_suppkey)", [("Completeness(page)", none)]),
         ("citations", "orders", [("Completeness(page)", none)]),
         ("metrics", "orders", [("Completeness(page)", none)]),
     ]:
@@ -303,7 +303,7 @@ def _landed_run(spark, sf, gate):
     base, run_date = scratch_path(spark, "run"), "2021-07-08"
     for kind, lines in {
         "affiliations": bibliometrics.affiliation_lines,
-        "publications": bibliometrics.publication_lines,
+        "publications": bibliometrics.paged_publication_lines,
         "citations": bibliometrics.citation_lines,
         "metrics": bibliometrics.metric_lines,
     }.items():
@@ -336,6 +336,30 @@ def published_tables(spark, sf):
     return authors.join(cited, "DOCUMENT_ID", "left")
 
 
+@query(
+    f"""
+    WITH {bibliometrics.AFFILIATION_SQL}, a AS (
+      SELECT AFFILIATION_ID, 1 AS SECTOR_ID FROM aff WHERE upper(AFFILIATION_NM) LIKE '%FOREST%'
+      UNION ALL SELECT AFFILIATION_ID, 2 FROM aff WHERE upper(AFFILIATION_NM) LIKE '%LAND%')
+    SELECT 'AFFILIATION_SECTOR' AS "table", CAST(AFFILIATION_ID AS VARCHAR) AS id, CAST(SECTOR_ID AS VARCHAR) AS value FROM a
+    UNION ALL SELECT 'AFFILIATION_SECTOR', CAST(AFFILIATION_ID AS VARCHAR), '3' FROM aff WHERE AFFILIATION_ID NOT IN (SELECT AFFILIATION_ID FROM a)
+    UNION ALL SELECT * FROM (VALUES ('SECTOR', '1', 'CFS'), ('SECTOR', '2', 'LMS'), ('SECTOR', '3', 'TBD'), ('AFFILIATION_INDICATOR', '60031860', 'DRF3'))
+    UNION ALL SELECT 'ACKNOWLEDGEMENTS_BY_YEAR', CAST(year(o_orderdate) AS VARCHAR), CAST(count(*) AS VARCHAR) FROM orders GROUP BY 2
+    """
+)
+def indicator_load(spark, sf):
+    """Sector, indicator and acknowledgement tables, refreshed twice from a run and read back."""
+    base = scratch_path(spark, "reference")
+    years = table(spark, sf, "orders").groupBy(F.year("o_orderdate").alias("Year"))
+    years.agg(F.count(F.lit(1)).alias("Count")).write.option("header", True).csv(f"{base}/csv")
+    affiliation = tables.refresh(plan.affiliations(bibliometrics.affiliation_pages(spark, sf)), f"{base}/AFFILIATION")
+    for _ in range(2):
+        stored = plan.load_reference(spark, affiliation, f"{base}/csv", f"{base}/gold")
+    keys = {"AFFILIATION_SECTOR": ("AFFILIATION_ID", "SECTOR_ID"), "SECTOR": ("SECTOR_ID", "SECTOR_LBL"), "AFFILIATION_INDICATOR": ("AFFILIATION_ID", "INDICATOR_CD"), "ACKNOWLEDGEMENTS_BY_YEAR": ("YEAR_LBL", "ACKNOWLEDGEMENTS")}
+    parts = [stored[n].select(F.lit(n).alias("table"), F.col(a).cast("string").alias("id"), F.col(b).cast("string").alias("value")) for n, (a, b) in keys.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 @query("SELECT CAST(year(o_orderdate) AS VARCHAR) AS YEAR_LBL, CAST(count(*) AS VARCHAR) AS ACKNOWLEDGEMENTS FROM orders GROUP BY 1")
 def acknowledgements_load(spark, sf):
     """Two CSV columns under other header names, taken by position."""

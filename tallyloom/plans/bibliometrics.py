@@ -200,6 +200,17 @@ def acknowledgements(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schemas.ACKNOWLEDGEMENTS_BY_YEAR, by_position=True)
 
 
+def load_reference(spark: SparkSession, affiliation: DataFrame, acknowledgements_csv: str, target: str) -> dict[str, DataFrame]:
+    """Sector, indicator and acknowledgement tables, stored by full refresh below ``target``."""
+    plans = {
+        "AFFILIATION_SECTOR": affiliation_sectors(affiliation),
+        "SECTOR": sector_table(spark),
+        "AFFILIATION_INDICATOR": indicator_table(spark),
+        "ACKNOWLEDGEMENTS_BY_YEAR": acknowledgements(spark, acknowledgements_csv),
+    }
+    return {name: refresh(df, f"{target}/{name}") for name, df in plans.items()}
+
+
 def sector_summary(assigned: DataFrame, sectors: DataFrame) -> DataFrame:
     """Affiliations per sector. Counting first leaves one row per sector for the join."""
     counts = assigned.groupBy("SECTOR_ID").agg(F.count(F.lit(1)).alias("AFFILIATION_CNT"))
