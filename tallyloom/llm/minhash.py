@@ -190,6 +190,7 @@ class NearDuplicates:
     def hub_pairs(self) -> DataFrame:
         """Every class with the smallest class of each of its buckets, if their signatures are alike."""
         hubs = self.buckets.groupBy("band").agg(F.min("name").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "a")
+        hubs = materialize(hubs, "hubs")  # a stored side leaves hot buckets of the other side to be split
         pairs = self.buckets.join(hubs, "band").where("name <> a").select("a", F.col("name").alias("b")).distinct()
         bits = lambda x: self.classes.select(F.col("name").alias(x), F.col("bits").alias(f"{x}_bits"))
         joined = pairs.join(bits("b"), "b").join(bits("a"), "a").select("a", "b", "a_bits", "b_bits")
@@ -200,7 +201,7 @@ class NearDuplicates:
         labels = labels.withColumnRenamed("node", "name")
         members = self.buckets.join(labels, "name", "left").withColumn("component", F.coalesce("component", "name"))
         mixed = members.groupBy("band").agg(F.min("component").alias("first"), F.max("component").alias("last"), F.count(F.lit(1)).alias("n"))
-        mixed = mixed.where("first <> last").select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        mixed = materialize(mixed.where("first <> last").select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed-buckets")
         rows = members.join(mixed, "band").join(self.classes.select("name", "bits"), "name")
         rows = rows.withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
