@@ -67,6 +67,7 @@ def spend_rules(spend_limit: float = SPEND_LIMIT) -> list[Rule]:
     They read ``merchant``, ``total``, ``merchant_category``, ``gl_code`` and the list flags.
     Missing cells never match, apart from the cheque rule, which looks for an empty total.
     """
+    # The rules' names and colours.
     category, code, total = F.col("merchant_category"), F.col("gl_code"), F.col("total")
     conference = code.isin(*CONFERENCE_CODES)
     return [

@@ -6,11 +6,13 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
 _scratch: list[str] = []
+_warned: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -21,9 +23,12 @@ def shared_folder(spark: SparkSession) -> str:
     machine-local folder would not survive the loss of that machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
     if named:
+        if not context.master.startswith("local") and named.startswith(("file:", "/")) and named not in _warned:
+            _warned.add(named)
+            warnings.warn(f"spark.checkpoint.dir is {named}: every executor must mount that folder", stacklevel=2)
         return named.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if context.applicationId not in _local_roots:
@@ -57,12 +62,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for heavy per-row work when the input comes in fewer splits than there are cores.
-
-    Large inputs have more splits than that and are left as they are, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Deal rows evenly over the session's shuffle partitions before heavy work on each row."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def filesystem(spark: SparkSession, path: str):

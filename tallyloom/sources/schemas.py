@@ -52,16 +52,38 @@ AFFILIATION_PAGE = StructType(
 
 AUTHOR_ENTRY = texts(["authid", "given-name", "surname", "authname"])
 
+# Fixed mapping: page field -> publication column, in table order.
+PUBLICATION_FIELDS = {
+    "DOCUMENT_DESC": "dc:description",
+    "DOCUMENT_TITLE_LBL": "dc:title",
+    "ELECTRONIC_ID": "eid",
+    "ARTICLE_NBR": "article-number",
+    "SUB_TYPE_ID": "subtype",
+    "SUB_TYPE_LBL": "subtypeDescription",
+    "PRISM_ISSN_LBL": "prism:issn",
+    "PRISM_COVER_DT": "prism:coverDate",
+    "FA_LBL": "@_fa",
+    "PRISM_DIGITAL_OBJECT_ID": "prism:doi",
+    "PRISM_COVER_DISPLAY_DT": "prism:coverDisplayDate",
+    "AUTHOR_KEYWORDS_DESC": "authkeywords",
+    "DOCUMENT_CREATOR_NM": "dc:creator",
+    "PRISM_PAGE_RANGE_LBL": "prism:pageRange",
+    "PRISM_URL": "prism:url",
+    "SOURCE_ID": "source-id",
+    "PRISM_PUBLICATION_NM": "prism:publicationName",
+    "CITED_BY_CNT": "citedby-count",
+    "PUBLIC_ITEM_ID": "pii",
+    "OPEN_ACCESS_IND": "openaccessFlag",
+    "OPEN_ACCESS_IND_LBL": "openaccessFlag",
+    "FUND_NBR": "fund-no",
+    "PRISM_VOLUME_NBR": "prism:volume",
+    "PRIMS_AGGREGATION_TYPE_LBL": "prism:aggregationType",
+}
+# An entry has the mapped fields, its identifier, and its authors.
 PUBLICATION_ENTRY = StructType(
     [
-        *texts(
-            ["dc:identifier", "dc:description", "dc:title", "eid", "article-number", "subtype", "subtypeDescription"]
-        ),
-        *texts(["prism:issn", "prism:coverDate", "@_fa", "prism:doi", "prism:coverDisplayDate", "authkeywords"]),
-        *texts(["dc:creator", "prism:pageRange", "prism:url", "source-id", "prism:publicationName"]),
-        *texts(["citedby-count", "pii"]),
-        StructField("openaccessFlag", FLAG),
-        *texts(["fund-no", "prism:volume", "prism:aggregationType"]),
+        StructField("dc:identifier", TEXT),
+        *[StructField(f, FLAG if f == "openaccessFlag" else TEXT) for f in dict.fromkeys(PUBLICATION_FIELDS.values())],
         StructField("author", ArrayType(AUTHOR_ENTRY)),
     ]
 )
@@ -111,7 +133,7 @@ METRIC_DOCUMENT = record(
     ),
 )
 
-# ---- bibliometric tables ----
+# ---- bibliometric tables (fixed names) ----
 
 AFFILIATION = _table(
     ("AFFILIATION_ID", INT, True),
@@ -121,33 +143,6 @@ AFFILIATION = _table(
     ("DOCUMENT_CNT", INT, False),
 )
 
-# Fixed mapping: page field -> publication column, in table order.
-PUBLICATION_FIELDS = {
-    "DOCUMENT_DESC": "dc:description",
-    "DOCUMENT_TITLE_LBL": "dc:title",
-    "ELECTRONIC_ID": "eid",
-    "ARTICLE_NBR": "article-number",
-    "SUB_TYPE_ID": "subtype",
-    "SUB_TYPE_LBL": "subtypeDescription",
-    "PRISM_ISSN_LBL": "prism:issn",
-    "PRISM_COVER_DT": "prism:coverDate",
-    "FA_LBL": "@_fa",
-    "PRISM_DIGITAL_OBJECT_ID": "prism:doi",
-    "PRISM_COVER_DISPLAY_DT": "prism:coverDisplayDate",
-    "AUTHOR_KEYWORDS_DESC": "authkeywords",
-    "DOCUMENT_CREATOR_NM": "dc:creator",
-    "PRISM_PAGE_RANGE_LBL": "prism:pageRange",
-    "PRISM_URL": "prism:url",
-    "SOURCE_ID": "source-id",
-    "PRISM_PUBLICATION_NM": "prism:publicationName",
-    "CITED_BY_CNT": "citedby-count",
-    "PUBLIC_ITEM_ID": "pii",
-    "OPEN_ACCESS_IND": "openaccessFlag",
-    "OPEN_ACCESS_IND_LBL": "openaccessFlag",
-    "FUND_NBR": "fund-no",
-    "PRISM_VOLUME_NBR": "prism:volume",
-    "PRIMS_AGGREGATION_TYPE_LBL": "prism:aggregationType",
-}
 _PUBLICATION_TYPES = {"PRISM_COVER_DT": DATE, "PRISM_COVER_DISPLAY_DT": DATE, "OPEN_ACCESS_IND": INT}
 
 PUBLICATION = _table(

@@ -3,6 +3,7 @@
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -58,6 +59,7 @@ def compare(spark, con, folder, run, sql):
 
 if __name__ == "__main__":
     import __spark_entry__ as entry
+    from tallyloom.session import clear_scratch
 
     folder = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
     spark = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config(
@@ -74,5 +76,6 @@ if __name__ == "__main__":
         except Exception as error:
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         bad += problem is not None
+        clear_scratch(spark)
         print(f"{name:28s} {time.time() - start:6.1f}s {problem or 'ok'}", flush=True)
     print("bad:", bad)
