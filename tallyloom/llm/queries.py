@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import language, minhash, pieces, quality_model, quality_rules, secret_scan, suffix_dedup, winnowing
+from tallyloom.llm import language, minhash, oracles, pieces, quality_model, quality_rules, secret_scan, suffix_dedup, winnowing
 from tallyloom.llm.binary_output import token_output
 from tallyloom.llm.token_counts import count_tokens
 
@@ -70,11 +70,17 @@ def op8_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, folder), size=3, threshold=85)
 
 
+ORACLES["op8_minhash_dedup"] = oracles.near_duplicates(3, 85)
+
+
 @query
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return winnowing.contamination(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
 
 
+ORACLES["op9_decontamination"] = oracles.contamination()
+
+
 @query
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder)
