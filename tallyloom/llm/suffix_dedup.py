@@ -12,7 +12,9 @@ about one position in ninety is sampled.
    more members all occur twice.
 3. Merge the rest: where a gram has several classes, one member of each brings its context bytes, and the
    names of all 200-byte strings of the gram's contexts are compared in one task. Grams with very many classes
-   are compared by partial counts of those names over all tasks instead, so no task holds a hot gram.
+   are compared by counts over all tasks instead, in blocks of 16, 4 and 1 neighbouring starts: a block whose
+   common part occurs once ends, one whose whole bytes occur twice is repeated, and only the rest is divided. So no
+   task holds a hot gram, and a class gives a few rows and not one for each of its strings.
 4. Equal names become byte runs; each text is cut once.
 
 Grams, contexts and strings are named by 64-bit hashes, always within an equal gram name.
@@ -106,19 +108,20 @@ def _sample_batches(batches, length: int, gram: int):
             yield pa.record_batch({
                 "key": batch.column("key").take(pa.array(row + first)), "gram": pa.array(signed(name)), "context": pa.array(signed(context)),
                 "low": pa.array(low - bounds[row] + offset, pa.int64()), "count": pa.array((high - low + 1).astype(np.int32)),
+                "reach": pa.array((place - low).astype(np.int32)),
             })
 
 
 def _context_batches(batches, length: int):
     """Each text, once, and the context bytes of the classes it stands for."""
     for batch in batches:
-        out = {k: [] for k in ("key", "text", "gram", "low", "count", "members", "bytes")}
+        out = {k: [] for k in ("key", "text", "gram", "low", "count", "reach", "members", "bytes")}
         size = 0
 
         def flush():
             return pa.record_batch({
                 "key": pa.array(out["key"], pa.binary()), "text": pa.array(out["text"], pa.binary()), "gram": pa.array(out["gram"], pa.int64()),
-                "low": pa.array(out["low"], pa.int64()), "count": pa.array(out["count"], pa.int32()), "members": pa.array(out["members"], pa.int64()), "bytes": pa.array(out["bytes"], pa.binary()),
+                "low": pa.array(out["low"], pa.int64()), "count": pa.array(out["count"], pa.int32()), "reach": pa.array(out["reach"], pa.int32()), "members": pa.array(out["members"], pa.int64()), "bytes": pa.array(out["bytes"], pa.binary()),
             })
 
         def add(*row):
@@ -129,9 +132,9 @@ def _context_batches(batches, length: int):
             key, text, classes = (batch.column(x)[i].as_py() for x in ("key", "text", "classes"))
             raw = text.encode("utf-8", "surrogatepass")
             if batch.column("wanted")[i].as_py():
-                add(key, raw, None, None, None, None, None)
+                add(key, raw, *[None] * 6)
             for c in classes or ():
-                add(key, None, c["gram"], c["low"], c["count"], c["n"], raw[c["low"] : c["low"] + c["count"] + length - 1])
+                add(key, None, c["gram"], c["low"], c["count"], c["reach"], c["n"], raw[c["low"] : c["low"] + c["count"] + length - 1])
             size += len(raw) + (length + 100) * len(classes or ())
             if size > 4 << 20:
                 yield flush()
@@ -188,19 +191,54 @@ def _merged_batches(batches, length: int):
         yield resolved()
 
 
-def _string_batches(batches, length: int):
-    """The strings of hot grams, a row each: gram, name, and the place where a single member has it."""
+BLOCK_COLUMNS = "gram long, key binary, low long, reach int, members long, bytes binary, near int, far int"
+
+
+def _block_batches(batches, length: int, size: int):
+    """Blocks of ``size`` starts: their offsets from the sample, the name of their common part and of all their bytes.
+
+    Offsets count back from the sample, so equal strings fall into equal blocks.
+    """
     for batch in batches:
-        for start in range(0, batch.num_rows, 256):
-            part = batch.slice(start, 256)
-            names, counts = string_names(part.column("bytes").to_pylist(), length)
-            owner = np.repeat(np.arange(part.num_rows), counts)
-            within = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-            pick = pa.array(owner)
-            yield pa.record_batch({
-                "gram": part.column("gram").take(pick), "name": pa.array(signed(names)), "key": part.column("key").take(pick),
-                "members": part.column("members").take(pick), "start": pa.array(part.column("low").to_numpy()[owner] + within),
-            })
+        rows = batch.to_pylist()
+        data = np.frombuffer(b"".join(r["bytes"] for r in rows), np.uint8)
+        ends = np.cumsum([len(r["bytes"]) for r in rows])
+        pick, near, far, base = [], [], [], []
+        for i, r in enumerate(rows):
+            for low in range(r["near"] // size * size, r["far"] + 1, size):
+                pick.append(i)
+                base.append(low)
+                near.append(max(low, r["near"]))
+                far.append(min(low + size - 1, r["far"]))
+        near, far, base, pick = (np.array(x, np.int64) for x in (near, far, base, pick))
+        at = (np.concatenate([[0], ends[:-1]]) + np.array([r["reach"] for r in rows]))[pick] if len(rows) else pick
+        names = Names(data)
+        core = mix(names.of(at - base, at - base - size + 1 + length) + base.astype(np.uint64))
+        whole = mix(names.of(at - far, at - near + length) + (near * 1024 + far).astype(np.uint64))
+        kept = batch.select(["gram", "key", "low", "reach", "members", "bytes"]).take(pa.array(pick))
+        yield pa.RecordBatch.from_arrays(
+            [*kept.columns, pa.array(near.astype(np.int32)), pa.array(far.astype(np.int32)), pa.array(signed(core)), pa.array(signed(whole))],
+            [*kept.schema.names, "near", "far", "core", "whole"],
+        )
+
+
+def hot_spans(contexts: DataFrame, length: int) -> DataFrame:
+    """Byte runs (key, start, end) of single members of hot grams whose strings other classes have."""
+    rest = contexts.select("gram", "key", "low", "reach", "members", "bytes", (F.col("reach") - F.col("count") + 1).alias("near"), F.col("reach").alias("far"))
+    found = rest.select("key", F.col("low").alias("start"), F.col("low").alias("end")).limit(0)
+    for size in (16, 4, 1):
+        run = functools.partial(_block_batches, length=length, size=size)
+        blocks = materialize(rest.mapInArrow(run, f"{BLOCK_COLUMNS}, core long, whole long"), "blocks")
+        twice = lambda name: materialize(blocks.groupBy("gram", name).count().where("count > 1").select("gram", name), name)  # noqa: E731, B023
+        marked = twice("whole").withColumn("repeated", F.lit(True))
+        left = materialize(blocks.join(twice("core"), ["gram", "core"]).join(marked, ["gram", "whole"], "left"), "left")
+        start, end = F.col("low") + F.col("reach") - F.col("far"), F.col("low") + F.col("reach") - F.col("near") + length
+        found = found.union(left.where("repeated AND members = 1").select("key", start.alias("start"), end.alias("end")))
+        # One member of each repeated block stays as a partner of blocks that are cut off elsewhere.
+        standing = left.where("repeated").dropDuplicates(["gram", "whole"]).withColumn("members", F.lit(2).cast("long"))
+        rest = left.where("repeated IS NULL").unionByName(standing).drop("core", "whole", "repeated")
+        rest = rest.select("gram", "key", "low", "reach", "members", "bytes", "near", "far")
+    return found
 
 
 def cut(raw: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, bytes]:
@@ -231,28 +269,27 @@ def repeated_spans(texts: DataFrame, copies: DataFrame, length: int = LENGTH, gr
     ``texts`` has key and text, ``copies`` the keys of texts that occur more than once.
     """
     run = functools.partial(_sample_batches, length=length, gram=gram)
-    sampled = texts.where(F.octet_length("text") >= length).mapInArrow(run, "key binary, gram long, context long, low long, count int")
-    repeated = sampled.groupBy("gram").count().where("count > 1").select("gram")
+    sampled = texts.where(F.octet_length("text") >= length).mapInArrow(run, "key binary, gram long, context long, low long, count int, reach int")
+    repeated = materialize(sampled.groupBy("gram").count().where("count > 1").select("gram"), "repeated-grams")
     candidates = materialize(sampled.join(repeated, "gram"), "repeated-samples")
-    classes = candidates.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "low", "count")).alias("first"))
+    classes = candidates.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "low", "count", "reach")).alias("first"))
     classes = materialize(classes.select("gram", "context", "n", "first.*"), "sample-classes")
-    several = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
+    several = materialize(classes.groupBy("gram").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1"), "several-classes")
     standing = classes.join(several, "gram")
     sure = candidates.join(classes.where("n > 1").select("gram", "context"), ["gram", "context"])
     sure = sure.select("key", F.col("low").alias("start"), (F.col("low") + F.col("count") + (length - 1)).alias("end"))
     sure = materialize(sure.join(copies, "key", "left_anti").distinct(), "sure-spans")
-    asked = standing.groupBy("key").agg(F.collect_list(F.struct("gram", "low", "count", "n")).alias("classes"))
+    asked = standing.groupBy("key").agg(F.collect_list(F.struct("gram", "low", "count", "reach", "n")).alias("classes"))
     single = standing.where("n = 1").select("key").union(sure.select("key")).distinct().withColumn("wanted", F.lit(True))
     asked = asked.join(single, "key", "full_outer").withColumn("wanted", F.coalesce("wanted", F.lit(False)))
     once = texts.dropDuplicates(["key"]).join(asked, "key")
-    schema = "key binary, text binary, gram long, low long, count int, members long, bytes binary"
+    schema = "key binary, text binary, gram long, low long, count int, reach int, members long, bytes binary"
     stored = materialize(once.mapInArrow(functools.partial(_context_batches, length=length), schema), "contexts")
     contexts = stored.where("gram is not null").drop("text").join(several, "gram")
     dealt = contexts.where(F.col("classes") <= HOT_CLASSES).drop("classes").repartition("gram").sortWithinPartitions("gram")
     merged = dealt.mapInArrow(functools.partial(_merged_batches, length=length), "key binary, start long, end long")
-    hot = contexts.where(F.col("classes") > HOT_CLASSES).mapInArrow(functools.partial(_string_batches, length=length), "gram long, name long, key binary, members long, start long")
-    twice = hot.groupBy("gram", "name").count().where("count > 1").select("gram", "name")
-    split = hot.where("members = 1").join(twice, ["gram", "name"]).select("key", "start", (F.col("start") + length).alias("end"))
+    hot = contexts.where(F.col("classes") > HOT_CLASSES)
+    split = hot_spans(hot, length) if not several.where(F.col("classes") > HOT_CLASSES).isEmpty() else sure.limit(0)
     spans = materialize(sure.union(merged).union(split), "spans")
     return spans, stored.where("text is not null").select("key", "text")
 
