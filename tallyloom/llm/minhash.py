@@ -3,9 +3,10 @@
 1. One pass turns each whole text into its set of shingles (64-bit hashes), the set's 128-bit name,
    band keys of its minima, and its packed signature: the low ``b`` bits of every minimum.
 2. Texts with equal sets are one class; everything below moves classes, so copies cost one row each.
-3. The classes that share a band key are candidates. First every class is paired with the smallest class of
-   each of its buckets only. After linking those, only buckets that still hold several components are
-   compared in full, in blocks of bounded size inside tasks, and only pairs across components are given out. So no
+3. The classes that share a band key are candidates. In a few rounds (``ROUNDS``) every class is paired with one
+   class of another component at most, the first of its buckets, and what is confirmed joins components. Then only
+   buckets that still hold several components are compared in full, in blocks of bounded size inside tasks;
+   pairs across components are given out once, in the first bucket they share. So no
    bucket's pairs are listed, whatever its size, and no link between components is passed over.
 4. Packed signatures are compared by bit counts; the share of equal values, corrected for chance
    equality of low bits, estimates the similarity. Pairs far below the threshold (``MARGIN``, six standard
@@ -37,6 +38,7 @@ HASHES = 160
 BITS = 2
 MARGIN = 0.2
 BLOCK = 1000
+ROUNDS = 3
 #: Bands and rows of a band by the lowest threshold in hundredths they serve.
 BANDS = {85: (32, 5), 80: (40, 4)}
 
@@ -137,15 +139,20 @@ def _across_batches(batches, least: float):
     def pairs():
         names, components, blocks = [r["name"] for r in rows], [r["component"] for r in rows], np.array([r["block"] for r in rows])
         bits = np.frombuffer(b"".join(r["bits"] for r in rows), np.uint8).reshape(len(rows), -1)
+        bands = np.array([r["bands"] for r in rows], np.int64)
         number = {c: i for i, c in enumerate(set(components))}
         component = np.array([number[c] for c in components])
         found = []
-        for i in range(len(rows)):
-            other = np.flatnonzero(component[i + 1 :] != component[i]) + i + 1
+        largest = np.bincount(component).argmax()
+        for i in np.flatnonzero(component != largest).tolist():  # a pair across components has a side outside the largest
+            other = np.flatnonzero(component != component[i])
+            other = other[(component[other] == largest) | (other > i)]
             if group[1] != group[2]:
                 other = other[blocks[other] != blocks[i]]
             if len(other):
-                found += [(i, int(j)) for j in other[estimate(bits[i], bits[other]) >= least]]
+                shared = (bands[other] == bands[i]).argmax(1)
+                other = other[(bands[i][shared] == group[0]) & (estimate(bits[i], bits[other]) >= least)]
+                found += [(i, int(j)) for j in other]
         ordered = sorted({tuple(sorted((names[i], names[j]))) for i, j in found})
         return pa.record_batch({"a": pa.array([a for a, _ in ordered], pa.binary()), "b": pa.array([b for _, b in ordered], pa.binary())})
 
@@ -187,32 +194,52 @@ class NearDuplicates:
         joined = pairs.join(side("b"), "b").join(side("a"), "a")
         return materialize(joined.mapInArrow(functools.partial(_confirmed_batches, threshold=self.threshold), "a binary, b binary"), "links")
 
-    def hub_pairs(self) -> DataFrame:
-        """Every class with the smallest class of each of its buckets, if their signatures are alike."""
-        hubs = self.buckets.groupBy("band").agg(F.min("name").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "a")
+    def members(self, labels: DataFrame | None) -> DataFrame:
+        """Classes of every bucket with their components; without labels each class is its own."""
+        if labels is None:
+            return self.buckets.withColumn("component", F.col("name"))
+        members = self.buckets.join(labels.withColumnRenamed("node", "name"), "name", "left")
+        return members.withColumn("component", F.coalesce("component", "name"))
+
+    def hub_pairs(self, labels: DataFrame | None, tested: DataFrame | None) -> DataFrame:
+        """Every class with one class of another component, the first of its buckets not tested before."""
+        members = self.members(labels)
+        hubs = members.groupBy("band").agg(F.min(F.struct("component", "name")).alias("hub"), F.max("component").alias("last"))
+        hubs = hubs.where("hub.component <> last").select("band", F.col("hub.component").alias("first"), F.col("hub.name").alias("a"))
         hubs = materialize(hubs, "hubs")  # a stored side leaves hot buckets of the other side to be split
-        pairs = self.buckets.join(hubs, "band").where("name <> a").select("a", F.col("name").alias("b")).distinct()
+        pairs = members.join(hubs, "band").where("component <> first").select("a", F.col("name").alias("b")).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = materialize(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "hub-pairs")
+        return pairs
+
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose signatures are alike."""
         bits = lambda x: self.classes.select(F.col("name").alias(x), F.col("bits").alias(f"{x}_bits"))
         joined = pairs.join(bits("b"), "b").join(bits("a"), "a").select("a", "b", "a_bits", "b_bits")
         return joined.mapInArrow(functools.partial(_likely_batches, least=self.least), "a binary, b binary")
 
     def across_pairs(self, labels: DataFrame) -> DataFrame:
         """Likely pairs of classes that share a bucket but not yet a component."""
-        labels = labels.withColumnRenamed("node", "name")
-        members = self.buckets.join(labels, "name", "left").withColumn("component", F.coalesce("component", "name"))
+        members = self.members(labels)
         mixed = members.groupBy("band").agg(F.min("component").alias("first"), F.max("component").alias("last"), F.count(F.lit(1)).alias("n"))
         mixed = materialize(mixed.where("first <> last").select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed-buckets")
-        rows = members.join(mixed, "band").join(self.classes.select("name", "bits"), "name")
+        rows = members.join(mixed, "band").join(self.classes.select("name", "bits", "bands"), "name")
         rows = rows.withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        rows = rows.select("band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "name", "component", "bits")
+        rows = rows.select("band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "name", "component", "bits", "bands")
         dealt = rows.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
         return dealt.mapInArrow(functools.partial(_across_batches, least=self.least), "a binary, b binary").distinct()
 
     def components(self) -> DataFrame:
         """(name, component_id): each class with the smallest document id it is linked with."""
-        links = self.confirm(self.hub_pairs())
-        labels = connected(links)
+        links, labels, tested = None, None, None
+        for _ in range(ROUNDS):
+            pairs = self.hub_pairs(labels, tested)
+            more = self.confirm(self.likely(pairs))
+            tested = pairs if tested is None else tested.union(pairs)
+            links = more if links is None else links.union(more)
+            labels = connected(links)
         more = self.confirm(self.across_pairs(labels))
         if not more.isEmpty():
             labels = connected(links.union(more))
