@@ -15,9 +15,8 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep what the quality classifier accepts; it learns from the labels outside the held-out fold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    ids = labels.where(~quality_model.held_out(F.col("doc_id"))).select("doc_id").distinct()
-    labelled = materialize(quality_model.document_statistics(docs.join(ids, "doc_id", "left_semi")), "labelled-statistics")
-    return quality_model.keep_good(docs.select(*COLUMNS), quality_model.learn(labelled, labels))
+    stored = materialize(quality_model.document_statistics(docs), "labelled-statistics")  # narrow: texts are not shuffled
+    return quality_model.keep_good(docs.select(*COLUMNS), quality_model.learn(stored, labels))
 
 
 def no_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
