@@ -3,8 +3,8 @@
 1. One pass turns each whole text into its set of shingles (64-bit hashes), the set's 128-bit name,
    band keys of its minima, and its packed signature: the low ``b`` bits of every minimum.
 2. Texts with equal sets are one class; everything below moves classes, so copies cost one row each.
-3. The classes that share a band key are candidates. In a few rounds (``ROUNDS``) every class is paired with one
-   class of another component at most, the first of its buckets, and what is confirmed joins components. Then only
+3. The classes that share a band key are candidates. First (``ROUNDS`` times) every class is paired with one class of
+   another component in each of its buckets, so with as many as there are bands at most, and what is confirmed joins components. Then only
    buckets that still hold several components are compared in full, in blocks of bounded size inside tasks;
    pairs across components are given out once, in the first bucket they share. So no
    bucket's pairs are listed, whatever its size, and no link between components is passed over.
@@ -38,7 +38,7 @@ HASHES = 160
 BITS = 2
 MARGIN = 0.2
 BLOCK = 1000
-ROUNDS = 3
+ROUNDS = 1
 #: Bands and rows of a band by the lowest threshold in hundredths they serve.
 BANDS = {85: (32, 5), 80: (40, 4)}
 
@@ -202,7 +202,7 @@ class NearDuplicates:
         return members.withColumn("component", F.coalesce("component", "name"))
 
     def hub_pairs(self, labels: DataFrame | None, tested: DataFrame | None) -> DataFrame:
-        """Every class with one class of another component, the first of its buckets not tested before."""
+        """Every class with one class of another component in each of its buckets, unless tested before."""
         members = self.members(labels)
         hubs = members.groupBy("band").agg(F.min(F.struct("component", "name")).alias("hub"), F.max("component").alias("last"))
         hubs = hubs.where("hub.component <> last").select("band", F.col("hub.component").alias("first"), F.col("hub.name").alias("a"))
@@ -210,8 +210,7 @@ class NearDuplicates:
         pairs = members.join(hubs, "band").where("component <> first").select("a", F.col("name").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "hub-pairs")
-        return pairs
+        return materialize(pairs, "hub-pairs")
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose signatures are alike."""
