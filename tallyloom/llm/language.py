@@ -1,13 +1,14 @@
 """Language identification with one bit-sliced Bloom filter for all languages.
 
-Each slot of the filter is a bit mask of languages, so a look-up combines the masks of a gram's slots and
+Each slot of the filter is a bit mask of languages, with as many 64-bit words as the languages need, so a look-up combines the masks of a gram's slots and
 returns every language that has it. A text's grams are looked up whole; the count of set bits for each
 language is corrected for the filter's rate of false positives in that language, and the largest
 corrected count decides. Grams are four bytes of lower-case letters and blanks.
 
-Learning takes a bounded sample of labelled rows (``SAMPLE_ROWS``, chosen by a hash of the id) outside
-the held-out fold. For each language the most frequent grams that are not far more frequent elsewhere are
-put in; ``GRAMS`` bounds their number and so the size of what is sent to tasks.
+Learning takes a bounded sample of each language's labelled rows (about ``SAMPLE_ROWS``, chosen by a hash of the
+id; all rows of a language that has no more) outside the held-out fold. Every labelled language takes part, and with at least
+one row. For each language the most frequent grams that are not far more frequent elsewhere are
+put in; ``GRAMS`` bounds their number. What is sent to tasks grows with the languages only: eight bytes a slot for each 64.
 
 Defined results: ``und`` with score 0 for a text that is missing or has no letter, and for all texts when
 nothing was learned; when no gram is known, the language with most rows wins with score 0; ties go to the language first in the
@@ -17,6 +18,7 @@ alphabet; other columns are ignored.
 from __future__ import annotations
 
 import functools
+from collections.abc import Collection
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +32,7 @@ SAMPLE_ROWS = 20_000
 GRAMS = 40_000
 SLOTS = 1 << 20
 HASHES = 2
-MOST_LANGUAGES = 64
+WORD = 64
 
 _kept = np.full(256, 32, np.uint8)
 _kept[97:123] = np.arange(97, 123)
@@ -62,7 +64,7 @@ def slots_of(grams: np.ndarray, slots: int) -> list[np.ndarray]:
 
 @dataclass(frozen=True)
 class LanguageFilter:
-    """Languages in alphabetical order, the slots' masks, false positive rates, the most common language."""
+    """Languages in alphabetical order, the slots' masks (one column for each 64), false positive rates, the most common language."""
 
     languages: tuple[str, ...]
     masks: np.ndarray
@@ -72,11 +74,12 @@ class LanguageFilter:
     def decide(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         grams, bounds = text_grams(texts)
         first, second = slots_of(grams, len(self.masks))
-        found = self.masks[first] & self.masks[second]
         totals = np.diff(bounds)
         counts = np.zeros((len(texts), len(self.languages)))
         for k in range(len(self.languages)):
-            sums = np.concatenate([[0], np.cumsum((found >> np.uint64(k)) & np.uint64(1), dtype=np.int64)])
+            if k % WORD == 0:
+                found = self.masks[first, k // WORD] & self.masks[second, k // WORD]
+            sums = np.concatenate([[0], np.cumsum((found >> np.uint64(k % WORD)) & np.uint64(1), dtype=np.int64)])
             counts[:, k] = sums[bounds[1:]] - sums[bounds[:-1]]
         corrected = np.maximum((counts - totals[:, None] * self.rates) / (1 - self.rates), 0)
         best = corrected.argmax(1)
@@ -90,17 +93,15 @@ class LanguageFilter:
         return names, score
 
 
-def build_filter(counts: dict[str, dict[int, int]], rows: dict[str, int], slots: int = SLOTS) -> LanguageFilter:
-    """The filter from each language's gram counts and number of rows."""
+def build_filter(counts: dict[str, Collection[int]], rows: dict[str, int], slots: int = SLOTS) -> LanguageFilter:
+    """The filter from each language's grams and number of rows."""
     languages = tuple(sorted(counts))
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    masks = np.zeros(slots, np.uint64)
+    masks = np.zeros((slots, -(-len(languages) // WORD)), np.uint64)
     for k, language in enumerate(languages):
         grams = np.fromiter(counts[language], np.int64, len(counts[language]))
         for at in slots_of(grams.astype(np.uint32), slots):
-            masks[at] |= np.uint64(1 << k)
-    fill = np.array([((masks >> np.uint64(k)) & np.uint64(1)).mean() for k in range(len(languages))])
+            masks[at, k // WORD] |= np.uint64(1 << k % WORD)
+    fill = np.array([((masks[:, k // WORD] >> np.uint64(k % WORD)) & np.uint64(1)).mean() for k in range(len(languages))])
     common = max(range(len(languages)), key=lambda k: (rows[languages[k]], -k))
     return LanguageFilter(languages, masks, np.minimum(fill**HASHES, 0.999), common)
 
@@ -124,13 +125,17 @@ def learn(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     """The filter learned from labelled rows outside the held-out fold, or None without any."""
     rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     rows = rows.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    per_language = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()}
-    total = sum(per_language.values())
-    if not total:
-        return None
     scale = 1 << 40
-    bound = min(scale, scale * sample // total)
-    chosen = rows.where((F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < bound) & F.col("lang").isin(list(per_language)))
+    rows = rows.withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(scale)))
+    found = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("least")).collect()
+    if not found:
+        return None
+    per_language = {r["lang"]: r["n"] for r in found}
+    bounds = {r["lang"]: max(scale * sample // r["n"], r["least"] + 1) for r in found if r["n"] > sample}
+    chosen = rows
+    if bounds:
+        bound = F.create_map(*[F.lit(x) for pair in sorted(bounds.items()) for x in pair])[F.col("lang")]
+        chosen = rows.where(F.col("place") < F.coalesce(bound, F.lit(scale)))
     counted = chosen.select("text", "lang").mapInArrow(_gram_batches, "lang string, gram long, n long")
     counted = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     share = F.col("n") / F.sum("n").over(Window.partitionBy("lang"))
@@ -138,9 +143,12 @@ def learn(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("share"), "gram"))
     common = counted.withColumn("share", share).withColumn("most", most).where(F.col("share") >= 0.3 * F.col("most"))
     common = common.withColumn("place", place).where(F.col("place") <= GRAMS)
-    grams: dict[str, dict[int, int]] = {language: {} for language in per_language}
-    for r in common.select("lang", "gram", "n").collect():
-        grams[r["lang"]][r["gram"]] = r["n"]
+    table = common.select("lang", "gram").toArrow()
+    names = table.column("lang").combine_chunks().dictionary_encode()
+    order = np.argsort(names.indices.to_numpy(), kind="stable")
+    cuts = np.bincount(names.indices.to_numpy(), minlength=len(names.dictionary)).cumsum()[:-1]
+    own = dict(zip(names.dictionary.to_pylist(), np.split(table.column("gram").to_numpy()[order], cuts)))
+    grams = {language: own.get(language, ()) for language in per_language}
     return build_filter(grams, per_language)
 
 

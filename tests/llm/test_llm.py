@@ -273,6 +273,32 @@ def test_filter_returns_all_languages_of_a_gram():
     assert model.decide(["world again", "mundo otra", ""])[0] == ["a", "b", "und"]
 
 
+def own_words(language_no, row):
+    """A text in an alphabet that only one language has."""
+    letters = [chr(0x4E00 + 40 * language_no + k) for k in range(40)]
+    r = random.Random(row)
+    return " ".join("".join(r.choice(letters) for _ in range(6)) for _ in range(30))
+
+
+def test_more_than_64_languages(spark):
+    rows = [(i, own_words(i % 130, i), f"l{i % 130:03}") for i in range(130 * 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learn(docs)
+    assert len(model.languages) == 130
+    assert model.decide([own_words(k, k) for k in range(130)])[0] == [f"l{k:03}" for k in range(130)]
+    found = language.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(found) == len(rows) and all(r["lang"] == r["lang_pred"] for r in found)
+
+
+def test_rare_language_is_learned_from_a_sampled_table(spark):
+    rows = [(i, own_words(1, i % 50), "many") for i in range(6000)] + [(6000 + i, own_words(2, i), "rare") for i in range(8)]
+    rows += [(8, own_words(3, i), "same id") for i in range(300)]
+    model = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample=100)
+    assert model.languages == ("many", "rare", "same id")
+    assert model.decide([own_words(2, i) for i in range(8)])[0] == ["rare"] * 8
+    assert model.decide([own_words(1, 3), own_words(3, 5)])[0] == ["many", "same id"]
+
+
 def test_pieces_equal_the_library(edges, nothing):
     import sentencepiece
 
