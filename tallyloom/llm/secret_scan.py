@@ -7,11 +7,13 @@ Decoding is Viterbi over all tokens of every whole text. A line in which no toke
 score, transitions included, reaches zero has the all-outside path as its best; such lines
 are recognised with array arithmetic, the others are decoded in step with each other. That bound is exact.
 
-The field is trained on the pattern matches of a bounded sample of rows (``SAMPLE_ROWS``, chosen by a
-hash of the id), without the patterns among its features. Its spans are added under the kind ``crf``
+The field is trained on the pattern matches of a bounded sample of rows, without the patterns among its features. Rows with
+a match and rows without one are bounded separately, each to about ``SAMPLE_ROWS`` chosen by a hash of id and text, so all
+matching rows are used while there are no more, whatever the table's size. Of a row with many matches, up to ``CENTRES``
+of each kind are used, spread over all of them. Its spans are added under the kind ``crf``
 where they touch no pattern match; pattern matches always stay.
 
-Defined results: a missing or empty text has no span; without a match in the sample the field adds
+Defined results: a missing or empty text has no span; without a match in the table the field adds
 nothing; repeated rows are scanned row by row; other columns are ignored or passed through.
 """
 
@@ -24,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +34,7 @@ from tallyloom.llm.texts import hash_spans, runs, sliced, utf8
 
 SAMPLE_ROWS = 2_000
 WINDOW = 10
+CENTRES = 8
 HASHED = 512
 KINDS = ("assign", "access", "hex", "crf")
 
@@ -39,6 +43,11 @@ ASSIGN = re.compile(r"(?ai:(password|passwd|secret|token|api_?key))[\"']?\x20*[:
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 SHORTEST = {"assign": 8, "access": 16, "hex": 32}
+#: For Spark: every text that has a pattern match matches this too, some others as well.
+CANDIDATE = (
+    r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]{%d}|AKIA[A-Z0-9]{%d}|[0-9a-f]{%d}"
+    % (SHORTEST["assign"], SHORTEST["access"] - len("AKIA"), SHORTEST["hex"])
+)
 _cues = ("pass", "secret", "token", "api")
 
 OUTSIDE, BEGIN, INSIDE = range(3)
@@ -229,6 +238,11 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
 
+def spread_over(values: list[int], most: int) -> list[int]:
+    """All values, or ``most`` of them from the first to the last at even distances."""
+    return values if len(values) <= most else [values[k * (len(values) - 1) // (most - 1)] for k in range(most)]
+
+
 def training_windows(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     """Feature rows and tags around every pattern match, and around one token of each text without any."""
     data, bounds = utf8(column)
@@ -239,7 +253,7 @@ def training_windows(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
         if low == high:
             continue
         tags = np.zeros(high - low, np.int8)
-        centres = []
+        centres: dict[str, list[int]] = {}
         for kind, start, end in pattern_spans(text):
             if kind == "assign":  # the value is the secret, the name before it is its context
                 start = end - len(ASSIGN.match(text, start)[2])
@@ -249,8 +263,8 @@ def training_windows(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
             if len(hit):
                 tags[hit] = INSIDE
                 tags[hit[0]] = BEGIN
-                centres.append(int(hit[0]))
-        for centre in centres[:8] or [(high - low) // 2]:
+                centres.setdefault(kind, []).append(int(hit[0]))
+        for centre in [c for own in centres.values() for c in spread_over(own, CENTRES)] or [(high - low) // 2]:
             near = np.arange(max(0, centre - WINDOW), min(high - low, centre + WINDOW + 1))
             near = near[tokens.lines[low + near] == tokens.lines[low + centre]]
             out.append((tokens.features[low + near], tags[near]))
@@ -299,22 +313,39 @@ def train(windows: list[tuple[np.ndarray, np.ndarray]], rounds: int = 60, rate:
     return Field(weights, pairs, first)
 
 
-def _window_batches(batches):
+def _matching(batch: pa.RecordBatch) -> pa.Array:
+    return pa.array([bool(pattern_spans(text)) for text in batch.column("text").to_pylist()], pa.bool_())
+
+
+def _count_batches(batches):
     for batch in sliced(batches):
-        for features, tags in training_windows(batch.column("text")):
+        yield pa.record_batch({"n": pa.array([_matching(batch).true_count], pa.int64())})
+
+
+def _window_batches(batches, matching: bool):
+    for batch in sliced(batches):
+        has = _matching(batch)
+        for features, tags in training_windows(batch.column("text").filter(has if matching else pc.invert(has))):
             yield pa.record_batch({"f": pa.array([features.astype("<i2").tobytes()]), "t": pa.array([tags.tobytes()])})
 
 
 def learn(df: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE_ROWS) -> Field | None:
-    """Train on the pattern matches of about ``sample`` rows; None if they have none."""
-    rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).where("text is not null and doc_id is not null")
-    total, scale = rows.select("doc_id").count(), 1 << 40
-    if not total:
+    """Train on about ``sample`` rows with a pattern match and as many without; None if no row has a match."""
+    scale = 1 << 40
+    place = F.pmod(F.xxhash64(F.col(doc_id), F.col(text).cast("string")), F.lit(scale))
+    rows = df.select(place.alias("place"), F.col(text).cast("string").alias("text")).where("text is not null")
+    candidates = rows.where(F.col("text").rlike(CANDIDATE))
+    matching = candidates.select("text").mapInArrow(_count_batches, "n long").agg(F.sum("n")).first()[0]
+    if not matching:
         return None
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < min(scale, scale * sample // total))
-    windows = chosen.select("text").mapInArrow(_window_batches, "f binary, t binary").orderBy("f", "t").collect()
+    others = rows.count() - matching
+
+    def windows(chosen: DataFrame, size: int, own: bool) -> DataFrame:
+        chosen = chosen.where(F.col("place") < min(scale, scale * sample // max(1, size)))
+        return chosen.select("text").mapInArrow(functools.partial(_window_batches, matching=own), "f binary, t binary")
+
     parsed = []
-    for row in windows:
+    for row in windows(candidates, matching, True).union(windows(rows, others, False)).orderBy("f", "t").collect():
         tags = np.frombuffer(row["t"], np.int8)
         parsed.append((np.frombuffer(row["f"], "<i2").reshape(len(tags), -1).astype(np.int64), tags))
     return train(parsed) if parsed else None
