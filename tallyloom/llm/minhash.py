@@ -231,7 +231,7 @@ class NearDuplicates:
         return dealt.mapInArrow(functools.partial(_across_batches, least=self.least), "a binary, b binary").distinct()
 
     def components(self) -> DataFrame:
-        """(name, component_id): each class with the smallest document id it is linked with."""
+        """(name, component_id, first_key): each class with the smallest document id and text key it is linked with."""
         links, labels, tested = None, None, None
         for _ in range(ROUNDS):
             pairs = self.hub_pairs(labels, tested)
@@ -242,10 +242,10 @@ class NearDuplicates:
         more = self.confirm(self.across_pairs(labels))
         if not more.isEmpty():
             labels = connected(links.union(more))
-        labelled = self.classes.select("name", "doc_id").join(labels.withColumnRenamed("node", "name"), "name", "left")
+        labelled = self.classes.select("name", "doc_id", "key").join(labels.withColumnRenamed("node", "name"), "name", "left")
         labelled = labelled.withColumn("component", F.coalesce("component", "name"))
-        smallest = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-        return labelled.join(smallest, "component").select("name", "component_id")
+        smallest = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.min("key").alias("first_key"))
+        return labelled.join(smallest, "component").select("name", "component_id", "first_key")
 
 
 def near_duplicates(df: DataFrame, size: int = 5, threshold: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -259,8 +259,15 @@ def near_duplicates(df: DataFrame, size: int = 5, threshold: int = 80, doc_id: s
 def keep_first(df: DataFrame, size: int = 5, threshold: int = 80) -> DataFrame:
     """Rows of ``df`` (with ``doc_id`` and ``text``) without the near-duplicates of a document of smaller id.
 
-    All columns are unchanged. Of repeated rows of the same id all stay, since nothing tells them apart.
+    All columns are unchanged. Rows are judged by id and text: of rows of one id with different texts, each stays or goes
+    by its own text; of repeated rows of the same id that stay, all stay, since nothing tells them apart. Rows without an
+    id go where a linked row has one; among themselves one row stays, of the smallest text key. Texts without words stay.
     """
-    verdict = near_duplicates(df, size, threshold)
-    dropped = materialize(verdict.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_dropped")).distinct(), "dropped")
-    return df.join(dropped, df["doc_id"] == dropped["_dropped"], "left_anti")
+    found = NearDuplicates(df, size, threshold)
+    rows = found.documents.join(found.components(), "name")
+    first = F.when(F.col("component_id").isNull(), F.col("key") == F.col("first_key")).otherwise(F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    dropped = materialize(rows.where(~first).select(F.col("doc_id").alias("_dropped"), F.col("key").alias("_text_key")).distinct(), "dropped")
+    same = df["doc_id"].eqNullSafe(dropped["_dropped"]) & (text_key("text") == dropped["_text_key"])
+    nameless = F.col("doc_id").isNull() & F.coalesce(F.col("text").rlike(r"[^ \t\n\x0B\f\r]"), F.lit(False))
+    kept = df.where(~nameless).join(dropped, same, "left_anti")
+    return kept.unionByName(df.where(nameless).join(dropped, same, "left_anti").dropDuplicates(["text"]))

@@ -468,6 +468,18 @@ def test_near_duplicate_edges(edges, nothing):
     assert sorted(r["doc_id"] for r in kept.where("doc_id is not null").collect()) == [0, 1, 2, 3, 4, 5, 5, 5, 10, 12, 13, 14, 15]
 
 
+def test_first_is_kept_by_id_and_text(spark):
+    base, alone, other = prose(100, 70), prose(100, 71), prose(100, 72)
+    rows = [(1, base), (2, base + " tail"), (2, alone), (2, alone), (3, base.upper())]
+    rows += [(None, base + " end"), (None, other), (None, other), (None, other + " x"), (None, prose(90, 73)), (None, None), (None, " "), (None, "")]
+    kept = minhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r["text"] == alone for r in kept if r["doc_id"] is not None) == [False, True, True]
+    assert [r["text"] for r in kept if r["doc_id"] == 1] == [base]
+    free = [r["text"] for r in kept if r["doc_id"] is None]
+    assert len(free) == 5 and free.count(None) == free.count(" ") == free.count("") == free.count(prose(90, 73)) == 1
+    assert len({other, other + " x"} & set(free)) == 1
+
+
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
