@@ -10,8 +10,8 @@ are recognised with array arithmetic, the others are decoded in step with each o
 The field is trained on the pattern matches of a bounded sample of rows, without the patterns among its features. Rows with
 a match and rows without one are bounded separately, each to about ``SAMPLE_ROWS`` chosen by a hash of id and text, so all
 matching rows are used while there are no more, whatever the table's size. Of a row with many matches, up to ``CENTRES``
-of each kind are used, spread over all of them. Its spans are added under the kind ``crf``
-where they touch no pattern match; pattern matches always stay.
+of each kind are used, spread over all of them. Its spans are added under the kind ``crf``, without the tokens that a pattern match touches: what is left of a
+span on either side, or between matches, stays as spans of its own. Pattern matches always stay.
 
 Defined results: a missing or empty text has no span; without a match in the table the field adds
 nothing; repeated rows are scanned row by row; other columns are ignored or passed through.
@@ -193,12 +193,17 @@ class Field:
         return tags
 
 
-def tagged_spans(tokens: Tokens, tags: np.ndarray, row: int) -> list[tuple[int, int]]:
-    """Byte spans of the secrets of a row, from the start of the batch."""
+def tagged_spans(tokens: Tokens, tags: np.ndarray, row: int, taken: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Byte spans of the secrets of a row, from the start of the batch, without the tokens that touch a ``taken`` span."""
     low, high = int(tokens.bounds[row]), int(tokens.bounds[row + 1])
     found: list[list[int]] = []
     last = -2
-    for i in np.flatnonzero(tags[low:high]) + low:
+    marked = np.flatnonzero(tags[low:high]) + low
+    if taken is not None and len(taken):
+        taken = taken[np.argsort(taken[:, 0])]
+        reach = np.concatenate([[0], np.maximum.accumulate(taken[:, 1])])
+        marked = marked[reach[np.searchsorted(taken[:, 0], tokens.ends[marked])] <= tokens.starts[marked]]
+    for i in marked:
         if tags[i] == INSIDE and last == i - 1 and tokens.lines[i] == tokens.lines[i - 1]:
             found[-1][1] = int(tokens.ends[i])
         else:
@@ -224,12 +229,11 @@ class Scanner:
             tags = self.field.decode(tokens)
             rows = np.unique(np.searchsorted(tokens.bounds, np.flatnonzero(tags), side="right") - 1)
             for row in rows.tolist():
-                raw = data[bounds[row] : bounds[row + 1]].tobytes()
-                for low, high in tagged_spans(tokens, tags, row):
-                    start = len(raw[: low - bounds[row]].decode("utf-8", "surrogatepass"))
-                    end = start + len(raw[low - bounds[row] : high - bounds[row]].decode("utf-8", "surrogatepass"))
-                    if all(end <= a or start >= b for _, a, b in base[row]):
-                        added[row].append(("crf", start, end))
+                raw = data[bounds[row] : bounds[row + 1]]
+                places = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))  # of code points
+                taken = places[np.array([s[1:] for s in base[row]], np.int64).reshape(-1, 2)] + bounds[row]
+                spans = np.array(tagged_spans(tokens, tags, row, taken), np.int64).reshape(-1, 2) - bounds[row]
+                added[row] = [("crf", a, b) for a, b in np.searchsorted(places, spans).tolist()]
         by_place = lambda s: (s[1], KINDS.index(s[0]))
         return [(t, sorted(b, key=by_place), sorted(b + a, key=by_place)) for t, b, a in zip(texts, base, added)]
 
