@@ -10,7 +10,9 @@ are recognised with array arithmetic, the others are decoded in step with each o
 The field is trained on the pattern matches of a bounded sample of rows, without the patterns among its features. Rows with
 a match and rows without one are bounded separately, each to about ``SAMPLE_ROWS`` chosen by a hash of id and text, so all
 matching rows are used while there are no more, whatever the table's size. Of a row with many matches, up to ``CENTRES``
-of each kind are used, spread over all of them. Its spans are added under the kind ``crf``, without the tokens that a pattern match touches: what is left of a
+of each kind are used, spread over all of them.
+
+The field's spans are added under the kind ``crf``, without the tokens that a pattern match touches: what is left of a
 span on either side, or between matches, stays as spans of its own. Pattern matches always stay.
 
 Defined results: a missing or empty text has no span; without a match in the table the field adds
@@ -338,18 +340,20 @@ def learn(df: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int
     scale = 1 << 40
     place = F.pmod(F.xxhash64(F.col(doc_id), F.col(text).cast("string")), F.lit(scale))
     rows = df.select(place.alias("place"), F.col(text).cast("string").alias("text")).where("text is not null")
-    candidates = rows.where(F.col("text").rlike(CANDIDATE))
-    matching = candidates.select("text").mapInArrow(_count_batches, "n long").agg(F.sum("n")).first()[0]
+    candidate = F.col("text").rlike(CANDIDATE)
+    matching = rows.where(candidate).select("text").mapInArrow(_count_batches, "n long").agg(F.sum("n")).first()[0]
     if not matching:
         return None
     others = rows.count() - matching
 
-    def windows(chosen: DataFrame, size: int, own: bool) -> DataFrame:
-        chosen = chosen.where(F.col("place") < min(scale, scale * sample // max(1, size)))
+    def windows(size: int, own: bool) -> DataFrame:
+        chosen = rows.where(F.col("place") < min(scale, scale * sample // max(1, size)))
+        if own:
+            chosen = chosen.where(candidate)  # after the cheap bound, which leaves few rows of a large table
         return chosen.select("text").mapInArrow(functools.partial(_window_batches, matching=own), "f binary, t binary")
 
     parsed = []
-    for row in windows(candidates, matching, True).union(windows(rows, others, False)).orderBy("f", "t").collect():
+    for row in windows(matching, True).union(windows(others, False)).orderBy("f", "t").collect():
         tags = np.frombuffer(row["t"], np.int8)
         parsed.append((np.frombuffer(row["f"], "<i2").reshape(len(tags), -1).astype(np.int64), tags))
     return train(parsed) if parsed else None
