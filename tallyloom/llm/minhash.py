@@ -9,11 +9,12 @@
    pairs across components are given out once, in the first bucket they share. So no
    bucket's pairs are listed, whatever its size, and no link between components is passed over.
 4. Packed signatures are compared by bit counts; the share of equal values, corrected for chance
-   equality of low bits, estimates the similarity. Pairs far below the threshold (``MARGIN``, six standard
-   errors) are left out, the others are confirmed on their full sets.
+   equality of low bits, estimates the similarity. Pairs so far below the threshold that
+   a link at it is there less often than it shares no band key (``least_estimate``) are left out, the others are confirmed on their full sets.
 5. Components of the confirmed links give each document the smallest id it reaches.
 
-Two sets at the threshold share no band key with a probability of about 1e-8; that is the only way to miss a link.
+Two ways to miss a link are left, each with a probability of at most ``MISS`` (1e-8) for two sets at the threshold: they share no
+band key, or their signatures look too different. Bands follow from the threshold; one that 160 hashes cannot serve is refused.
 
 Defined results: a missing or empty text has an empty set and is linked with nothing; rows of the same
 text are one class even with the same id; a row without an id takes part, but names no component unless
@@ -23,6 +24,7 @@ no member has an id; other columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import functools
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +38,9 @@ from tallyloom.session import materialize
 
 HASHES = 160
 BITS = 2
-MARGIN = 0.2
+MISS = 1e-8
 BLOCK = 1000
 ROUNDS = 1
-#: Bands and rows of a band by the lowest threshold in hundredths they serve.
-BANDS = {85: (32, 5), 80: (40, 4)}
 
 _values, _inside = byte_table(True, b" \t\n\x0b\x0c\r")
 _factors = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -98,6 +98,31 @@ def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (equal / HASHES - chance) / (1 - chance)
 
 
+def band_miss(threshold: int, bands: int, rows: int) -> float:
+    """Probability that two sets at the threshold (in hundredths) share no band key."""
+    return (1 - min(1.0, threshold / 100) ** rows) ** bands
+
+
+def bands_for(threshold: int) -> tuple[int, int]:
+    """Bands and rows of a band: the most rows with a miss of at most ``MISS``."""
+    for rows in range(HASHES, 0, -1):
+        if threshold > 0 and band_miss(threshold, HASHES // rows, rows) <= MISS:
+            return HASHES // rows, rows
+    raise ValueError(f"threshold {threshold} is too low for {HASHES} hashes")
+
+
+def least_estimate(threshold: int, miss: float) -> float:
+    """The largest bound that two sets at the threshold stay under with a probability of at most ``miss``, by the binomial tail."""
+    similar = min(1.0, threshold / 100)
+    equal, below, count = similar + (1 - similar) * 0.5**BITS, 0.0, 0
+    while count < HASHES:
+        below += math.comb(HASHES, count) * equal**count * (1 - equal) ** (HASHES - count)
+        if below > miss:
+            break
+        count += 1
+    return ((count - 0.5) / HASHES - 0.5**BITS) / (1 - 0.5**BITS)
+
+
 def _signature_batches(batches, size: int, bands: int, rows: int):
     for batch in sliced(batches):
         sets = shingle_sets(batch.column("text"), size)
@@ -173,8 +198,8 @@ class NearDuplicates:
 
     def __init__(self, df: DataFrame, size: int = 5, threshold: int = 80, doc_id: str = "doc_id", text: str = "text"):
         self.size, self.threshold = size, threshold
-        self.bands, self.rows = next((v for k, v in sorted(BANDS.items(), reverse=True) if threshold >= k), (HASHES // 2, 2))
-        self.least = threshold / 100 - MARGIN
+        self.bands, self.rows = bands_for(threshold)
+        self.least = least_estimate(threshold, band_miss(threshold, self.bands, self.rows))
         self.texts = df.select(F.col(doc_id).cast("long").alias("doc_id"), text_key(text).alias("key"), F.col(text).cast("string").alias("text"))
         run = functools.partial(_signature_batches, size=size, bands=self.bands, rows=self.rows)
         schema = "doc_id long, key string, n_shingles long, name binary, bands array<bigint>, bits binary"

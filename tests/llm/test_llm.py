@@ -1,6 +1,7 @@
 """Operators for training data against libraries, brute force and defined edge cases."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -459,6 +460,23 @@ def test_near_duplicates_equal_brute_force(spark, edge_texts, monkeypatch, size,
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in found} == brute_components(rows, size, threshold)
 
 
+@pytest.mark.parametrize("threshold", [15, 20, 30, 50, 70, 80, 85, 90, 99, 100])
+def test_both_ways_to_miss_a_link_are_bounded(threshold):
+    bands, rows = minhash.bands_for(threshold)
+    miss = (1 - (threshold / 100) ** rows) ** bands
+    assert bands * rows <= minhash.HASHES and miss <= 1e-8
+    least, equal = minhash.least_estimate(threshold, miss), threshold / 100 + (1 - threshold / 100) / 4
+    chances = [math.comb(160, k) * equal**k * (1 - equal) ** (160 - k) for k in range(161) if (k / 160 - 0.25) / 0.75 < least]
+    assert 0 < len(chances) <= 160 and sum(chances) <= miss
+
+
+def test_thresholds_that_hashes_cannot_serve_are_refused(spark):
+    for threshold in (0, 5, 10):
+        with pytest.raises(ValueError):
+            minhash.near_duplicates(spark.createDataFrame([(1, "a")], "doc_id long, text string"), 3, threshold)
+    assert minhash.bands_for(85) == (32, 5) and minhash.bands_for(80) == (40, 4)
+
+
 def test_signature_estimate():
     rng = np.random.default_rng(2)
     pool = rng.integers(0, 2**63, 3000).astype(np.uint64)
