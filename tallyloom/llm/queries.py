@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import fill_middle, language, minhash, oracles, pieces, quality_model, quality_rules, secret_scan, suffix_dedup, winnowing
+from tallyloom.llm import fill_middle, language, minhash, oracles, pieces, quality_model, quality_rules, secret_scan, substring_dedup, suffix_dedup, winnowing
 from tallyloom.llm.binary_output import token_output
 from tallyloom.llm.token_counts import count_tokens
 
@@ -87,6 +87,14 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(docs, language.learn(docs))
 
 
+@query
+def op11_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.remove_repeats(documents(spark, folder)).drop("kept")
+
+
+ORACLES["op11_substring_dedup"] = substring_dedup.ORACLE
+
+
 @query
 def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     return fill_middle.fill_in_middle(documents(spark, folder), texts=False)
