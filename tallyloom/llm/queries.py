@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import fill_middle, language, minhash, oracles, pieces, quality_model, quality_rules, secret_scan, substring_dedup, suffix_dedup, winnowing
+from tallyloom.llm import conversation_trie, fill_middle, language, minhash, oracles, pieces, quality_model, quality_rules, secret_scan, substring_dedup, suffix_dedup, winnowing
 from tallyloom.llm.binary_output import token_output
 from tallyloom.llm.token_counts import count_tokens
 
@@ -101,3 +101,11 @@ def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op12_fill_in_middle"] = fill_middle.ORACLE
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie.conversation_trie(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
+ORACLES["op13_conversation_trie"] = conversation_trie.ORACLE
