@@ -3,15 +3,17 @@
 1. One pass turns each whole text into its set of shingles (64-bit hashes), the set's 128-bit name,
    band keys of its minima, and its packed signature: the low ``b`` bits of every minimum.
 2. Texts with equal sets are one class; everything below moves classes, so copies cost one row each.
-3. The classes that share a band key are candidates. First (``ROUNDS`` times) every class is paired with one class of
-   another component in each of its buckets, so with as many as there are bands at most, and what is confirmed joins components. Then only
-   buckets that still hold several components are compared in full, in blocks of bounded size inside tasks;
-   pairs across components are given out once, in the first bucket they share. So no
-   bucket's pairs are listed, whatever its size, and no link between components is passed over.
-4. Packed signatures are compared by bit counts; the share of equal values, corrected for chance
-   equality of low bits, estimates the similarity. Pairs so far below the threshold that
-   a link at it is there less often than it shares no band key (``least_estimate``) are left out, the others are confirmed on their full sets.
-5. Components of the confirmed links give each document the smallest id it reaches.
+3. Classes that share a band key are candidates; only rows of band keys that two classes have are kept. Inside a task the packed
+   signatures of such a bucket are compared by bit counts: the share of equal values, corrected for chance equality of low
+   bits, estimates the similarity. Pairs so far below the threshold that a link at it is there less often than it shares no
+   band key (``least_estimate``) are unlikely. A bucket gives out a spanning forest of its likely pairs, so fewer rows than it has
+   members, and not the pairs. Both classes of a link are then in one *cluster* of likely pairs.
+4. The full sets of a cluster meet once in one task, which confirms links exactly. A pair over the threshold shares one of the
+   rarest shingles of both (prefix filter), so few pairs are compared. Links that join two parts are given out, the others add nothing.
+5. Components of these links give each document the smallest id it reaches.
+
+Buckets of more than ``BLOCK`` classes and clusters of more than ``BLOCK_BYTES`` of sets are cut into blocks, and every two blocks
+meet in a task: a class of such a group is sent as often as the group has blocks, each time in full. The results are the same.
 
 Two ways to miss a link are left, each with a probability of at most ``MISS`` (1e-8) for two sets at the threshold: they share no
 band key, or their signatures look too different. Bands follow from the threshold; one that 160 hashes cannot serve is refused.
@@ -32,15 +34,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.components import connected
-from tallyloom.llm.texts import byte_table, fold, grams, hash_spans, mix, runs, signed, sliced, utf8
+from tallyloom.llm.texts import byte_table, fold, grams, hash_spans, mix, ragged, runs, signed, sliced, utf8
 from tallyloom.llm.winnowing import text_key
 from tallyloom.session import materialize
 
 HASHES = 160
 BITS = 2
 MISS = 1e-8
-BLOCK = 1000
-ROUNDS = 1
+BLOCK = 8192
+BLOCK_BYTES = 8 << 20
 
 _values, _inside = byte_table(True, b" \t\n\x0b\x0c\r")
 _factors = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -138,59 +140,113 @@ def _signature_batches(batches, size: int, bands: int, rows: int):
 def _set_batches(batches, size: int):
     for batch in sliced(batches):
         sets = shingle_sets(batch.column("text"), size)
-        yield pa.record_batch({"name": pa.array([set_name(s) for s in sets], pa.binary()), "hashes": pa.array([s.tobytes() for s in sets], pa.binary())})
+        kept = batch.select([c for c in batch.schema.names if c not in ("key", "text")])
+        yield pa.RecordBatch.from_arrays([*kept.columns, pa.array([s.tobytes() for s in sets], pa.binary())], [*kept.schema.names, "hashes"])
+
+
+def likely_forest(bits: np.ndarray, sizes: np.ndarray, threshold: int, least: float) -> list[tuple[int, int]]:
+    """Pairs that join all rows joined by likely pairs; a row is compared only with rows not reached yet."""
+    rest, found = np.arange(len(sizes)), []
+    while len(rest):
+        reached, rest = [int(rest[0])], rest[1:]
+        while reached and len(rest):
+            x = reached.pop()
+            near = 100 * np.minimum(sizes[rest], sizes[x]) >= threshold * np.maximum(sizes[rest], sizes[x])
+            near[near] = estimate(bits[x], bits[rest[near]]) >= least
+            hits, rest = rest[near].tolist(), rest[~near]
+            found += [(x, y) for y in hits]
+            reached += hits
+    return found
+
+
+def link_forest(sets: list[np.ndarray], bits: np.ndarray, threshold: int, least: float) -> list[tuple[int, int]]:
+    """Pairs of sets at or over the threshold that join all sets joined by such pairs."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    distinct, token, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(distinct), np.int64)
+    rank[np.argsort(often, kind="stable")] = np.arange(len(distinct))
+    owner, token = np.repeat(np.arange(len(sets)), sizes), rank[token]
+    order = np.lexsort((token, owner))
+    token, bounds = token[order], np.concatenate([[0], np.cumsum(sizes)])
+    # Of two sets over the threshold, each has a common token among its size - ceil(threshold * size) + 1 rarest.
+    prefix = sizes - -(-threshold * sizes // 100) + 1
+    early = np.flatnonzero((ragged(sizes) < np.repeat(prefix, sizes)) & (np.sort(often)[token] > 1))
+    by_token = early[np.argsort(token[early], kind="stable")]
+    holders, keys = owner[by_token], token[by_token]
+    low, high = np.searchsorted(keys, token[early]), np.searchsorted(keys, token[early], side="right")
+    own = np.searchsorted(early, bounds)
+    root, mark, found = np.arange(len(sets)), np.zeros(len(distinct), bool), []
+    for x in range(len(sets)):
+        posts = [holders[a:b] for a, b in zip(low[own[x] : own[x + 1]], high[own[x] : own[x + 1]])]
+        if not posts:
+            continue
+        y = np.unique(np.concatenate(posts))
+        y = y[(y > x) & (root[y] != root[x])]
+        y = y[100 * np.minimum(sizes[y], sizes[x]) >= threshold * np.maximum(sizes[y], sizes[x])]
+        if len(y):
+            y = y[estimate(bits[x], bits[y]) >= least]
+        if not len(y):
+            continue
+        mark[token[bounds[x] : bounds[x + 1]]] = True
+        places = np.repeat(bounds[y], sizes[y]) + ragged(sizes[y])
+        both = np.add.reduceat(mark[token[places]], np.concatenate([[0], np.cumsum(sizes[y])[:-1]]), dtype=np.int64)
+        mark[token[bounds[x] : bounds[x + 1]]] = False
+        for z in y[100 * both >= threshold * (sizes[x] + sizes[y] - both)].tolist():
+            if root[z] != root[x]:
+                root[root == root[z]] = root[x]
+                found.append((x, z))
+    return found
+
+
+def _groups(batches, keys: list[str]):
+    """Rows of each key as a record batch; rows of a key arrive one after the other."""
+    held: list[pa.RecordBatch] = []
+    current = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = list(zip(*(batch.column(k).to_pylist() for k in keys)))
+        start = 0
+        for stop in range(1, batch.num_rows + 1):
+            if stop < batch.num_rows and values[stop] == values[start]:
+                continue
+            if held and values[start] != current:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held = []
+            current = values[start]
+            held.append(batch.slice(start, stop - start))
+            start = stop
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _likely_batches(batches, least: float):
-    for batch in batches:
-        a, b = (np.frombuffer(b"".join(batch.column(x).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for x in ("a_bits", "b_bits"))
-        yield batch.filter(pa.array(estimate(a, b) >= least)).select(["a", "b"])
+def _bits_of(batch: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
 
 
-def _confirmed_batches(batches, threshold: int):
-    for batch in batches:
-        keep = []
-        for a, b in zip(batch.column("a_hashes").to_pylist(), batch.column("b_hashes").to_pylist()):
-            x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * both >= threshold * (len(x) + len(y) - both))
-        yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
-
-
-def _across_batches(batches, least: float):
-    """Likely pairs across components within each (bucket, block, block), which arrive one after the other."""
-    group, rows = None, []
-
-    def pairs():
-        names, components, blocks = [r["name"] for r in rows], [r["component"] for r in rows], np.array([r["block"] for r in rows])
-        bits = np.frombuffer(b"".join(r["bits"] for r in rows), np.uint8).reshape(len(rows), -1)
-        bands = np.array([r["bands"] for r in rows], np.int64)
-        number = {c: i for i, c in enumerate(set(components))}
-        component = np.array([number[c] for c in components])
-        found = []
-        largest = np.bincount(component).argmax()
-        for i in np.flatnonzero(component != largest).tolist():  # a pair across components has a side outside the largest
-            other = np.flatnonzero(component != component[i])
-            other = other[(component[other] == largest) | (other > i)]
-            if group[1] != group[2]:
-                other = other[blocks[other] != blocks[i]]
-            if len(other):
-                shared = (bands[other] == bands[i]).argmax(1)
-                other = other[(bands[i][shared] == group[0]) & (estimate(bits[i], bits[other]) >= least)]
-                found += [(i, int(j)) for j in other]
-        ordered = sorted({tuple(sorted((names[i], names[j]))) for i, j in found})
-        return pa.record_batch({"a": pa.array([a for a, _ in ordered], pa.binary()), "b": pa.array([b for _, b in ordered], pa.binary())})
+def _pair_batch(batch: pa.RecordBatch, pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = (batch.column("name").take(pa.array([p[k] for p in pairs], pa.int64())) for k in (0, 1))
+    return pa.record_batch({"a": a, "b": b})
 
-    for batch in batches:
-        for row in batch.to_pylist():
-            key = (row["band"], row["low"], row["high"])
-            if key != group and rows:
-                yield pairs()
-                rows = []
-            group = key
-            rows.append(row)
-    if rows:
-        yield pairs()
+
+def _likely_batches(batches, threshold: int, least: float):
+    for group in _groups(batches, ["band", "low", "high"]):
+        yield _pair_batch(group, likely_forest(_bits_of(group), group.column("n_shingles").to_numpy(), threshold, least))
+
+
+def _link_batches(batches, threshold: int, least: float):
+    for group in _groups(batches, ["cluster", "low", "high"]):
+        sets = [np.frombuffer(h, np.uint64) for h in group.column("hashes").to_pylist()]
+        yield _pair_batch(group, link_forest(sets, _bits_of(group), threshold, least))
+
+
+def block_pairs(rows: DataFrame, *group: str) -> DataFrame:
+    """Rows of groups with ``blocks`` blocks, dealt so that every two blocks of a group meet as (group, low, high)."""
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
+    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: k != F.col("block"))
+    rows = rows.withColumn("other", F.explode(F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(others)))
+    rows = rows.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("block", "other", "blocks")
+    return rows.repartition(*group, "low", "high").sortWithinPartitions(*group, "low", "high")
 
 
 class NearDuplicates:
@@ -205,68 +261,35 @@ class NearDuplicates:
         schema = "doc_id long, key string, n_shingles long, name binary, bands array<bigint>, bits binary"
         self.documents = materialize(self.texts.mapInArrow(run, schema), "signatures")
         grouped = self.documents.where("name is not null").groupBy("name")
-        self.classes = materialize(grouped.agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("key", "bands", "bits")).alias("s")).select("name", "doc_id", "s.*"), "classes")
-        self.buckets = self.classes.select("name", F.explode("bands").alias("band"))
-
-    def confirm(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) of classes whose full sets are as similar as asked."""
-        pairs = materialize(pairs, "candidates")
-        names = pairs.select(F.col("a").alias("name")).union(pairs.select("b")).distinct()
-        keys = self.classes.join(names, "name", "left_semi").select("key")
-        sources = self.texts.select("key", "text").join(keys, "key", "left_semi").dropDuplicates(["key"])
-        sets = materialize(sources.mapInArrow(functools.partial(_set_batches, size=self.size), "name binary, hashes binary"), "sets")
-        side = lambda x: sets.select(F.col("name").alias(x), F.col("hashes").alias(f"{x}_hashes"))
-        joined = pairs.join(side("b"), "b").join(side("a"), "a")
-        return materialize(joined.mapInArrow(functools.partial(_confirmed_batches, threshold=self.threshold), "a binary, b binary"), "links")
-
-    def members(self, labels: DataFrame | None) -> DataFrame:
-        """Classes of every bucket with their components; without labels each class is its own."""
-        if labels is None:
-            return self.buckets.withColumn("component", F.col("name"))
-        members = self.buckets.join(labels.withColumnRenamed("node", "name"), "name", "left")
-        return members.withColumn("component", F.coalesce("component", "name"))
-
-    def hub_pairs(self, labels: DataFrame | None, tested: DataFrame | None) -> DataFrame:
-        """Every class with one class of another component in each of its buckets, unless tested before."""
-        members = self.members(labels)
-        hubs = members.groupBy("band").agg(F.min(F.struct("component", "name")).alias("hub"), F.max("component").alias("last"))
-        hubs = hubs.where("hub.component <> last").select("band", F.col("hub.component").alias("first"), F.col("hub.name").alias("a"))
-        hubs = materialize(hubs, "hubs")  # a stored side leaves hot buckets of the other side to be split
-        pairs = members.join(hubs, "band").where("component <> first").select("a", F.col("name").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        return materialize(pairs, "hub-pairs")
-
-    def likely(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose signatures are alike."""
-        bits = lambda x: self.classes.select(F.col("name").alias(x), F.col("bits").alias(f"{x}_bits"))
-        joined = pairs.join(bits("b"), "b").join(bits("a"), "a").select("a", "b", "a_bits", "b_bits")
-        return joined.mapInArrow(functools.partial(_likely_batches, least=self.least), "a binary, b binary")
-
-    def across_pairs(self, labels: DataFrame) -> DataFrame:
-        """Likely pairs of classes that share a bucket but not yet a component."""
-        members = self.members(labels)
-        mixed = members.groupBy("band").agg(F.min("component").alias("first"), F.max("component").alias("last"), F.count(F.lit(1)).alias("n"))
-        mixed = materialize(mixed.where("first <> last").select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed-buckets")
-        rows = members.join(mixed, "band").join(self.classes.select("name", "bits", "bands"), "name")
-        rows = rows.withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
-        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        rows = rows.select("band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "name", "component", "bits", "bands")
-        dealt = rows.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
-        return dealt.mapInArrow(functools.partial(_across_batches, least=self.least), "a binary, b binary").distinct()
+        first = [F.first(c).alias(c) for c in ("n_shingles", "bands", "bits")]  # equal for all rows of a name
+        self.classes = materialize(grouped.agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), *first), "classes")
+
+    def clusters(self) -> DataFrame:
+        """(node, component) of the classes that likely pairs join."""
+        buckets = self.classes.select("name", F.explode("bands").alias("band"))
+        shared = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        shared = materialize(shared.select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "shared-bands")
+        rows = materialize(buckets.join(shared, "band"), "bucket-rows")
+        dealt = block_pairs(rows.join(self.classes.select("name", "n_shingles", "bits"), "name"), "band")
+        likely = dealt.mapInArrow(functools.partial(_likely_batches, threshold=self.threshold, least=self.least), "a binary, b binary")
+        return connected(likely)
+
+    def links(self) -> DataFrame:
+        """Confirmed pairs (a, b) of classes that join all classes linked with each other."""
+        found = self.clusters().withColumnsRenamed({"node": "name", "component": "cluster"})
+        wanted = materialize(found.join(self.classes.select("name", "key", "n_shingles", "bits"), "name"), "cluster-classes")
+        sizes = wanted.groupBy("cluster").agg(F.ceil(F.sum("n_shingles") * 8 / BLOCK_BYTES).cast("int").alias("blocks"))
+        asked = wanted.select("name", "key", "bits", "cluster").join(sizes, "cluster")
+        sources = self.texts.where(F.octet_length("text") > 0).select("key", "text").dropDuplicates(["key"]).join(asked, "key")
+        schema = "cluster binary, name binary, bits binary, blocks int, hashes binary"
+        ordered = sources.select("key", "text", "cluster", "name", "bits", "blocks")
+        sets = materialize(ordered.mapInArrow(functools.partial(_set_batches, size=self.size), schema), "sets")
+        run = functools.partial(_link_batches, threshold=self.threshold, least=self.least)
+        return materialize(block_pairs(sets, "cluster").mapInArrow(run, "a binary, b binary"), "links")
 
     def components(self) -> DataFrame:
         """(name, component_id, first_key): each class with the smallest document id and text key it is linked with."""
-        links, labels, tested = None, None, None
-        for _ in range(ROUNDS):
-            pairs = self.hub_pairs(labels, tested)
-            more = self.confirm(self.likely(pairs))
-            tested = pairs if tested is None else tested.union(pairs)
-            links = more if links is None else links.union(more)
-            labels = connected(links)
-        more = self.confirm(self.across_pairs(labels))
-        if not more.isEmpty():
-            labels = connected(links.union(more))
+        labels = connected(self.links())
         labelled = self.classes.select("name", "doc_id", "key").join(labels.withColumnRenamed("node", "name"), "name", "left")
         labelled = labelled.withColumn("component", F.coalesce("component", "name"))
         smallest = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.min("key").alias("first_key"))

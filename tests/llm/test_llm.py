@@ -452,9 +452,10 @@ def near_rows():
     return rows
 
 
-@pytest.mark.parametrize("size,threshold,block", [(3, 85, 1000), (5, 80, 1000), (3, 85, 3)])
-def test_near_duplicates_equal_brute_force(spark, edge_texts, monkeypatch, size, threshold, block):
+@pytest.mark.parametrize("size,threshold,block,block_bytes", [(3, 85, 8192, 8 << 20), (5, 80, 8192, 8 << 20), (3, 85, 3, 3000)])
+def test_near_duplicates_equal_brute_force(spark, edge_texts, monkeypatch, size, threshold, block, block_bytes):
     monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "BLOCK_BYTES", block_bytes)
     rows = near_rows() + [(1000 + i, t) for i, t in enumerate(edge_texts)]
     found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size, threshold).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in found} == brute_components(rows, size, threshold)
