@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyloom.catalog.registry import query, table
 from tallyloom.operators import flagging, rules
 from tallyloom.operators.flagging import Cell, all_of, any_of, clause, empty, member, negate
-from tallyloom.operators.relational import lookup_set
+from tallyloom.operators.relational import lookup_set, number_rows
 from tallyloom.operators.splits import find_splits, splits_summary
 from tallyloom.plans import spend_audit as plan
 from tallyloom.sources.files import parse_once
@@ -321,3 +321,43 @@ def spend_audit(spark, sf):
     master = events_master(spark, sf)
     marked = plan.audit(master, *events_lists(master), spend_limit=LIMIT)
     return marked.select("row_index", "cardholder", "criteria", "highlight")
+
+
+def order_purchases(spark, sf):
+    """Purchases in order of their dates: one per order, all of a status by one cardholder, over years without a pause."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    customer = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    rows = joined.select(
+        F.col("o_orderdate").alias("date"),
+        "o_orderkey",
+        F.concat(F.lit("STATUS "), "o_orderstatus").alias("cardholder"),
+        F.concat("c_mktsegment", F.lit(" "), F.pmod("c_custkey", F.lit(100))).alias("merchant"),
+        F.col("o_totalprice").alias("total"),
+    )
+    return number_rows(rows, ["date", "o_orderkey"], "row_index", unique=True)
+
+
+@query(
+    f"""
+    WITH RECURSIVE cand AS MATERIALIZED (
+      SELECT row_index, cardholder, shop, at_us, total, row_number() OVER (PARTITION BY cardholder ORDER BY row_index) AS i
+      FROM (SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS row_index, 'STATUS ' || o_orderstatus AS cardholder,
+          c_mktsegment || ' ' || (c_custkey % 100) AS shop, epoch_us(o_orderdate) AS at_us, o_totalprice AS total
+        FROM orders JOIN customer ON o_custkey = c_custkey)),
+    st AS (
+      SELECT cardholder, i, row_index AS home, [struct_pack(pos := row_index, shop := shop, at_us := at_us)] AS leaders FROM cand WHERE i = 1
+      UNION ALL
+      SELECT cardholder, i, coalesce(hit.pos, row_index),
+        CASE WHEN hit IS NULL THEN list_append(recent, struct_pack(pos := row_index, shop := shop, at_us := at_us)) ELSE recent END
+      FROM (SELECT *, list_filter(recent, lambda l: 5 * levenshtein(l.shop, shop) <= 2 * greatest(1, length(l.shop), length(shop)))[1] AS hit
+        FROM (SELECT c.*, list_filter(st.leaders, lambda l: c.at_us - l.at_us < 432000000000) AS recent
+          FROM st JOIN cand c ON c.cardholder = st.cardholder AND c.i = st.i + 1))),
+    homes AS (SELECT home, total FROM st JOIN cand USING (cardholder, i)),
+    valid AS (SELECT home, count(*) AS split_rows, fsum(total) AS split_total FROM homes GROUP BY home HAVING count(*) > 1 AND fsum(total) >= {LIMIT})
+    SELECT cardholder, home AS split_index, split_rows, split_total FROM valid JOIN cand ON row_index = home
+    """
+)
+def split_long_sessions(spark, sf):
+    """Default options on sessions of thousands of purchases over years."""
+    return splits_summary(find_splits(order_purchases(spark, sf), LIMIT))

@@ -10,7 +10,13 @@ the ordered part small and everything else parallel:
 * Where all later purchases are at least five days after all earlier ones in time and in the sheet,
   no group crosses the gap. Such *sessions* are found on one row per cardholder and day.
 * A session up to ``fold_limit`` purchases is folded as one array, inside the JVM.
-* A longer session is peeled in rounds: the leaders among its first undecided purchases are folded
+* Merchants of a longer session fall into families: the components of their similarity. No group crosses
+  a family, and where all merchants of a family are similar to each other (a clique), only dates decide: the next leader
+  is the first purchase five days or more after the last one, which makes leaders the orbit of the first purchase under one
+  function. It is followed by pointer doubling, so the jobs grow with the logarithm of a session's days, and
+  each purchase then finds its leader by an equal join on five-day periods. Rows may be in any order: leaders' dates ascend
+  in every order, as an earlier-dated row always joins an existing group.
+* The other families are cut into sessions of their own, mostly short ones. What stays long is peeled in rounds: the leaders among its first undecided purchases are folded
   from a bounded batch, then every undecided purchase is tested against them in parallel. A purchase
   no earlier leader took can only be taken by these, in their order, so each round is final.
 * When a long session runs forward in time, a leader reaches no further than the next five-day
@@ -32,6 +38,7 @@ from tallyloom.session import materialize, scratch_path
 
 MAX_DAYS = 4
 SIMILARITY = 60
+FAMILY_BLOCK = 200  # merchants that one row is compared with
 LARGEST_BATCH = 1000  # up to here Spark applies a rank limit before the shuffle
 _EXACT = "decimal(28,12)"  # what fits is added exactly, in any order; the rest as floating point
 _LEADER = "struct<pos:bigint,shop:string,at:bigint>"
@@ -133,6 +140,93 @@ def _fold_sessions(purchases: DataFrame, max_days: int, similarity: int) -> Data
     )
 
 
+def _compared(shops: DataFrame) -> DataFrame:
+    """Each merchant of a session with blocks of the session's merchants, itself among them.
+
+    Merchants, not purchases, are compared, so a pair is measured once in each direction however often it is bought from.
+    """
+    sizes = shops.groupBy("holder", "session").agg(F.ceil(F.count(F.lit(1)) / FAMILY_BLOCK).alias("blocks"))
+    dealt = shops.join(sizes, ["holder", "session"]).withColumn("block", F.pmod(F.xxhash64("shop"), F.col("blocks")))
+    blocks = dealt.groupBy("holder", "session", "block").agg(F.collect_list("shop").alias("others"))
+    return shops.join(blocks, ["holder", "session"])
+
+
+def merchant_families(purchases: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+    """holder, session, shop, family: the smallest merchant of a clique, or NULL where similarity is not transitive.
+
+    A merchant's neighbourhood is kept as its size, smallest member and a checksum that adds up over blocks. Merchants form a
+    clique of their own exactly if as many share a neighbourhood as it has members.
+    """
+    shops = materialize(purchases.select("holder", "session", "shop").distinct(), "merchants")
+    near = F.filter("others", lambda other: similar_at_least(F.col("shop"), other, similarity))
+    summed = F.transform(
+        F.array(near),
+        lambda found: F.struct(
+            F.size(found).alias("n"),
+            F.array_min(found).alias("low"),
+            F.aggregate(found, F.lit(0).cast("bigint"), lambda seen, shop: seen.bitwiseXOR(F.xxhash64(shop))).alias("sum"),
+        ),
+    )
+    around = _compared(shops).select("holder", "session", "shop", F.get(summed, F.lit(0)).alias("part"))
+    around = around.groupBy("holder", "session", "shop").agg(
+        F.sum("part.n").alias("n"), F.min("part.low").alias("low"), F.bit_xor("part.sum").alias("sum")
+    )
+    around = materialize(around, "neighbourhoods")
+    shared = around.groupBy("holder", "session", "n", "low", "sum").agg(F.count(F.lit(1)).alias("members"))
+    joined = around.join(shared, ["holder", "session", "n", "low", "sum"])
+    return joined.select("holder", "session", "shop", F.when(F.col("members") == F.col("n"), F.col("low")).alias("family"))
+
+
+_FAMILY = ["holder", "session", "family"]
+
+
+def _orbit_leaders(purchases: DataFrame, max_days: int) -> DataFrame:
+    """Leaders (family, pos, at) of cliques: from the first purchase always the first one far enough ahead.
+
+    The window runs over the distinct dates of a family. Rounds double the number of known leaders.
+    """
+    span = (max_days + 1) * DAY_MICROS
+    times = purchases.where("at IS NOT NULL").groupBy(*_FAMILY, "at").agg(F.min("pos").alias("pos"))
+    ahead = Window.partitionBy(*_FAMILY).orderBy(F.desc("at")).rangeBetween(Window.unboundedPreceding, -span)
+    jumps = times.withColumn("to", F.min(F.struct("pos", "at")).over(ahead)).where("to IS NOT NULL")
+    jumps = materialize(jumps.select(*_FAMILY, "pos", F.col("to.pos").alias("to_pos"), F.col("to.at").alias("to_at")), "jumps")
+    leaders = purchases.groupBy(*_FAMILY).agg(F.min(F.struct("pos", "at")).alias("first")).select(*_FAMILY, "first.pos", "first.at")
+    leaders = materialize(leaders, "leaders")
+    while True:
+        dated = leaders.where("at IS NOT NULL").select(*_FAMILY, "pos")  # an undated leader takes everything
+        more = dated.join(jumps, [*_FAMILY, "pos"]).select(*_FAMILY, F.col("to_pos").alias("pos"), F.col("to_at").alias("at"))
+        more = materialize(more, "more-leaders")
+        if more.isEmpty():
+            return leaders
+        leaders = materialize(leaders.union(more), "leaders")
+        beyond = jumps.select(*_FAMILY, F.col("pos").alias("to_pos"), F.col("to_pos").alias("_pos"), F.col("to_at").alias("_at"))
+        twice = jumps.drop("to_at").join(beyond, [*_FAMILY, "to_pos"])
+        jumps = materialize(twice.select(*_FAMILY, "pos", F.col("_pos").alias("to_pos"), F.col("_at").alias("to_at")), "jumps")
+
+
+def _clique_groups(purchases: DataFrame, max_days: int) -> DataFrame:
+    """Groups of families in which all merchants are similar: a purchase joins the first leader less than the span before it."""
+    span = (max_days + 1) * DAY_MICROS
+    leaders = _orbit_leaders(purchases, max_days)
+    bounds = purchases.groupBy(*_FAMILY).agg(F.min("at").alias("least"), F.max("at").alias("most"), F.min("pos").alias("first"))
+    bounds = materialize(bounds, "family-bounds")
+    before = F.lag("at").over(Window.partitionBy(*_FAMILY).orderBy("pos"))
+    reach = leaders.withColumn("after", before + F.lit(span)).join(bounds, _FAMILY)
+    reach = reach.select(
+        *_FAMILY,
+        F.col("pos").alias("home"),
+        F.coalesce("after", "least").alias("low"),
+        F.least(F.col("at") + F.lit(span - 1), F.col("most")).alias("high"),  # LEAST skips a missing date
+    )
+    period = lambda name: F.floor(F.col(name) / span)
+    reach = reach.where("low IS NOT NULL").withColumn("period", F.explode(F.sequence(period("low"), period("high"))))
+    columns = ["holder", "pos", "shop", "at", "n", "amount", "rest", "home"]
+    dated = purchases.where("at IS NOT NULL").withColumn("period", period("at")).join(reach, [*_FAMILY, "period"])
+    dated = dated.where(F.col("at").between(F.col("low"), F.col("high"))).select(*columns)
+    undated = purchases.where("at IS NULL").join(bounds.withColumnRenamed("first", "home"), _FAMILY).select(*columns)
+    return dated.unionByName(undated)
+
+
 def _first_leaders(undecided: DataFrame, max_days: int, similarity: int, batch: int) -> DataFrame:
     """Leaders among the first ``batch`` undecided purchases of each session, as an array.
 
@@ -237,7 +331,16 @@ def split_purchases(
     grouped = alone.unionByName(_fold_sessions(short, max_days, similarity))
     long = staged.where(F.col("size") > fold_limit)
     if not long.isEmpty():
-        grouped = grouped.unionByName(_peel_sessions(long, max_days, similarity, batch))
+        families = merchant_families(long, similarity)
+        long = materialize(long.join(families, ["holder", "session", "shop"]), "long-sessions")
+        grouped = grouped.unionByName(_clique_groups(long.where("family IS NOT NULL"), max_days))
+        tangled = long.where("family IS NULL")
+        if not tangled.isEmpty():
+            tangled = materialize(_with_sessions(tangled.select(purchases.columns), max_days), "tangled-sessions")
+            grouped = grouped.unionByName(_fold_sessions(tangled.where(F.col("size") <= fold_limit), max_days, similarity))
+            peeled = tangled.where(F.col("size") > fold_limit)
+            if not peeled.isEmpty():
+                grouped = grouped.unionByName(_peel_sessions(peeled, max_days, similarity, batch))
     grouped = materialize(grouped, "groups")
 
     exact, rest = F.sum("amount").cast("double"), F.sum("rest")

@@ -3,6 +3,9 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from tallyloom.operators import splits
 from tallyloom.operators.splits import find_splits, splits_summary
 
 SCHEMA = "row_index bigint, cardholder string, merchant string, date timestamp_ntz, total double"
@@ -112,3 +115,80 @@ def test_tiny_and_huge_totals(spark):
     rows += [(5, "none", "S", day, None), (6, "none", "S", day, None)]
     groups = find_splits(spark.createDataFrame(rows, SCHEMA), None).select("cardholder", "split_total").distinct()
     assert {tuple(r) for r in groups.collect()} == {("tiny", 0.0000008), ("huge", 1e23), ("none", None)}
+
+
+def clique_rows(seed, count, ordered, days, blanks=0.0, holders=1):
+    """Merchants of three families, all names of a family similar, over so many days without a five-day gap."""
+    pick = random.Random(seed)
+    names = [f"{stem} {k}" for stem in ("GROCERY MART", "FUEL AND GO", "HARDWARE XX") for k in range(30)]
+    rows = []
+    for index in range(count):
+        day = days * index / count if ordered else pick.uniform(0, days)
+        date = dt.datetime(2020, 1, 1) + dt.timedelta(days=int(day), hours=int(24 * (day % 1)) if ordered else pick.choice([0, 7, 23]))
+        when = None if pick.random() < blanks else date
+        rows.append((index, f"h{index % holders}", pick.choice(names), when, float(pick.randrange(1, 900))))
+    return rows
+
+
+@pytest.mark.parametrize("ordered", [True, False])
+@pytest.mark.parametrize("blanks", [0.0, 0.1])
+def test_long_sessions_of_cliques_match_the_loop(spark, ordered, blanks):
+    rows = clique_rows(5, 700, ordered, 200, blanks, holders=2)
+    assert found_groups(spark, rows, fold_limit=50) == expected_groups(rows)
+
+
+def test_first_purchase_without_a_date_takes_all(spark):
+    rows = clique_rows(6, 300, True, 100)
+    rows = [(-1, "h0", "FUEL AND GO 7", None, 1.0), *rows]
+    assert found_groups(spark, rows, fold_limit=50) == expected_groups(rows)
+
+
+def test_tangled_families_beside_cliques(spark):
+    """Similar to neighbours only: such a chain of names is no clique and is folded or peeled as before."""
+    pick = random.Random(4)
+    chain = ["abcdefghij", "abcdefghXY", "abcdefPQXY", "abcdRSPQXY", "abTURSPQXY"]
+    rows = [(k, i, m if pick.random() < 0.5 else pick.choice(chain), d, t) for k, i, m, d, t in clique_rows(7, 500, True, 150)]
+    for fold_limit in (400, 60):
+        assert found_groups(spark, rows, fold_limit=fold_limit, batch=40) == expected_groups(rows)
+
+
+def test_default_options_reach_long_sessions(spark):
+    rows = clique_rows(8, 2500, True, 400)
+    assert found_groups(spark, rows) == expected_groups(rows)
+
+
+def test_jobs_grow_with_the_logarithm_of_the_days(spark):
+    def jobs(days):
+        context = spark.sparkContext
+        context.setJobGroup(f"days-{days}", "")
+        find_splits(spark.createDataFrame(clique_rows(9, 600, True, days), SCHEMA), None, fold_limit=50).count()
+        context.setLocalProperty("spark.jobGroup.id", None)
+        return len(context.statusTracker().getJobIdsForGroup(f"days-{days}"))
+
+    short, long, longer = jobs(40), jobs(400), jobs(800)
+    assert longer - long <= (long - short) / 2 + 4 and long <= 2 * short
+
+
+def test_merchants_are_compared_and_not_purchases(spark):
+    rows = clique_rows(10, 3000, True, 60)
+    df = spark.createDataFrame(rows, SCHEMA).select(F.col("cardholder").alias("holder"), F.lit(1).alias("session"), F.col("merchant").alias("shop"))
+    shops = df.distinct()
+    m = shops.count()
+    calls = splits._compared(shops).agg(F.sum(F.size("others"))).first()[0]
+    assert calls == m * m and calls < len(rows) * 3 * m
+    families = {r["shop"]: r["family"] for r in splits.merchant_families(df).collect()}
+    names = sorted(families)
+    for a in names:
+        near = [b for b in names if 5 * distance(a, b) <= 2 * max(len(a), len(b))]
+        assert families[a] == min(near)
+
+
+def test_families_do_not_depend_on_blocks(spark, monkeypatch):
+    pick = random.Random(2)
+    names = ["".join(pick.choice("abc") for _ in range(pick.randint(1, 6))) for _ in range(120)]
+    df = spark.createDataFrame([("h", 1, n) for n in names], "holder string, session int, shop string")
+    want = {tuple(r) for r in splits.merchant_families(df).collect()}
+    monkeypatch.setattr(splits, "FAMILY_BLOCK", 7)
+    assert {tuple(r) for r in splits.merchant_families(df).collect()} == want
+    alone = {n for n in names if all(n == o or 5 * distance(n, o) > 2 * max(len(n), len(o)) for o in names)}
+    assert alone <= {shop for *_, shop, family in want if family == shop}
