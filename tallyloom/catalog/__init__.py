@@ -1 +1 @@
-from tallyloom.catalog import audit, bibliometrics, columns, jobs, quality, relational, storage  # noqa: F401
+from tallyloom.catalog import audit, bibliometrics, columns, jobs, layouts, quality, relational, storage  # noqa: F401

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tallyloom.catalog.registry import query, table
 from tallyloom.functions.text import suffix_from
 from tallyloom.operators import relational as ops
+from tallyloom.operators.bitmaps import distinct_where
 from tallyloom.sources.files import literal_rows
 from tallyloom.sources.schemas import INT, TEXT, record
 
@@ -224,10 +225,8 @@ def max_metric(spark, sf):
     """
 )
 def distinct_filtered(spark, sf):
-    discounted = F.when(F.col("l_discount") != 0, F.col("l_orderkey"))
-    return table(spark, sf, "lineitem").agg(
-        F.count_distinct("l_orderkey").alias("orders"), F.count_distinct(discounted).alias("discounted")
-    )
+    conditions = {"orders": F.lit(True), "discounted": F.col("l_discount") != 0}
+    return distinct_where(table(spark, sf, "lineitem"), "l_orderkey", conditions)
 
 
 @query(

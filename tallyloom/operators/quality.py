@@ -89,7 +89,11 @@ def run_checks(table: str, df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     parts = [_scalar_checks(df, scalar)] if scalar else []
     parts += [_unique_check(df, c) for c in checks if c.kind == "unique"]
     parts += [_reference_check(df, c) for c in checks if c.kind == "reference"]
-    counts = reduce(DataFrame.union, parts)
+    return check_rows(table, reduce(DataFrame.union, parts))
+
+
+def check_rows(table: str, counts: DataFrame) -> DataFrame:
+    """Results from (constraint, n_rows, n_bad)."""
     return counts.select(
         F.lit(table).alias("table"),
         "constraint",
@@ -122,11 +126,15 @@ def assert_passed(results: DataFrame) -> None:
 def profile_nested(flat: DataFrame, documents: DataFrame, key: str, levels: Sequence[str]) -> DataFrame:
     """Profile of a flattened table as (measure, value) rows.
 
-    Missing values and distinct values per level, documents with and without rows.
+    Missing values and distinct values per level, documents with and without rows. Rows are counted by the combination of
+    their levels first, so that the distinct counts copy combinations and not rows.
     """
-    measures = [F.count_if(F.col(c).isNull()).alias(f"missing {c}") for c in [key, *levels]]
+    combined = flat.groupBy(*levels).agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col(key).isNull()).alias("_keyless"))
+    zero = F.lit(0).cast("bigint")
+    measures = [F.coalesce(F.sum("_keyless"), zero).alias(f"missing {key}")]
+    measures += [F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("_n"))), zero).alias(f"missing {c}") for c in levels]
     measures += [F.count_distinct(c).alias(f"distinct {c}") for c in levels]
-    counts = flat.agg(*measures)
+    counts = combined.agg(*measures)
     covered = flat.select(F.col(key).alias("_covered")).distinct()
     ids = documents.select(F.col(key).alias("_id")).distinct()
     presence = ids.join(covered, F.col("_id") == F.col("_covered"), "left").agg(

@@ -243,10 +243,8 @@ def cited_rows(citations: DataFrame) -> DataFrame:
 
 def document_counts(citations: DataFrame) -> DataFrame:
     """Distinct documents, and those with a citation count other than zero."""
-    cited = F.when(F.col("CITATION_CNT") != 0, F.col("DOCUMENT_ID"))
-    return citations.agg(
-        F.count_distinct("DOCUMENT_ID").alias("DOCUMENTS"), F.count_distinct(cited).alias("CITED_DOCUMENTS")
-    )
+    documents = citations.where("DOCUMENT_ID IS NOT NULL").groupBy("DOCUMENT_ID").agg(F.max(F.col("CITATION_CNT") != 0).alias("cited"))
+    return documents.agg(F.count(F.lit(1)).alias("DOCUMENTS"), F.count_if("cited").alias("CITED_DOCUMENTS"))
 
 
 # ---- checks ----

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping, Sequence
-from urllib.parse import quote, unquote, unquote_plus
+import uuid
+from collections.abc import Callable, Mapping, Sequence
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyloom.operators.quality import assert_passed
-from tallyloom.session import filesystem, remove_path
+from tallyloom.session import filesystem
 from tallyloom.sinks import versions
 
 
@@ -62,41 +63,42 @@ def _run_path(path: str, run: str) -> str:
     return f"{path}/run-{quote(str(run), safe='')}"
 
 
+def _run_folder(run: str) -> str:
+    """Partition directory of a run inside a batch; hexadecimal, so no character needs escaping."""
+    return f"_run=r{str(run).encode().hex()}"
+
+
+def _run_place(path: str, run: str) -> Callable[[str], str]:
+    return lambda name: f"{path}/{name}/{_run_folder(run)}"
+
+
+def _write_runs(df: DataFrame, path: str, runs: Sequence[str], run_column: str) -> None:
+    """Write the rows of runs once, where they stay, and make each run's part of the batch its current version."""
+    spark = df.sparkSession
+    batch = f"{path}/batch-{uuid.uuid4().hex}"
+    key = F.concat(F.lit("r"), F.lower(F.hex(F.encode(F.col(run_column).cast("string"), "UTF-8"))))
+    df.withColumn("_run", key).write.partitionBy("_run").parquet(batch)
+    for run in runs:
+        fs, folder = filesystem(spark, f"{batch}/{_run_folder(run)}")
+        fs.mkdirs(folder)  # a run without rows has a folder too
+        versions.commit(spark, _run_path(path, run), batch, _run_place(path, run))
+
+
 def refresh_run(df: DataFrame, path: str, runs: Sequence[str], run_column: str = "run_date") -> DataFrame:
     """Replace the given dated runs by their rows in ``df``, a run without rows included; returns all runs.
 
-    Every run is a versioned table of its own, so a re-run does not duplicate, and a re-run that finds
-    nothing leaves nothing of the earlier one. Rows of other runs are an error, since they would be lost.
+    Every run has a pointer of its own to its part of the batch it was written with, so a re-run does not duplicate, and a
+    re-run that finds nothing leaves nothing of the earlier one. Nothing is moved after it is written, which would copy
+    it on an object store. Rows of other runs are an error, since they would be lost.
     """
     spark = df.sparkSession
     named = F.col(run_column).cast("string")
     foreign = ~F.coalesce(named.isin([str(r) for r in runs]), F.lit(False))
     checked = F.when(foreign, F.raise_error(F.concat(F.lit("row of another run: "), F.coalesce(named, F.lit("NULL")))).cast(df.schema[run_column].dataType))
-    guarded = df.withColumn(run_column, checked.otherwise(F.col(run_column)))
-    staged = versions.fresh(f"{path}/_staged")
-    guarded.withColumn("_run", F.url_encode(named)).write.partitionBy("_run").parquet(staged)
-    fs, _ = filesystem(spark, staged)
-    written = {unquote_plus(unquote(name.partition("=")[2])): name for name in _partitions(spark, staged)}
-    for run in runs:
-        version = versions.fresh(_run_path(path, run))
-        _, target = filesystem(spark, version)
-        fs.mkdirs(target.getParent())
-        if str(run) in written:
-            _, source = filesystem(spark, f"{staged}/{written[str(run)]}")
-            if not fs.rename(source, target):
-                raise OSError(f"cannot move the rows of run {run}")
-        else:
-            fs.mkdirs(target)
-        versions.commit(spark, _run_path(path, run), version)
-    remove_path(spark, staged)
+    _write_runs(df.withColumn(run_column, checked.otherwise(F.col(run_column))), path, runs, run_column)
     return read_runs(spark, path, df.schema)
 
 
-def _partitions(spark: SparkSession, path: str) -> list[str]:
-    fs, folder = filesystem(spark, path)
-    return [s.getPath().getName() for s in fs.listStatus(folder) if s.getPath().getName().startswith("_run=")]
-
-
 def stored_runs(spark: SparkSession, path: str) -> list[str]:
     """Runs of a dated table, in order; a run without rows is one of them."""
     return sorted(unquote(name.removeprefix("run-")) for name in versions.children(spark, path) if name.startswith("run-"))
@@ -105,7 +107,7 @@ def stored_runs(spark: SparkSession, path: str) -> list[str]:
 def read_runs(spark: SparkSession, path: str, schema: StructType, runs: Sequence[str] | None = None) -> DataFrame:
     """The current rows of all or some runs of a dated table."""
     wanted = stored_runs(spark, path) if runs is None else [str(r) for r in runs]
-    paths = [versions.current(spark, _run_path(path, run)) for run in wanted]
+    paths = [versions.current(spark, _run_path(path, run), _run_place(path, run)) for run in wanted]
     if not paths:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(*paths)
@@ -115,6 +117,28 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def store_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str) -> None:
+    """Replace a named table, its rows dealt into ``buckets`` by hash of ``keys`` and sorted by them.
+
+    Tables of as many buckets of the same key join, and group by the key, without a shuffle. Rows are dealt before they
+    are written, so a bucket is one file. Choose ``buckets`` for the largest of the tables, a bucket being one task.
+    """
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.bucketBy(buckets, *keys).sortBy(*keys).mode("overwrite").option("path", path).saveAsTable(name)
+
+
+def store_sorted(df: DataFrame, path: str, keys: Sequence[str], lookups: Mapping[str, int] | None = None, group_bytes: int = 16 << 20) -> None:
+    """Write rows in ranges of ``keys``, sorted, with Bloom filters for columns that are looked up in no order.
+
+    A lookup by key or by a prefix of a text key then reads the row groups whose range has it, and a lookup by one
+    of ``lookups`` (column to number of distinct values in a file) those whose filter has it.
+    """
+    writer = df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.option("parquet.block.size", group_bytes)
+    for column, distinct in (lookups or {}).items():
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", True).option(f"parquet.bloom.filter.expected.ndv#{column}", distinct)
+    writer.parquet(path)
+
+
 def create_table_as(df: DataFrame, name: str, path: str | None = None) -> None:
     """Create a table from a query unless it exists."""
     writer = df.write.mode("ignore")
@@ -174,25 +198,33 @@ def save_results(df: DataFrame, input_path: str, kind: str = "parquet") -> str:
     return path
 
 
-def _compacted(spark: SparkSession, path: str, schema: StructType) -> None:
-    """Rewrite the current version in files of the advisory partition size."""
-    rows = spark.read.schema(schema).parquet(versions.current(spark, path))
-    version = versions.fresh(path)
-    rows.hint("rebalance").write.parquet(version)
-    versions.commit(spark, path, version)
+def _fragmented(spark: SparkSession, folder: str, file_bytes: int) -> bool:
+    """Would files of ``file_bytes`` be half as many or fewer?"""
+    fs, target = filesystem(spark, folder)
+    sizes = [f.getLen() for f in fs.listStatus(target) if not f.getPath().getName().startswith(("_", "."))]
+    return len(sizes) >= 2 * max(1, -(-sum(sizes) // file_bytes))
 
 
-def compact(spark: SparkSession, path: str, schema: StructType) -> None:
-    """Rewrite a refreshed table, or every run of a dated one, of many small files as few large ones.
+def compact(spark: SparkSession, path: str, schema: StructType, run_column: str = "run_date", file_bytes: int = 128 << 20) -> list[str]:
+    """Rewrite a refreshed table, or the runs of a dated one, of many small files as few large ones; returns what was rewritten.
 
-    The layout stays what it was: runs are rewritten one by one, each switched when it is complete. A path
-    of neither layout is refused, since its readers would not see the new files.
+    File sizes decide: what is compact already keeps its version. All other runs are rewritten by one job, side by side, and
+    each is switched when that is complete. A path of neither layout is refused, since its readers would not see the new files.
     """
     runs = stored_runs(spark, path)
     if not runs and not versions.exists(spark, path):
         raise LookupError(f"{path} is no refreshed or dated table")
-    for target in [_run_path(path, run) for run in runs] or [path]:
-        _compacted(spark, target, schema)
+    if not runs:
+        if not _fragmented(spark, versions.current(spark, path), file_bytes):
+            return []
+        version = versions.fresh(path)
+        read_current(spark, path, schema).hint("rebalance").write.parquet(version)
+        versions.commit(spark, path, version)
+        return [path]
+    chosen = [run for run in runs if _fragmented(spark, versions.current(spark, _run_path(path, run), _run_place(path, run)), file_bytes)]
+    if chosen:
+        _write_runs(read_runs(spark, path, schema, chosen).hint("rebalance", run_column), path, chosen, run_column)
+    return chosen
 
 
 def inspect(df: DataFrame, rows: int = 20) -> None:
