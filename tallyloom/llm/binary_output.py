@@ -32,7 +32,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.texts import sliced, strings
+from tallyloom.llm.texts import refuse_others, sliced, strings
 from tallyloom.llm.token_counts import load
 from tallyloom.session import materialize, scratch_path
 
@@ -102,6 +102,13 @@ class Encoder:
         return out
 
 
+def check_kind(path: str) -> None:
+    """Raise for files whose tokens reach over white space or whose texts are normalized in another way."""
+    encoder = Encoder(path)
+    encode = encoder.tokenizer.encode
+    refuse_others(path, lambda texts: [np.frombuffer(e, encoder.kind)[:-1].tolist() for e in encoder.encode(texts, 0)], lambda text: encode(text, add_special_tokens=False).ids)
+
+
 _encoders: dict[str, Encoder] = {}
 
 
@@ -219,6 +226,7 @@ def read_shards(batches, folder: str):
 def write_tokens(df: DataFrame, path: str, folder: str, doc_id: str = "doc_id", text: str = "text", end: int = 2, length: int = SEQUENCE) -> DataFrame:
     """Write the ids of all texts in ascending id order and return the manifest: shard, name, n_docs, n_tokens."""
     spark = df.sparkSession
+    check_kind(path)
     rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(parts, F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"), F.asc_nulls_first("text"))

@@ -11,26 +11,30 @@ No piece holds a blank mark behind another character, so a text falls into segme
 and are encoded independently; known segments are kept up to a bound. Characters outside the pieces are
 their UTF-8 bytes.
 
+A model file whose library splits or normalizes texts in another way is refused when it is loaded.
+
 Defined results: a missing or empty text has no ids; decoding gives the text back, but for the blank
-mark U+2581 itself, which comes back as a blank; other columns are ignored or passed through.
+mark U+2581 itself, which comes back as a blank; other columns are ignored, or passed through if kept, whatever their names.
 """
 
 from __future__ import annotations
 
 import functools
 import re
+from heapq import heappop, heappush
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.texts import sliced, strings
+from tallyloom.llm.texts import refuse_others, sliced, strings
 
 BLANK = "▁"
 KEPT_SEGMENTS = 600_000
 KEPT_PARTS = 200_000
+KEPT_LENGTH = 256  # longer segments and parts are not kept
 _segments = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+").findall
 
 
@@ -63,18 +67,32 @@ class Pieces:
     # Merge models.
 
     def merge(self, text: str, least: float = float("-inf")) -> list[str]:
-        """Merge neighbours by score, the leftmost of equals first, down to scores above ``least``."""
-        parts = list(text)
-        while True:
-            best = None
-            for k in range(len(parts) - 1):
-                i = self.ids.get(parts[k] + parts[k + 1])
-                if i is not None and self.scores[i] > least and (best is None or self.scores[i] > best[0]):
-                    best = self.scores[i], k
-            if best is None:
-                return parts
-            k = best[1]
-            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+        """Merge neighbours by score, the leftmost of equals first, down to scores above ``least``.
+
+        Possible merges wait in a heap over a linked list of parts, so a text of n characters takes about n log n steps.
+        """
+        ids, scores, size = self.ids, self.scores, len(text)
+        parts, after, before, heap = list(text), list(range(1, size + 1)), list(range(-1, size - 1)), []
+
+        def offer(a: int, b: int) -> None:
+            i = ids.get(parts[a] + parts[b])
+            if i is not None and scores[i] > least:
+                heappush(heap, (-scores[i], a, len(parts[a]), len(parts[b])))
+
+        for a in range(size - 1):
+            offer(a, a + 1)
+        while heap:
+            _, a, left, right = heappop(heap)
+            b = after[a]
+            if len(parts[a]) != left or b >= size or len(parts[b]) != right:
+                continue  # one of both has grown or gone since
+            parts[a], parts[b], after[a] = parts[a] + parts[b], "", after[b]
+            if after[a] < size:
+                before[after[a]] = a
+                offer(a, after[a])
+            if before[a] >= 0:
+                offer(before[a], a)
+        return [p for p in parts if p]
 
     def split(self, i: int) -> tuple[int, int] | None:
         """The two pieces whose merge forms piece ``i``; None for a single character or a piece no merge forms."""
@@ -179,7 +197,7 @@ class Pieces:
             ids = self.parts.get(part)
             if ids is None:
                 ids = self.encode_segment(part)
-                if len(self.parts) < KEPT_PARTS:
+                if len(self.parts) < KEPT_PARTS and len(part) <= KEPT_LENGTH:
                     self.parts[part] = ids
             out += ids
         return out
@@ -192,8 +210,9 @@ class Pieces:
         for segment in unseen:
             known[segment] = np.array(self.encode_parts(segment), "<u2").tobytes()
         out = [b"".join(map(known.__getitem__, own)) for own in split]
-        if len(known) > KEPT_SEGMENTS:
-            for segment in unseen:
+        full = len(known) > KEPT_SEGMENTS
+        for segment in unseen:
+            if full or len(segment) > KEPT_LENGTH:
                 del known[segment]
         return out
 
@@ -213,42 +232,55 @@ def load(path: str, kind: str = "bpe") -> Pieces:
         raise ValueError("more pieces than 16-bit ids")
     special = [model.IsControl(i) or model.IsUnknown(i) or model.IsUnused(i) or model.IsByte(i) for i in range(size)]
     byte_ids = [i for i in range(size) if model.IsByte(i)]
-    return Pieces([model.IdToPiece(i) for i in range(size)], [model.GetScore(i) for i in range(size)], [not s for s in special], byte_ids, model.unk_id(), kind)
+    own = Pieces([model.IdToPiece(i) for i in range(size)], [model.GetScore(i) for i in range(size)], [not s for s in special], byte_ids, model.unk_id(), kind)
+    refuse_others(path, lambda texts: [np.frombuffer(c, "<u2").tolist() for c in own.encode(texts)], model.EncodeAsIds)
+    return own
+
+
+OUTPUTS = ("n_tokens", "ids", "restored")
 
 
 def _encode_batches(batches, path: str, kind: str, names: tuple[str, ...]):
     pieces = load(path, kind)
-    for batch in sliced(batches):
-        texts = strings(batch.column("text"))
+    for batch in sliced(batches, "_text"):
+        texts = strings(batch.column("_text"))
         coded = pieces.encode(texts)
         ids = [np.frombuffer(c, "<u2") for c in coded]
         sizes = np.array([len(i) for i in ids], np.int64)
         flat = np.concatenate([*ids, np.zeros(0, "<u2")]).astype(np.int32)
         bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
         restored = [pieces.decode(i.tolist()) == t.replace(BLANK, " ") for i, t in zip(ids, texts)]
-        yield pa.record_batch({
-            **{name: batch.column(name) for name in names},
-            "n_tokens": pa.array(sizes), "ids": pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)), "restored": pa.array(restored),
-        })
+        made = [pa.array(sizes), pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)), pa.array(restored, pa.bool_())]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], [*names, *OUTPUTS])
+
+
+def _kept(df: DataFrame, keep: tuple[str, ...], outputs: tuple[str, ...], read: Column, into: str) -> tuple[DataFrame, tuple[str, ...], str]:
+    """The kept columns and the one to read under a name of its own, the names they come back as, and their types."""
+    names = tuple(f"{name}_in" if name in outputs else name for name in keep)
+    rows = df.select(*[F.col(f"`{name}`").alias(f"_k{i}") for i, name in enumerate(keep)], read.alias(into))
+    fields = "".join(f"`{name}` {f.dataType.simpleString()}, " for name, f in zip(names, rows.schema.fields))
+    return rows, names, fields
 
 
 def encode(df: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), kind: str = "bpe") -> DataFrame:
-    """The kept columns, n_tokens, ids, and whether decoding the ids gives the text back. One narrow pass."""
-    rows = df.select(*keep, F.col(text).cast("string").alias("text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema.fields)
-    run = functools.partial(_encode_batches, path=path, kind=kind, names=keep)
-    return rows.mapInArrow(run, f"{fields}, n_tokens long, ids array<int>, restored boolean")
+    """The kept columns, n_tokens, ids, and whether decoding the ids gives the text back. One narrow pass.
+
+    A kept column that has the name of a result comes back with ``_in`` behind it.
+    """
+    load(path, kind)
+    rows, names, fields = _kept(df, tuple(keep), OUTPUTS, F.col(f"`{text}`").cast("string"), "_text")
+    run = functools.partial(_encode_batches, path=path, kind=kind, names=names)
+    return rows.mapInArrow(run, f"{fields}n_tokens long, ids array<int>, restored boolean")
 
 
 def _decode_batches(batches, path: str, kind: str, names: tuple[str, ...]):
     pieces = load(path, kind)
     for batch in batches:
-        texts = [pieces.decode(ids or []) for ids in batch.column("ids").to_pylist()]
-        yield pa.record_batch({**{name: batch.column(name) for name in names}, "text": pa.array(texts, pa.string())})
+        texts = [pieces.decode(ids or []) for ids in batch.column("_ids").to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], [*names, "text"])
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",), kind: str = "bpe") -> DataFrame:
-    """The kept columns and the text of the ids; missing ids give an empty text."""
-    rows = df.select(*keep, F.col(ids).alias("ids"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema.fields)
-    return rows.mapInArrow(functools.partial(_decode_batches, path=path, kind=kind, names=keep), f"{fields}, text string")
+    """The kept columns and the text of the ids; missing ids give an empty text. A kept ``text`` comes back as ``text_in``."""
+    rows, names, fields = _kept(df, tuple(keep), ("text",), F.col(f"`{ids}`"), "_ids")
+    return rows.mapInArrow(functools.partial(_decode_batches, path=path, kind=kind, names=names), f"{fields}text string")

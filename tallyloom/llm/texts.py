@@ -5,7 +5,7 @@ All functions work on one Arrow batch at a time; nothing here knows about Spark
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -138,3 +138,16 @@ def ragged(lengths: np.ndarray) -> np.ndarray:
     """0, 1, .. length - 1 for each length, one after the other."""
     ends = np.cumsum(lengths)
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths, lengths)
+
+
+PROBES = (
+    "Hello, world! It's 2024: don't, we'll.", " a", "a  b", "  two\n\n three\t4 ", "ABC Def ghi", "é É ß ﬁ ² Å e\u0301", "中文字 日本", "x\u00a0y\u3000z",
+    "naïve 12,345.67 #tag @me", "a_b-c/d\\e", "😀👍🏽", "\x00\x7f\u200b", "unbelievably internationalization", "'S 'RE", "...!!??", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaa",
+)
+
+
+def refuse_others(path: str, own: Callable[[list[str]], list], library: Callable[[str], object]) -> None:
+    """Raise unless ``own`` agrees with the library on texts that differ between kinds of tokenizer files."""
+    wrong = [text for text, found in zip(PROBES, own(list(PROBES))) if found != library(text)]
+    if wrong:
+        raise ValueError(f"{path} is of a kind that is not served: it treats {wrong[0]!r} in another way")

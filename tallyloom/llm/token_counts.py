@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.texts import sliced, strings
+from tallyloom.llm.texts import refuse_others, sliced, strings
 
 CHUNK = 64
 KEPT_PIECES = 800_000
@@ -248,9 +248,20 @@ def count_batches(batches, path: str, firsts: np.ndarray, kinds: np.ndarray):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), size, pa.array(counter.count(strings(text)))], ["doc_id", "n_bytes", "n_tokens"])
 
 
+def check_kind(path: str, firsts: np.ndarray, kinds: np.ndarray) -> None:
+    """Raise for files whose pattern or added tokens the machines do not serve."""
+    counter = Counter(path, firsts, kinds)
+    for token in counter.tokenizer.get_added_tokens_decoder().values():
+        if token.lstrip or token.rstrip or token.single_word:
+            raise ValueError(f"{path}: the added token {token.content!r} takes up its surroundings, which is not served")
+    encode = counter.tokenizer.encode
+    refuse_others(path, lambda texts: counter.count(texts).tolist(), lambda text: len(encode(text, add_special_tokens=False).ids))
+
+
 def count_tokens(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", limit: int = 1024) -> DataFrame:
     """Bytes and tokens of every whole text: doc_id, n_bytes, n_tokens, over_limit. One narrow pass, no shuffle."""
     firsts, kinds = classes_of(path)
+    check_kind(path, firsts, kinds)
     run: Callable = functools.partial(count_batches, path=path, firsts=firsts, kinds=kinds)
     rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     counted = rows.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")
