@@ -353,7 +353,8 @@ def learn(df: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int
         return chosen.select("text").mapInArrow(functools.partial(_window_batches, matching=own), "f binary, t binary")
 
     parsed = []
-    for row in windows(matching, True).union(windows(others, False)).orderBy("f", "t").collect():
+    # Sorted here: a sort in Spark would run both scans once more to find its ranges.
+    for row in sorted(windows(matching, True).union(windows(others, False)).collect()):
         tags = np.frombuffer(row["t"], np.int8)
         parsed.append((np.frombuffer(row["f"], "<i2").reshape(len(tags), -1).astype(np.int64), tags))
     return train(parsed) if parsed else None
