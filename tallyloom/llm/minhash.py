@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.components import connected
+from tallyloom.llm.prefilter import may_match
 from tallyloom.llm.texts import byte_table, fold, grams, hash_spans, mix, ragged, runs, signed, sliced, utf8
 from tallyloom.llm.winnowing import text_key
 from tallyloom.session import materialize
@@ -280,7 +281,8 @@ class NearDuplicates:
         wanted = materialize(found.join(self.classes.select("name", "key", "n_shingles", "bits"), "name"), "cluster-classes")
         sizes = wanted.groupBy("cluster").agg(F.ceil(F.sum("n_shingles") * 8 / BLOCK_BYTES).cast("int").alias("blocks"))
         asked = wanted.select("name", "key", "bits", "cluster").join(sizes, "cluster")
-        sources = self.texts.where(F.octet_length("text") > 0).select("key", "text").dropDuplicates(["key"]).join(asked, "key")
+        sources = self.texts.where(F.octet_length("text") > 0).where(may_match(wanted, ["key"], "key")).select("key", "text")
+        sources = sources.dropDuplicates(["key"]).join(asked, "key")
         schema = "cluster binary, name binary, bits binary, blocks int, hashes binary"
         ordered = sources.select("key", "text", "cluster", "name", "bits", "blocks")
         sets = materialize(ordered.mapInArrow(functools.partial(_set_batches, size=self.size), schema), "sets")
@@ -317,5 +319,8 @@ def keep_first(df: DataFrame, size: int = 5, threshold: int = 80) -> DataFrame:
     dropped = materialize(rows.where(~first).select(F.col("doc_id").alias("_dropped"), F.col("key").alias("_text_key")).distinct(), "dropped")
     same = df["doc_id"].eqNullSafe(dropped["_dropped"]) & (text_key("text") == dropped["_text_key"])
     nameless = F.col("doc_id").isNull() & F.coalesce(F.col("text").rlike(r"[^ \t\n\x0B\f\r]"), F.lit(False))
-    kept = df.where(~nameless).join(dropped, same, "left_anti")
+    # Most rows cannot be among the dropped ones and stay without a shuffle.
+    perhaps = may_match(dropped, ["_dropped", "_text_key"], F.col("doc_id").cast("long"), text_key("text"))
+    named = df.where(~nameless)
+    kept = named.where(~perhaps).unionByName(named.where(perhaps).join(dropped, same, "left_anti"))
     return kept.unionByName(df.where(nameless).join(dropped, same, "left_anti").dropDuplicates(["text"]))
