@@ -9,7 +9,7 @@ from tallyloom.session import materialize
 
 
 def connected(edges: DataFrame) -> DataFrame:
-    """(node, component) of all nodes of ``edges`` (a, b): the smallest node reachable.
+    """(node, component) of all nodes of ``edges`` (a, b), a stored table: the smallest node reachable.
 
     Every round takes the smallest label among a node's neighbours and then the label's own label, and is
     stored, so lost executors repeat a round's tasks at most. Rounds end when no label changes.

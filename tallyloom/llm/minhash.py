@@ -247,7 +247,8 @@ def block_pairs(rows: DataFrame, *group: str) -> DataFrame:
     others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: k != F.col("block"))
     rows = rows.withColumn("other", F.explode(F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(others)))
     rows = rows.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("block", "other", "blocks")
-    return rows.repartition(*group, "low", "high").sortWithinPartitions(*group, "low", "high")
+    # Sorted by name too, so that a repeated task gives out the same forest.
+    return rows.repartition(*group, "low", "high").sortWithinPartitions(*group, "low", "high", "name")
 
 
 class NearDuplicates:
@@ -273,7 +274,7 @@ class NearDuplicates:
         rows = materialize(buckets.join(shared, "band"), "bucket-rows")
         dealt = block_pairs(rows.join(self.classes.select("name", "n_shingles", "bits"), "name"), "band")
         likely = dealt.mapInArrow(functools.partial(_likely_batches, threshold=self.threshold, least=self.least), "a binary, b binary")
-        return connected(likely)
+        return connected(materialize(likely, "likely-pairs"))  # read twice: a second run might find another forest
 
     def links(self) -> DataFrame:
         """Confirmed pairs (a, b) of classes that join all classes linked with each other."""
