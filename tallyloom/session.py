@@ -6,13 +6,12 @@ import atexit
 import shutil
 import tempfile
 import uuid
-import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
 _scratch: list[str] = []
-_warned: set[str] = set()
+MOUNTED = "spark.tallyloom.sharedFolderIsMounted"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -25,9 +24,9 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     context = spark.sparkContext
     if named:
-        if not context.master.startswith("local") and named.startswith(("file:", "/")) and named not in _warned:
-            _warned.add(named)
-            warnings.warn(f"spark.checkpoint.dir is {named}: every executor must mount that folder", stacklevel=2)
+        mounted = spark.conf.get(MOUNTED, "false") == "true"
+        if not context.master.startswith("local") and named.startswith(("file:", "/")) and not mounted:
+            raise RuntimeError(f"spark.checkpoint.dir is {named}, a folder of one machine; if all executors mount it, set {MOUNTED}")
         return named.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
