@@ -4,6 +4,7 @@ import datetime as dt
 import uuid
 from functools import reduce
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyloom.catalog import audit, bibliometrics, jobs
@@ -75,6 +76,30 @@ def positional_read(spark, sf):
     return block.select(F.col("s_suppkey").cast("bigint").alias("s_suppkey"), "row", "name", "nation")
 
 
+@query(
+    """
+    SELECT doc_id, CAST(3 + row_number() OVER (ORDER BY doc_id) AS BIGINT) AS place, nullif(text, '') AS body, nullif(source, '') AS source
+    FROM documents
+    """
+)
+def sheet_in_parts(spark, sf):
+    """Documents as cells of sheets, with their line breaks and quotes, each sheet read by several tasks.
+
+    A sheet holds a range of documents; the place counts rows over all sheets.
+    """
+    base = scratch_path(spark, "large-sheets")
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    line = F.concat_ws(",", F.col("doc_id").cast("string"), quoted(F.col("text")), quoted(F.col("source")))
+    rows = table(spark, sf, "documents").select("doc_id", line.alias("value"))
+    rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id").select("value").write.text(base)
+    block = files.read_block(spark, base, ["doc_id", "body", "source"], in_parts=True)
+    sheets = block.groupBy("file").agg(F.min(F.col("doc_id").cast("long")).alias("low"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.orderBy("low").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sheets.select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+    placed = block.join(offsets, "file")
+    return placed.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("offset") + F.col("row") + 3).alias("place"), "body", "source")
+
+
 @query(jobs.EMPLOYMENT_SQL)
 def csv_roundtrip(spark, sf):
     path = scratch_path(spark, "labour")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyloom.functions.cells import rename_positions
+from tallyloom.sources.sheet_parts import sheet_lines, sheet_records
 
 # One sheet record: text without line breaks, or quoted text with any. A lone quote is plain text.
 _RECORD = r'((?:[^"\r\n]++|"[^"]*+"|")*+)(?:\r\n|\n|\r|\z)'
@@ -86,12 +87,16 @@ def stack_sheets(frames: Sequence[DataFrame], key: str = "Sample ID") -> DataFra
 
 
 def read_block(
-    spark: SparkSession, path: str, columns: Sequence[str], first_row: int = 1, first_column: int = 1
+    spark: SparkSession, path: str, columns: Sequence[str], first_row: int = 1, first_column: int = 1, in_parts: bool = False
 ) -> DataFrame:
     """A headerless cell block of sheet files, all text; ``A5`` is row 5, column 1.
 
-    A file is read as one text, which suits sheets: their size is bounded by the sheet format.
+    A file is read as one text, which suits sheets of the size a sheet program opens. ``in_parts`` lets several tasks
+    read a file, with the same rows, for exports of any size (their numbers are of type long).
     """
+    if in_parts:
+        records = sheet_records(sheet_lines(spark, path))
+        return parse_block(records, columns, first_row, first_column, "text", start="row")
     sheets = spark.read.text(path, wholetext=True).withColumn("file", F.col("_metadata.file_path"))
     return parse_block(sheets, columns, first_row, first_column)
 
@@ -103,19 +108,23 @@ def parse_block(
     first_column: int = 1,
     content: str = "value",
     file: str = "file",
+    start: str | None = None,
 ) -> DataFrame:
     """Cell block of sheet texts. ``file`` and ``row`` (one-based sheet row) tell where a row is from.
 
-    Rows whose cells are all empty are left out.
+    Rows whose cells are all empty are left out. ``start`` names the column that holds the number of a text's first row,
+    where texts are parts of sheets.
     """
     width = first_column - 1 + len(columns)
     cells = ", ".join(f"`_c{i}` STRING" for i in range(width))
     lines = sheets.select(
-        F.col(file).alias("file"), F.posexplode(F.regexp_extract_all(content, F.lit(_RECORD), F.lit(1))).alias("at", "line")
+        F.col(file).alias("file"),
+        (F.col(start) if start else F.lit(1)).alias("start"),
+        F.posexplode(F.regexp_extract_all(content, F.lit(_RECORD), F.lit(1))).alias("at", "line"),
     )
-    parsed = lines.where(F.col("at") >= first_row - 1).select(
+    parsed = lines.where(F.col("start") + F.col("at") >= first_row).select(
         "file",
-        (F.col("at") + 1).alias("row"),
+        (F.col("start") + F.col("at")).alias("row"),
         parse_once(F.from_csv("line", cells, {"multiLine": "true", "escape": '"'})).alias("cells"),
     )
     chosen = parsed.select("file", "row", *[f"cells._c{i}" for i in range(first_column - 1, width)])
