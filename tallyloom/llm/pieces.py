@@ -29,11 +29,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.texts import refuse_others, sliced, strings
+from tallyloom.llm.texts import give_back, refuse_others, sliced, strings
 
 BLANK = "▁"
-KEPT_SEGMENTS = 600_000
+KEPT_SEGMENTS = 200_000
 KEPT_PARTS = 200_000
+KEPT_PAIRS = 400_000
 KEPT_LENGTH = 256  # longer segments and parts are not kept
 _segments = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+").findall
 
@@ -122,6 +123,8 @@ class Pieces:
     def fits(self, left: int, right: int) -> bool:
         """Whether merging leaves a bound between both pieces."""
         if (left, right) not in self.fitting:
+            if len(self.fitting) >= KEPT_PAIRS:
+                self.fitting.clear()
             self.fitting[left, right] = self._fits(left, right)
         return self.fitting[left, right]
 
@@ -216,6 +219,11 @@ class Pieces:
                 del known[segment]
         return out
 
+    def forget(self) -> None:
+        """Drop what texts taught; the next task learns from its own."""
+        for memo in (self.known, self.parts, self.fitting):
+            memo.clear()
+
     def decode(self, ids) -> str:
         """The text of ids; bytes that are no text become the replacement character."""
         raw = b"".join(map(self.raw.__getitem__, ids))
@@ -252,6 +260,8 @@ def _encode_batches(batches, path: str, kind: str, names: tuple[str, ...]):
         restored = [pieces.decode(i.tolist()) == t.replace(BLANK, " ") for i, t in zip(ids, texts)]
         made = [pa.array(sizes), pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)), pa.array(restored, pa.bool_())]
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], [*names, *OUTPUTS])
+    pieces.forget()
+    give_back()
 
 
 def _kept(df: DataFrame, keep: tuple[str, ...], outputs: tuple[str, ...], read: Column, into: str) -> tuple[DataFrame, tuple[str, ...], str]:

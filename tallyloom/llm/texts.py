@@ -5,6 +5,8 @@ All functions work on one Arrow batch at a time; nothing here knows about Spark
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,8 +20,17 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Spark keeps a worker for later tasks, which would keep all it once held."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def sliced(batches, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Row slices of at most ``limit`` text bytes, or a single row if that is longer."""
+    """Row slices of at most ``limit`` text bytes, or a single row if that is longer. Freed memory goes back at the end."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         ends, start = np.cumsum(sizes, dtype=np.int64), 0
@@ -28,6 +39,8 @@ def sliced(batches, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[
             stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    batch = sizes = ends = None
+    give_back()
 
 
 def strings(column: pa.Array) -> list[str]:
