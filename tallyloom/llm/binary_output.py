@@ -10,8 +10,8 @@ attempt of a task writes files of its own name and only the manifest's names are
 executor or a second attempt leaves no trace in the result.
 
 White space never lies inside a token of the word tokenizer and is dropped by it, so a text is
-encoded chunk by chunk between ASCII white space: the library encodes every distinct chunk, known chunks
-are kept up to a bound.
+encoded chunk by chunk between ASCII white space: the library encodes a chunk when it is first met, known
+chunks are kept up to a bound.
 
 Defined results: a missing or empty text has just the end id; rows of the same id keep ascending order by
 text; rows without an id come first; other columns are ignored; an empty table gives no rows.
@@ -40,66 +40,55 @@ SEQUENCE = 1024
 BATCH_SEQUENCES = 512
 KEPT_CHUNKS = 700_000
 KEPT_WORDS = 500_000
+KEPT_LENGTH = 256  # longer chunks are not kept
 
 # Latin letters that neither the normalizer's composition nor its lower-casing joins with anything, then punctuation.
 _plain = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?*#$%&|]*)").fullmatch
 
 
+class Memo(dict):
+    """Keeps what ``make`` gives for a key, up to a bound; longer and later keys are made each time they are met."""
+
+    def __init__(self, make, bound: int):
+        super().__init__({"": b""})
+        self.make, self.bound = make, bound
+
+    def __missing__(self, key: str) -> bytes:
+        made = self.make(key)
+        if len(self) < self.bound and len(key) <= KEPT_LENGTH:
+            self[key] = made
+        return made
+
+
 class Encoder:
     """Encodes texts to bytes of little-endian ids; one per Python worker."""
 
     def __init__(self, path: str):
         self.tokenizer = load(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.pack, self.code = struct.pack, "H" if self.kind.itemsize == 2 else "I"
-        self.known: dict[str, bytes] = {"": b""}
-        self.words: dict[str, bytes] = {"": b""}
-
-    def ask(self, parts: list[str]) -> dict[str, bytes]:
-        """Ids of parts from the library; plain lower-case words go straight to its model."""
-        model, pack, found, rest = self.tokenizer.model.tokenize, self.pack, {}, []
-        for part in parts:
-            if part.isascii() and part.isalpha() and part.islower():
-                ids = [t.id for t in model(part)]
-                found[part] = pack(f"<{len(ids)}{self.code}", *ids)
-            else:
-                rest.append(part)
-        for part, encoded in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            found[part] = pack(f"<{len(encoded.ids)}{self.code}", *encoded.ids)
-        return found
-
-    def learn(self, chunks: list[str]) -> None:
-        """Ids of new chunks. A word with punctuation behind it is two tokens' worth of input to the library."""
-        plain, words, tails, rest = [], [], [], []
-        for chunk in chunks:
-            if match := _plain(chunk):
-                plain.append(chunk)
-                words.append(match[1].lower())
-                tails.append(match[2])
-            else:
-                rest.append(chunk)
-        unseen = list(set(words).union(tails) - self.words.keys())
-        self.words.update(self.ask(unseen))
-        ids = self.words.__getitem__
-        self.known.update(zip(plain, map(bytes.__add__, map(ids, words), map(ids, tails))))
-        self.known.update(self.ask(rest))
-        if len(self.words) > KEPT_WORDS:
-            for w in unseen:
-                del self.words[w]
+        self.code = "H" if self.kind.itemsize == 2 else "I"
+        self.model = self.tokenizer.model.tokenize
+        self.words = Memo(self.ask, KEPT_WORDS)
+        self.known = Memo(self.encode_chunk, KEPT_CHUNKS)
+
+    def ask(self, part: str) -> bytes:
+        """Ids of a part from the library; plain lower-case words go straight to its model."""
+        if part.isascii() and part.isalpha() and part.islower():
+            ids = [t.id for t in self.model(part)]
+        else:
+            ids = self.tokenizer.encode(part, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+
+    def encode_chunk(self, chunk: str) -> bytes:
+        """Ids of a chunk. A word with punctuation behind it is two tokens' worth of input to the library."""
+        match = _plain(chunk)
+        return self.words[match[1].lower()] + self.words[match[2]] if match else self.ask(chunk)
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         for blank in "\t\n\x0b\x0c\r":
             texts = [text.replace(blank, " ") for text in texts]
-        chunks = [text.split(" ") for text in texts]
-        known = self.known
-        unseen = list(set().union(*chunks) - known.keys())
-        self.learn(unseen)
-        tail = np.array([end], self.kind).tobytes()
-        out = [b"".join(map(known.__getitem__, own)) + tail for own in chunks]
-        if len(known) > KEPT_CHUNKS:
-            for c in unseen:
-                del known[c]
-        return out
+        tail, ids = np.array([end], self.kind).tobytes(), self.known.__getitem__
+        return [b"".join(map(ids, text.split(" "))) + tail for text in texts]
 
 
 def check_kind(path: str) -> None:

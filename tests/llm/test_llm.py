@@ -134,6 +134,16 @@ def test_token_output_reads_back(spark, edges, nothing, edge_texts):
     assert binary_output.token_output(nothing, WORD).count() == 0
 
 
+def test_full_memos_change_nothing():
+    small, large = binary_output.Encoder(WORD), binary_output.Encoder(WORD)
+    small.words.bound = small.known.bound = 3
+    texts = [*odd_texts(300, 3), "<|endoftext|> <|ENDOFTEXT|> a<|endoftext|>b", "x" * 5000 + " " + "Yé!" * 300, "", " \t\n "]
+    assert small.encode(texts, 2) == large.encode(texts, 2)
+    assert len(small.words) <= 3 and len(small.known) <= 3 and max(map(len, large.known)) <= binary_output.KEPT_LENGTH
+    want = [small.tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert [np.frombuffer(b, small.kind).tolist() for b in small.encode(texts, 2)] == want
+
+
 def test_shard_masks_padding(tmp_path):
     with pa.OSFile(str(tmp_path / "s.arrow"), "wb") as sink:
         writer = binary_output.ShardWriter(sink, np.dtype("<u2"), 8)
