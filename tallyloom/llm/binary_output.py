@@ -32,7 +32,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.texts import refuse_others, sliced, strings
+from tallyloom.llm.texts import Memo, refuse_others, sliced, strings
 from tallyloom.llm.token_counts import load
 from tallyloom.session import materialize, scratch_path
 
@@ -46,20 +46,6 @@ KEPT_LENGTH = 256  # longer chunks are not kept
 _plain = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?*#$%&|]*)").fullmatch
 
 
-class Memo(dict):
-    """Keeps what ``make`` gives for a key, up to a bound; longer and later keys are made each time they are met."""
-
-    def __init__(self, make, bound: int):
-        super().__init__({"": b""})
-        self.make, self.bound = make, bound
-
-    def __missing__(self, key: str) -> bytes:
-        made = self.make(key)
-        if len(self) < self.bound and len(key) <= KEPT_LENGTH:
-            self[key] = made
-        return made
-
-
 class Encoder:
     """Encodes texts to bytes of little-endian ids; one per Python worker."""
 
@@ -68,8 +54,8 @@ class Encoder:
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.model = self.tokenizer.model.tokenize
-        self.words = Memo(self.ask, KEPT_WORDS)
-        self.known = Memo(self.encode_chunk, KEPT_CHUNKS)
+        self.words = Memo(self.ask, KEPT_WORDS, KEPT_LENGTH)
+        self.known = Memo(self.encode_chunk, KEPT_CHUNKS, KEPT_LENGTH)
 
     def ask(self, part: str) -> bytes:
         """Ids of a part from the library; plain lower-case words go straight to its model."""

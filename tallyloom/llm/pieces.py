@@ -29,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.texts import give_back, refuse_others, sliced, strings
+from tallyloom.llm.texts import Memo, give_back, refuse_others, sliced, strings
 
 BLANK = "▁"
-KEPT_SEGMENTS = 200_000
+KEPT_SEGMENTS = 600_000
 KEPT_PARTS = 200_000
 KEPT_PAIRS = 400_000
 KEPT_LENGTH = 256  # longer segments and parts are not kept
@@ -45,22 +45,23 @@ class Pieces:
     def __init__(self, pieces: list[str], scores: list[float], usable: list[bool], byte_ids: list[int], unknown: int = 0, kind: str = "bpe"):
         self.pieces, self.scores, self.byte_ids, self.unknown, self.kind = pieces, scores, byte_ids, unknown, kind
         self.ids = {p: i for i, p in enumerate(pieces) if usable[i]}
-        self.automaton = ahocorasick.Automaton()
-        for piece, i in self.ids.items():
-            self.automaton.add_word(piece, (i, len(piece)))
-        self.automaton.make_automaton()
-        self.known: dict[str, bytes] = {}
-        self.parts: dict[str, list[int]] = {}
+        self.known = Memo(lambda segment: np.array(self.encode_parts(segment), "<u2").tobytes(), KEPT_SEGMENTS, KEPT_LENGTH)
+        self.parts = Memo(self.encode_segment, KEPT_PARTS, KEPT_LENGTH)
         self.inner = {pair for p in self.ids for pair in zip(p, p[1:])}
         self.spines: dict[tuple[int, int], list[tuple[int, float, float]]] = {}
         self.halves: dict[int, tuple[int, int] | None] = {}
-        self.fitting: dict[tuple[int, int], bool] = {}
+        self.fitting = Memo(lambda pair: self._fits(*pair), KEPT_PAIRS, 2)
         self.worst = min((scores[i] for i in self.ids.values()), default=0.0) - 10.0
         if kind == "unigram":
             self.worst = min(scores[i] for i in self.ids.values()) - 10.0
         self.raw = [p.replace(BLANK, " ").encode() for p in pieces]
         for value, i in enumerate(byte_ids):
             self.raw[i] = bytes([value])
+        self.automaton = ahocorasick.Automaton()
+        for piece, i in self.ids.items():
+            if kind == "unigram" or self.formed(i):  # merging never leaves a piece that no merge forms
+                self.automaton.add_word(piece, (i, len(piece)))
+        self.automaton.make_automaton()
 
     def bytes_of(self, character: str) -> list[int]:
         return [self.byte_ids[b] for b in character.encode("utf-8", "surrogatepass")] if self.byte_ids else [self.unknown]
@@ -120,15 +121,8 @@ class Pieces:
             self.spines[i, side] = out
         return self.spines[i, side]
 
-    def fits(self, left: int, right: int) -> bool:
-        """Whether merging leaves a bound between both pieces."""
-        if (left, right) not in self.fitting:
-            if len(self.fitting) >= KEPT_PAIRS:
-                self.fitting.clear()
-            self.fitting[left, right] = self._fits(left, right)
-        return self.fitting[left, right]
-
     def _fits(self, left: int, right: int) -> bool:
+        """Whether merging leaves a bound between both pieces."""
         for a, born_a, taken_a in self.spine(left, 1):
             for b, born_b, taken_b in self.spine(right, 0):
                 if min(born_a, born_b) > max(taken_a, taken_b):  # both there at some time; scores fall with time
@@ -139,15 +133,16 @@ class Pieces:
 
     def _merge_pass(self, text: str) -> list[int]:
         last: list[tuple[int, int] | None] = [None] * (len(text) + 1)  # piece (or -1) and its start
-        done = 0
+        done, fitting = 0, self.fitting
         for end, (i, size) in self.automaton.iter(text):
             while done < end:  # positions without a match
                 done += 1
                 if last[done] is None:
                     last[done] = (-1, done - 1)
-            start = end + 1 - size
-            if last[end + 1] is None and (start == 0 or last[start]) and self.formed(i):
-                if start == 0 or last[start][0] < 0 or self.fits(last[start][0], i):
+            if last[end + 1] is None:
+                start = end + 1 - size
+                before = last[start]
+                if start == 0 or before and (before[0] < 0 or fitting[before[0], i]):
                     last[end + 1] = (i, start)
         for at in range(done + 1, len(text) + 1):
             if last[at] is None:
@@ -194,30 +189,12 @@ class Pieces:
         """Encode between neighbours that no piece has side by side; known parts are kept up to a bound."""
         inner, cuts = self.inner, [0]
         cuts += [k for k, pair in enumerate(zip(text, text[1:]), 1) if pair not in inner]
-        out = []
-        for low, high in zip(cuts, [*cuts[1:], len(text)]):
-            part = text[low:high]
-            ids = self.parts.get(part)
-            if ids is None:
-                ids = self.encode_segment(part)
-                if len(self.parts) < KEPT_PARTS and len(part) <= KEPT_LENGTH:
-                    self.parts[part] = ids
-            out += ids
-        return out
+        return [i for low, high in zip(cuts, [*cuts[1:], len(text)]) for i in self.parts[text[low:high]]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 16-bit ids of every text."""
-        split = [_segments(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
-        known = self.known
-        unseen = list(set().union(*split) - known.keys())
-        for segment in unseen:
-            known[segment] = np.array(self.encode_parts(segment), "<u2").tobytes()
-        out = [b"".join(map(known.__getitem__, own)) for own in split]
-        full = len(known) > KEPT_SEGMENTS
-        for segment in unseen:
-            if full or len(segment) > KEPT_LENGTH:
-                del known[segment]
-        return out
+        ids = self.known.__getitem__
+        return [b"".join(map(ids, _segments(BLANK + t.replace(" ", BLANK)))) if t else b"" for t in texts]
 
     def forget(self) -> None:
         """Drop what texts taught; the next task learns from its own."""

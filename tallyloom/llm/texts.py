@@ -43,6 +43,20 @@ def sliced(batches, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[
     give_back()
 
 
+class Memo(dict):
+    """Keeps what ``make`` gives for a string, up to a number of them; others, and longer ones, are made whenever they are met."""
+
+    def __init__(self, make: Callable[[str], object], bound: int, longest: int):
+        super().__init__()
+        self.make, self.bound, self.longest = make, bound, longest
+
+    def __missing__(self, key: str):
+        made = self.make(key)
+        if len(self) < self.bound and len(key) <= self.longest:
+            self[key] = made
+        return made
+
+
 def strings(column: pa.Array) -> list[str]:
     """The texts, a missing one as an empty text."""
     return pc.fill_null(column, "").to_pylist()

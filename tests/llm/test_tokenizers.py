@@ -113,3 +113,13 @@ def test_pieces_of_all_documents(spark, texts):
     model = library()
     for r in queries.QUERIES["op6_sentencepiece"](spark, FOLDER).collect():
         assert r["ids"] == model.EncodeAsIds(texts[r["doc_id"]]) and r["n_tokens"] == len(r["ids"])
+
+
+def test_full_memos_change_no_pieces(texts):
+    some = [texts[i] for i in sorted(texts)[:60]] + ["  two  blanks", "x" * 3000, "", "é\u00a0中文" * 50]
+    model, small = library(), pieces.load.__wrapped__(PIECE)
+    for memo in (small.known, small.parts, small.fitting):
+        memo.clear()
+        memo.bound = 5
+    assert [np.frombuffer(c, "<u2").tolist() for c in small.encode(some)] == [model.EncodeAsIds(t) for t in some]
+    assert max(map(len, (small.known, small.parts, small.fitting))) <= 5
