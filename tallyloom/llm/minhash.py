@@ -37,7 +37,7 @@ from tallyloom.llm.components import connected
 from tallyloom.llm.prefilter import may_match
 from tallyloom.llm.texts import byte_table, fold, grams, hash_spans, mix, ragged, runs, signed, sliced, utf8
 from tallyloom.llm.winnowing import text_key
-from tallyloom.session import materialize
+from tallyloom.session import by_batches, materialize
 
 HASHES = 160
 BITS = 2
@@ -261,7 +261,7 @@ class NearDuplicates:
         self.texts = df.select(F.col(doc_id).cast("long").alias("doc_id"), text_key(text).alias("key"), F.col(text).cast("string").alias("text"))
         run = functools.partial(_signature_batches, size=size, bands=self.bands, rows=self.rows)
         schema = "doc_id long, key string, n_shingles long, name binary, bands array<bigint>, bits binary"
-        self.documents = materialize(self.texts.mapInArrow(run, schema), "signatures")
+        self.documents = materialize(by_batches(self.texts, run, schema), "signatures")
         grouped = self.documents.where("name is not null").groupBy("name")
         first = [F.first(c).alias(c) for c in ("n_shingles", "bands", "bits")]  # equal for all rows of a name
         self.classes = materialize(grouped.agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), *first), "classes")
@@ -286,7 +286,7 @@ class NearDuplicates:
         sources = sources.dropDuplicates(["key"]).join(asked, "key")
         schema = "cluster binary, name binary, bits binary, blocks int, hashes binary"
         ordered = sources.select("key", "text", "cluster", "name", "bits", "blocks")
-        sets = materialize(ordered.mapInArrow(functools.partial(_set_batches, size=self.size), schema), "sets")
+        sets = materialize(by_batches(ordered, functools.partial(_set_batches, size=self.size), schema), "sets")
         run = functools.partial(_link_batches, threshold=self.threshold, least=self.least)
         return materialize(block_pairs(sets, "cluster").mapInArrow(run, "a binary, b binary"), "links")
 

@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.texts import Memo, give_back, refuse_others, sliced, strings
+from tallyloom.session import by_batches
 
 BLANK = "▁"
 KEPT_SEGMENTS = 600_000
@@ -257,7 +258,7 @@ def encode(df: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] =
     load(path, kind)
     rows, names, fields = _kept(df, tuple(keep), OUTPUTS, F.col(f"`{text}`").cast("string"), "_text")
     run = functools.partial(_encode_batches, path=path, kind=kind, names=names)
-    return rows.mapInArrow(run, f"{fields}n_tokens long, ids array<int>, restored boolean")
+    return by_batches(rows, run, f"{fields}n_tokens long, ids array<int>, restored boolean")
 
 
 def _decode_batches(batches, path: str, kind: str, names: tuple[str, ...]):

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.texts import byte_table, hash_spans, runs, sliced, utf8
-from tallyloom.session import materialize
+from tallyloom.session import by_batches, materialize
 
 NAMES = (
     "words", "word_length", "symbols", "bars", "exclamations", "capitals", "digits", "points", "lines",
@@ -90,7 +90,7 @@ def _statistics_batches(batches):
 def document_statistics(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and the array ``x`` of transformed statistics."""
     rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(_statistics_batches, "doc_id long, x array<double>")
+    return by_batches(rows, _statistics_batches, "doc_id long, x array<double>")
 
 
 @dataclass(frozen=True)
@@ -181,4 +181,4 @@ def _keep_batches(batches, model: Discriminant, threshold: float):
 
 def keep_good(df: DataFrame, model: Discriminant, threshold: float = 0.3) -> DataFrame:
     """Rows of ``df`` (with a column ``text``) that the model accepts, all columns unchanged."""
-    return df.mapInArrow(functools.partial(_keep_batches, model=model, threshold=threshold), df.schema)
+    return by_batches(df, functools.partial(_keep_batches, model=model, threshold=threshold), df.schema)

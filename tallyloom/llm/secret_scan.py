@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.texts import hash_spans, runs, sliced, utf8
+from tallyloom.session import by_batches
 
 SAMPLE_ROWS = 2_000
 WINDOW = 10
@@ -341,7 +342,7 @@ def learn(df: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int
     place = F.pmod(F.xxhash64(F.col(doc_id), F.col(text).cast("string")), F.lit(scale))
     rows = df.select(place.alias("place"), F.col(text).cast("string").alias("text")).where("text is not null")
     candidate = F.col("text").rlike(CANDIDATE)
-    matching = rows.where(candidate).select("text").mapInArrow(_count_batches, "n long").agg(F.sum("n")).first()[0]
+    matching = by_batches(rows.where(candidate).select("text"), _count_batches, "n long").agg(F.sum("n")).first()[0]
     if not matching:
         return None
     others = rows.count() - matching
@@ -350,7 +351,7 @@ def learn(df: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int
         chosen = rows.where(F.col("place") < min(scale, scale * sample // max(1, size)))
         if own:
             chosen = chosen.where(candidate)  # after the cheap bound, which leaves few rows of a large table
-        return chosen.select("text").mapInArrow(functools.partial(_window_batches, matching=own), "f binary, t binary")
+        return by_batches(chosen.select("text"), functools.partial(_window_batches, matching=own), "f binary, t binary")
 
     parsed = []
     # Sorted here: a sort in Spark would run both scans once more to find its ranges.
@@ -377,7 +378,7 @@ def scan(df: DataFrame, field: Field | None, doc_id: str = "doc_id", text: str =
     """Spans of every whole text: doc_id, n_assign, n_access, n_hex, base_sha256, spans. One narrow pass."""
     rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     schema = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
-    return rows.mapInArrow(functools.partial(_scan_batches, field=field), schema)
+    return by_batches(rows, functools.partial(_scan_batches, field=field), schema)
 
 
 def masked(text: str, spans: list[tuple[str, int, int]], mark: str) -> str:
@@ -400,4 +401,4 @@ def _mask_batches(batches, field: Field | None, mark: str):
 
 def mask_secrets(df: DataFrame, field: Field | None, mark: str = "[SECRET]") -> DataFrame:
     """``df`` with the secrets of its column ``text`` replaced, all other columns unchanged."""
-    return df.mapInArrow(functools.partial(_mask_batches, field=field, mark=mark), df.schema)
+    return by_batches(df, functools.partial(_mask_batches, field=field, mark=mark), df.schema)

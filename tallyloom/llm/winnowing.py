@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.texts import byte_table, grams, hash_spans, mix, runs, signed, sliced, utf8
-from tallyloom.session import materialize
+from tallyloom.session import by_batches, materialize
 
 WINDOW = 13
 GRAM = 7
@@ -207,7 +207,7 @@ class Hits:
         lengths = items.where(F.col("n") < window).select("n").distinct().collect()
         rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), text_key(text).alias("key"), as_text(text))
         run = functools.partial(_document_batches, window=window, marks=marks, short=tuple(sorted(r["n"] for r in lengths)))
-        self.found = materialize(rows.mapInArrow(run, f"doc_id long, key string, n_words long, words binary, prints {PRINTS}"), "document-prints")
+        self.found = materialize(by_batches(rows, run, f"doc_id long, key string, n_words long, words binary, prints {PRINTS}"), "document-prints")
         texts = self.found.where("words is not null").dropDuplicates(["key"])
         matched = texts.select("key", F.inline("prints")).join(prints, "print", "left_semi")
         matches = matched.groupBy("key").agg(F.collect_list(F.struct("place", "size")).alias("matches"))

@@ -6,8 +6,13 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+BATCH_ROWS = 1000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 _local_roots: dict[str, str] = {}
 _scratch: list[str] = []
@@ -57,9 +62,21 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows evenly over the session's shuffle partitions before heavy work on each row."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal rows over the session's shuffle partitions before heavy work on each row, evenly or by ``keys``."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def by_batches(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
+    """``mapInArrow`` over rows with long texts, at most ``BATCH_ROWS`` of them at once.
+
+    Spark sends 10,000 rows at once by default, and keeps each such batch several times, in the executor's buffers outside
+    its heap and in the Python process. The setting stays for the session, since the plan runs later; a smaller one is kept.
+    """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(BATCH_SETTING)) <= BATCH_ROWS:
+        conf.set(BATCH_SETTING, BATCH_ROWS)
+    return df.mapInArrow(run, schema)
 
 
 def filesystem(spark: SparkSession, path: str):

@@ -1,8 +1,9 @@
 from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 
-from tallyloom.session import shared_folder
+from tallyloom.session import BATCH_ROWS, BATCH_SETTING, by_batches, shared_folder
 
 
 def session(master, named=None):
@@ -19,3 +20,19 @@ def test_a_named_folder_is_taken_on_a_cluster(folder):
 def test_a_cluster_without_a_folder_is_refused():
     with pytest.raises(RuntimeError):
         shared_folder(session("spark://head:7077"))
+
+
+def _sizes(batches):
+    for batch in batches:
+        yield pa.record_batch({"n": pa.array([batch.num_rows], pa.int64())})
+
+
+@pytest.mark.parametrize("given,most", [("10000", BATCH_ROWS), ("0", BATCH_ROWS), ("-1", BATCH_ROWS), ("300", 300)])
+def test_texts_go_to_python_in_small_batches(spark, given, most):
+    before = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, given)
+    try:
+        sizes = [r.n for r in by_batches(spark.range(0, 2500, 1, 1), _sizes, "n long").collect()]
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
+    assert max(sizes) == most and sum(sizes) == 2500
