@@ -55,10 +55,15 @@ class Rule:
     colour: str
 
 
+def merchant_entry() -> Column:
+    """How a merchant is spelled in the list of conferences."""
+    return F.coalesce(F.upper("merchant"), F.lit(""))
+
+
 def with_list_flags(rows: DataFrame, fps: DataFrame, rcm: DataFrame, dsc: DataFrame) -> DataFrame:
     """Add ``in_fps``, ``in_rcm`` (cardholder as written) and ``in_dsc`` (merchant in upper case)."""
     flagged = flag_memberships(rows, F.col("cardholder"), {"in_fps": fps, "in_rcm": rcm})
-    return flag_membership(flagged, F.coalesce(F.upper("merchant"), F.lit("")), dsc, "in_dsc")
+    return flag_membership(flagged, merchant_entry(), dsc, "in_dsc")
 
 
 def spend_rules(spend_limit: float = SPEND_LIMIT) -> list[Rule]:
