@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.texts import byte_table, grams, hash_spans, mix, powers, ragged, runs, signed, sliced, utf8
-from tallyloom.session import materialize
+from tallyloom.session import by_batches, materialize
 
 WINDOW = 35
 GRAM = 11
@@ -169,7 +169,7 @@ def extended_spans(contexts: DataFrame, window: int, size: int) -> DataFrame:
     """Spans (key, start, end) of single contexts whose extensions another class of the anchor has too."""
     run = functools.partial(_block_batches, window=window, size=size)
     schema = "gram long, block int, core long, whole long, key binary, at long, near int, far int, alone boolean, singles array<bigint>"
-    blocks = materialize(contexts.where("asked is not null").select("key", "text", "asked").mapInArrow(run, schema), "blocks")
+    blocks = materialize(by_batches(contexts.where("asked is not null").select("key", "text", "asked"), run, schema), "blocks")
     alive = materialize(blocks.join(_twice(blocks, "gram", "block", "core"), ["gram", "block", "core"]), "alive-blocks")
     marked = _twice(alive, "gram", "whole").withColumn("repeated", F.lit(True))
     left = materialize(alive.join(marked, ["gram", "whole"], "left"), "left-blocks")
@@ -194,7 +194,7 @@ class Repeats:
         keyed = rows.withColumn("key", F.unhex(F.md5("text")))
         run = functools.partial(_anchor_batches, window=window, gram=gram)
         self.window = window
-        self.rows = materialize(keyed.mapInArrow(run, f"doc_id long, key binary, n_words long, whole_sha256 string, anchors {ANCHORS}"), "anchors")
+        self.rows = materialize(by_batches(keyed, run, f"doc_id long, key binary, n_words long, whole_sha256 string, anchors {ANCHORS}"), "anchors")
         self.copies = materialize(self.rows.where(F.col("n_words") >= window).groupBy("key").count().where("count > 1").select("key"), "copies")
         # A place is a position of a distinct text: rows of one text are one place, two positions of a text are two.
         placed = self.rows.select("key", F.inline("anchors")).withColumn("place", F.xxhash64("key", "low"))
@@ -219,7 +219,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     """doc_id, n_words, n_removed, kept_sha256 (of the words left, joined by blanks), kept."""
     found = Repeats(df, doc_id, text, window, gram, block)
     spans = found.spans.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    changed = found.contexts.select("key", "text").join(spans, "key").mapInArrow(_cut_batches, "key binary, n_removed long, kept string")
+    changed = by_batches(found.contexts.select("key", "text").join(spans, "key"), _cut_batches, "key binary, n_removed long, kept string")
     changed = changed.join(found.copies, "key", "left_anti")
     whole = found.copies.select("key", F.lit(None).cast("long").alias("n_removed"), F.lit("").alias("kept"))
     changed = materialize(changed.unionByName(whole).withColumn("cut_sha256", F.sha2("kept", 256)), "cut-texts")

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.llm import queries, substring_dedup
+from tallyloom.session import BATCH_ROWS, by_batches
 from tests.check_catalog import compare, database
 
 ROW = "doc_id long, text string"
@@ -100,3 +101,26 @@ def test_smallest_is_the_last_of_equals():
 def test_query_matches_sql_on_more_rows(spark):
     folder = "/root/testdata/sf0.01"
     assert compare(spark, database(folder), folder, queries.QUERIES["op11_substring_dedup"], queries.ORACLES["op11_substring_dedup"]) is None
+
+
+def test_texts_reach_python_in_batches_of_bounded_rows(spark, monkeypatch):
+    """Every step that sends whole texts to Python goes by bounded batches."""
+    steps = []
+
+    def seen(df, run, schema):
+        steps.append(run)
+        return by_batches(df, run, schema)
+
+    anchored = substring_dedup._anchor_batches
+
+    def counted(batches, **options):
+        for batch in batches:
+            assert batch.num_rows <= BATCH_ROWS
+            yield from anchored([batch], **options)
+
+    monkeypatch.setattr(substring_dedup, "by_batches", seen)
+    monkeypatch.setattr(substring_dedup, "_anchor_batches", counted)
+    shared = " ".join(f"s{k}" for k in range(40))
+    docs = spark.range(0, 2500, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.col("id").cast("string"), F.lit(f" {shared}")).alias("text"))
+    rows = substring_dedup.remove_repeats(docs).agg(F.count("*"), F.sum("n_removed")).first()
+    assert tuple(rows) == (2500, 2500 * 40) and len(steps) == 3
