@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.texts import byte_table, hash_spans, runs, sliced, utf8
+from tallyloom.llm.texts import NARROW_BYTES, byte_table, hash_spans, runs, sliced, utf8
 from tallyloom.session import by_batches, materialize
 
 NAMES = (
@@ -81,7 +81,7 @@ def statistics(column: pa.Array) -> np.ndarray:
 
 
 def _statistics_batches(batches):
-    for batch in sliced(batches):
+    for batch in sliced(batches, limit=NARROW_BYTES):
         found = statistics(batch.column("text"))
         x = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * len(NAMES)), pa.array(found.reshape(-1)))
         yield pa.record_batch([batch.column("doc_id"), x], names=["doc_id", "x"])
@@ -175,7 +175,7 @@ def classify(df: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFr
 
 
 def _keep_batches(batches, model: Discriminant, threshold: float):
-    for batch in sliced(batches):
+    for batch in sliced(batches, limit=NARROW_BYTES):
         yield batch.filter(pa.array(model.score(statistics(batch.column("text"))) >= threshold))
 
 

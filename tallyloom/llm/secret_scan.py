@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.texts import hash_spans, runs, sliced, utf8
+from tallyloom.llm.texts import NARROW_BYTES, hash_spans, runs, sliced, utf8
 from tallyloom.session import by_batches
 
 SAMPLE_ROWS = 2_000
@@ -325,12 +325,12 @@ def _matching(batch: pa.RecordBatch) -> pa.Array:
 
 
 def _count_batches(batches):
-    for batch in sliced(batches):
+    for batch in sliced(batches, limit=NARROW_BYTES):
         yield pa.record_batch({"n": pa.array([_matching(batch).true_count], pa.int64())})
 
 
 def _window_batches(batches, matching: bool):
-    for batch in sliced(batches):
+    for batch in sliced(batches, limit=NARROW_BYTES):
         has = _matching(batch)
         for features, tags in training_windows(batch.column("text").filter(has if matching else pc.invert(has))):
             yield pa.record_batch({"f": pa.array([features.astype("<i2").tobytes()]), "t": pa.array([tags.tobytes()])})
@@ -363,7 +363,7 @@ def learn(df: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int
 
 def _scan_batches(batches, field: Field | None):
     scanner = Scanner(field)
-    for batch in sliced(batches):
+    for batch in sliced(batches, limit=NARROW_BYTES):
         rows = scanner.scan(batch.column("text"))
         kinds = [[sum(s[0] == kind for s in base) for _, base, _ in rows] for kind in KINDS[:3]]
         yield pa.record_batch({
@@ -393,7 +393,7 @@ def masked(text: str, spans: list[tuple[str, int, int]], mark: str) -> str:
 
 def _mask_batches(batches, field: Field | None, mark: str):
     scanner = Scanner(field)
-    for batch in sliced(batches):
+    for batch in sliced(batches, limit=NARROW_BYTES):
         at = batch.schema.get_field_index("text")
         texts = [masked(t, spans, mark) if spans else t for t, _, spans in scanner.scan(batch.column(at))]
         yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))

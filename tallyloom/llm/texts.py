@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 2 << 20
+NARROW_BYTES = 1 << 19  # for steps that make tens of bytes of each byte of a text
 PIECE_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.texts import byte_table, grams, hash_spans, mix, runs, signed, sliced, utf8
+from tallyloom.llm.texts import NARROW_BYTES, byte_table, grams, hash_spans, mix, runs, signed, sliced, utf8
 from tallyloom.session import by_batches, materialize
 
 WINDOW = 13
@@ -113,7 +113,7 @@ def _item_batches(batches, window: int):
 
 
 def _document_batches(batches, window: int, marks: np.ndarray, short: tuple[int, ...]):
-    for batch in sliced(batches):
+    for batch in sliced(batches, limit=NARROW_BYTES):
         words, bounds = word_hashes(batch.column("text"))
         found = [(*kept_grams(words, bounds, window), 0), *((*whole_grams(words, bounds, size), size) for size in short)]
         hashes, places = (np.concatenate([f[k] for f in found]) for k in (0, 1))
