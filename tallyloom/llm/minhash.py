@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.components import connected
 from tallyloom.llm.prefilter import may_match
-from tallyloom.llm.texts import byte_table, fold, grams, hash_spans, mix, ragged, runs, signed, sliced, utf8
+from tallyloom.llm.texts import NARROW_BYTES, byte_table, fold, give_back, grams, hash_spans, mix, ragged, runs, signed, sliced, utf8
 from tallyloom.llm.winnowing import text_key
 from tallyloom.session import by_batches, materialize
 
@@ -44,6 +44,7 @@ BITS = 2
 MISS = 1e-8
 BLOCK = 8192
 BLOCK_BYTES = 8 << 20
+COMPARED = 1 << 17  # tokens of other sets looked up at once
 
 _values, _inside = byte_table(True, b" \t\n\x0b\x0c\r")
 _factors = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -127,7 +128,7 @@ def least_estimate(threshold: int, miss: float) -> float:
 
 
 def _signature_batches(batches, size: int, bands: int, rows: int):
-    for batch in sliced(batches):
+    for batch in sliced(batches, limit=NARROW_BYTES):
         sets = shingle_sets(batch.column("text"), size)
         best = [minima(s) if len(s) else None for s in sets]
         yield pa.record_batch({
@@ -139,7 +140,7 @@ def _signature_batches(batches, size: int, bands: int, rows: int):
 
 
 def _set_batches(batches, size: int):
-    for batch in sliced(batches):
+    for batch in sliced(batches, limit=NARROW_BYTES):
         sets = shingle_sets(batch.column("text"), size)
         kept = batch.select([c for c in batch.schema.names if c not in ("key", "text")])
         yield pa.RecordBatch.from_arrays([*kept.columns, pa.array([s.tobytes() for s in sets], pa.binary())], [*kept.schema.names, "hashes"])
@@ -163,20 +164,32 @@ def likely_forest(bits: np.ndarray, sizes: np.ndarray, threshold: int, least: fl
 def link_forest(sets: list[np.ndarray], bits: np.ndarray, threshold: int, least: float) -> list[tuple[int, int]]:
     """Pairs of sets at or over the threshold that join all sets joined by such pairs."""
     sizes = np.array([len(s) for s in sets], np.int64)
-    distinct, token, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    rank = np.empty(len(distinct), np.int64)
-    rank[np.argsort(often, kind="stable")] = np.arange(len(distinct))
-    owner, token = np.repeat(np.arange(len(sets)), sizes), rank[token]
-    order = np.lexsort((token, owner))
-    token, bounds = token[order], np.concatenate([[0], np.cumsum(sizes)])
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    # Numbers of tokens, the rarest first, in four bytes each; a task holds two blocks of sets at most.
+    flat = np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")
+    flat = flat[order]
+    token = np.empty(len(order), np.int32)
+    token[order] = np.cumsum(np.concatenate([[False], flat[1:] != flat[:-1]]), dtype=np.int32)
+    del flat, order
+    often = np.bincount(token)
+    by_count = np.argsort(often, kind="stable")
+    rank = np.empty(len(often), np.int32)
+    rank[by_count] = np.arange(len(often), dtype=np.int32)
+    token, often = rank[token], often[by_count]
+    del by_count, rank
+    owner = np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
+    for low, high in zip(bounds[:-1], bounds[1:]):
+        token[low:high].sort()
     # Of two sets over the threshold, each has a common token among its size - ceil(threshold * size) + 1 rarest.
-    prefix = sizes - -(-threshold * sizes // 100) + 1
-    early = np.flatnonzero((ragged(sizes) < np.repeat(prefix, sizes)) & (np.sort(often)[token] > 1))
+    first = bounds[:-1] + sizes - -(-threshold * sizes // 100) + 1
+    early = np.flatnonzero((np.arange(len(token), dtype=np.int32) < first.astype(np.int32)[owner]) & (often[token] > 1))
     by_token = early[np.argsort(token[early], kind="stable")]
-    holders, keys = owner[by_token], token[by_token]
-    low, high = np.searchsorted(keys, token[early]), np.searchsorted(keys, token[early], side="right")
+    holders, keys, asked = owner[by_token], token[by_token], token[early]
+    del owner, by_token
+    low, high = np.searchsorted(keys, asked), np.searchsorted(keys, asked, side="right")
     own = np.searchsorted(early, bounds)
-    root, mark, found = np.arange(len(sets)), np.zeros(len(distinct), bool), []
+    root, mark, found = np.arange(len(sets)), np.zeros(len(often), bool), []
     for x in range(len(sets)):
         posts = [holders[a:b] for a, b in zip(low[own[x] : own[x + 1]], high[own[x] : own[x + 1]])]
         if not posts:
@@ -189,16 +202,25 @@ def link_forest(sets: list[np.ndarray], bits: np.ndarray, threshold: int, least:
         if not len(y):
             continue
         mark[token[bounds[x] : bounds[x + 1]]] = True
-        places = np.repeat(bounds[y], sizes[y]) + ragged(sizes[y])
-        both = np.add.reduceat(mark[token[places]], np.concatenate([[0], np.cumsum(sizes[y])[:-1]]), dtype=np.int64)
+        ends = np.cumsum(sizes[y])
+        for some in np.split(y, np.flatnonzero(np.diff(ends // COMPARED)) + 1):
+            places = np.repeat(bounds[some], sizes[some]) + ragged(sizes[some])
+            both = np.add.reduceat(mark[token[places]], np.concatenate([[0], np.cumsum(sizes[some])[:-1]]), dtype=np.int64)
+            for z in some[100 * both >= threshold * (sizes[x] + sizes[some] - both)].tolist():
+                if root[z] != root[x]:
+                    root[root == root[z]] = root[x]
+                    found.append((x, z))
         mark[token[bounds[x] : bounds[x + 1]]] = False
-        for z in y[100 * both >= threshold * (sizes[x] + sizes[y] - both)].tolist():
-            if root[z] != root[x]:
-                root[root == root[z]] = root[x]
-                found.append((x, z))
     return found
 
 
+def _taken(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """The batches as one; the list is emptied, so that they are not kept beside it."""
+    joined = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+    held.clear()
+    return joined
+
+
 def _groups(batches, keys: list[str]):
     """Rows of each key as a record batch; rows of a key arrive one after the other."""
     held: list[pa.RecordBatch] = []
@@ -212,13 +234,12 @@ def _groups(batches, keys: list[str]):
             if stop < batch.num_rows and values[stop] == values[start]:
                 continue
             if held and values[start] != current:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held = []
+                yield _taken(held)
             current = values[start]
             held.append(batch.slice(start, stop - start))
             start = stop
     if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        yield _taken(held)
 
 
 def _bits_of(batch: pa.RecordBatch) -> np.ndarray:
@@ -233,12 +254,16 @@ def _pair_batch(batch: pa.RecordBatch, pairs: list[tuple[int, int]]) -> pa.Recor
 def _likely_batches(batches, threshold: int, least: float):
     for group in _groups(batches, ["band", "low", "high"]):
         yield _pair_batch(group, likely_forest(_bits_of(group), group.column("n_shingles").to_numpy(), threshold, least))
+        group = None
+    give_back()
 
 
 def _link_batches(batches, threshold: int, least: float):
     for group in _groups(batches, ["cluster", "low", "high"]):
-        sets = [np.frombuffer(h, np.uint64) for h in group.column("hashes").to_pylist()]
+        sets = [np.frombuffer(h.as_buffer(), np.uint64) for h in group.column("hashes")]
         yield _pair_batch(group, link_forest(sets, _bits_of(group), threshold, least))
+        group = sets = None
+    give_back()
 
 
 def block_pairs(rows: DataFrame, *group: str) -> DataFrame:

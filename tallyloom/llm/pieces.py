@@ -198,8 +198,8 @@ class Pieces:
         return [b"".join(map(ids, _segments(BLANK + t.replace(" ", BLANK)))) if t else b"" for t in texts]
 
     def forget(self) -> None:
-        """Drop what texts taught; the next task learns from its own."""
-        for memo in (self.known, self.parts, self.fitting):
+        """Drop what texts taught; the next task learns from its own. One small thing kept in between would hold a block of memory."""
+        for memo in (self.known, self.parts, self.fitting, self.spines):
             memo.clear()
 
     def decode(self, ids) -> str:

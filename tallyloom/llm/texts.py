@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 
 SLICE_BYTES = 2 << 20
 NARROW_BYTES = 1 << 19  # for steps that make tens of bytes of each byte of a text
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 16
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -23,6 +23,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 
 def give_back() -> None:
     """Return freed memory to the system. Spark keeps a worker for later tasks, which would keep all it once held."""
+    _powers.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
@@ -107,18 +108,18 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values
 
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_powers: list[np.ndarray] = []
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first powers of the hash base and of its inverse, modulo 2**64."""
-    size = 1 << max(20, int(n).bit_length())
-    if size not in _powers:
-        up, down = np.full(size, _BASE, np.uint64), np.full(size, _INVERSE, np.uint64)
-        up[0] = down[0] = 1
+    """The first powers, ``n`` or more, of the hash base and of its inverse, modulo 2**64."""
+    if not _powers or len(_powers[0]) < n:
         _powers.clear()
-        _powers[size] = np.cumprod(up), np.cumprod(down)
-    return _powers[size]
+        for base in (_BASE, _INVERSE):
+            values = np.full(1 << max(17, int(n).bit_length()), base, np.uint64)
+            values[0] = 1
+            _powers.append(np.cumprod(values, out=values))
+    return _powers[0], _powers[1]
 
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

@@ -13,6 +13,8 @@ from pyspark.sql.types import StructType
 
 BATCH_ROWS = 1000
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_BYTES = 1 << 20
+BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _local_roots: dict[str, str] = {}
 _scratch: list[str] = []
@@ -68,14 +70,16 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def by_batches(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
-    """``mapInArrow`` over rows with long texts, at most ``BATCH_ROWS`` of them at once.
+    """``mapInArrow`` over rows with long texts, at most ``BATCH_ROWS`` of them or about ``BATCH_BYTES`` at once, a longer row alone.
 
-    Spark sends 10,000 rows at once by default, and keeps each such batch several times, in the executor's buffers outside
-    its heap and in the Python process. The setting stays for the session, since the plan runs later; a smaller one is kept.
+    Spark sends 10,000 rows of any size at once by default, and keeps each such batch several times, in the executor's buffers
+    outside its heap and in the Python process. The settings stay for the session, since the plan runs later; smaller ones are kept.
     """
     conf = df.sparkSession.conf
     if not 0 < int(conf.get(BATCH_SETTING)) <= BATCH_ROWS:
         conf.set(BATCH_SETTING, BATCH_ROWS)
+    if df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(conf.get(BYTES_SETTING)) > BATCH_BYTES:
+        conf.set(BYTES_SETTING, BATCH_BYTES)
     return df.mapInArrow(run, schema)
 
 

@@ -61,6 +61,14 @@ def test_forests_join_what_all_pairs_join(threshold):
     assert same_parts(parts(len(sets), forest), parts(len(sets), likely)) and len(forest) < len(sets)
 
 
+def test_links_are_the_same_however_many_sets_are_compared_at_once(monkeypatch):
+    sets = edited(5)
+    bits = np.array([np.frombuffer(minhash.packed(minhash.minima(s)), np.uint8) for s in sets])
+    found = minhash.link_forest(sets, bits, 80, -1.0)
+    monkeypatch.setattr(minhash, "COMPARED", 300)
+    assert minhash.link_forest(sets, bits, 80, -1.0) == found and len(found) > 20
+
+
 @pytest.mark.parametrize("size,threshold", [(3, 85), (5, 80)])
 def test_no_link_of_a_twentieth_of_all_rows_is_lost(spark, size, threshold):
     """All links of the ids divisible by 20 with all rows, by comparing every pair of sets."""

@@ -3,7 +3,7 @@ from types import SimpleNamespace
 import pyarrow as pa
 import pytest
 
-from tallyloom.session import BATCH_ROWS, BATCH_SETTING, by_batches, shared_folder
+from tallyloom.session import BATCH_BYTES, BATCH_ROWS, BATCH_SETTING, BYTES_SETTING, by_batches, shared_folder
 
 
 def session(master, named=None):
@@ -36,3 +36,20 @@ def test_texts_go_to_python_in_small_batches(spark, given, most):
     finally:
         spark.conf.set(BATCH_SETTING, before)
     assert max(sizes) == most and sum(sizes) == 2500
+
+
+def _bytes(batches):
+    for batch in batches:
+        yield pa.record_batch({"n": pa.array([batch.num_rows], pa.int64()), "size": pa.array([batch.nbytes], pa.int64())})
+
+
+@pytest.mark.parametrize("given,most", [("67108864b", BATCH_BYTES), ("64MB", BATCH_BYTES), ("300k", 300 << 10)])
+def test_long_texts_go_to_python_in_batches_of_few_bytes(spark, given, most):
+    before = spark.conf.get(BYTES_SETTING)
+    spark.conf.set(BYTES_SETTING, given)
+    try:
+        texts = spark.range(0, 500, 1, 1).selectExpr("repeat(chr(97 + id % 26), 20000) text")
+        rows = by_batches(texts, _bytes, "n long, size long").collect()
+    finally:
+        spark.conf.set(BYTES_SETTING, before)
+    assert sum(r.n for r in rows) == 500 and max(r.size for r in rows) < most + 40000
