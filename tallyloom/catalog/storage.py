@@ -14,7 +14,7 @@ from tallyloom.plans import bibliometrics as plan
 from tallyloom.functions.cells import column_number
 from tallyloom.plans import labour, samples, spend_audit, tracker
 from tallyloom.session import materialize, scratch_path
-from tallyloom.sinks import snapshots, tables
+from tallyloom.sinks import landing, snapshots, tables
 from tallyloom.sources import files, schemas
 from tallyloom.sources.schemas import LONG, TEXT, record
 
@@ -332,7 +332,7 @@ def _landed_run(spark, sf, gate):
         "citations": bibliometrics.citation_lines,
         "metrics": bibliometrics.metric_lines,
     }.items():
-        lines(spark, sf).select("value").write.text(f"{base}/landing/{kind}/run_date={run_date}")
+        landing.write_lines(lines(spark, sf), f"{base}/landing/{kind}/run_date={run_date}")
     return base, plan.load_run(spark, f"{base}/landing", f"{base}/lake", run_date, gate)
 
 

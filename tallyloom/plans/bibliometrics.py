@@ -13,8 +13,8 @@ from tallyloom.functions.text import after_colon, in_parentheses, suffix_from
 from tallyloom.operators import relational
 from tallyloom.operators.quality import has_size, is_complete, is_unique, refers_to, run_checks
 from tallyloom.operators.reshape import explode_items, explode_parallel
-from tallyloom.session import materialize
-from tallyloom.sinks.tables import conform, publish, read_runs, refresh, refresh_run
+from tallyloom.session import scratch_path, shuffles_removed
+from tallyloom.sinks.tables import append, conform, publish, read_runs, refresh, refresh_run
 from tallyloom.sources import schemas
 from tallyloom.sources.files import literal_rows, parse_json_lines, read_csv, read_text_lines
 
@@ -252,6 +252,11 @@ def document_counts(citations: DataFrame) -> DataFrame:
 
 def table_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
     """All declared checks of the eight published tables, one row each."""
+    return reduce(DataFrame.union, check_plans(tables))
+
+
+def check_plans(tables: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """The same checks as one plan for each table."""
     publication = tables["PUBLICATION"]
 
     def document(parent: str = "PUBLICATION"):
@@ -284,8 +289,7 @@ def table_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
             is_unique("DOCUMENT_ID", "CITATION_SOURCE_LBL"),
         ],
     }
-    results = [run_checks(name, tables[name], checks) for name, checks in declared.items() if name in tables]
-    return reduce(DataFrame.union, results)
+    return [run_checks(name, tables[name], checks) for name, checks in declared.items() if name in tables]
 
 
 def _text_ids(affiliation: DataFrame) -> DataFrame:
@@ -340,15 +344,22 @@ def load_run(spark: SparkSession, landing: str, lake: str, run_date: str, gate:
     """One dated run from landed pages to published tables; returns the check results.
 
     Every stage is a stored table: ``bronze/<kind>``, ``silver/<table>``, ``gold/<table>``. With
-    ``gate`` nothing is published when a check fails.
+    ``gate`` nothing is published when a check fails. The checks of each table are a job of their own, so that
+    the disk holds the shuffles of one at a time.
     """
+    with shuffles_removed(spark):
+        return _load_run(spark, landing, lake, run_date, gate)
+
+
+def _load_run(spark: SparkSession, landing: str, lake: str, run_date: str, gate: bool) -> DataFrame:
     bronze = {kind: bronze_pages(spark, landing, lake, run_date, kind) for kind in PAGE_SCHEMAS}
     pages = {kind: df.where(F.col("page").isNotNull()).select("page.*") for kind, df in bronze.items()}
     plans = silver_tables(pages["affiliations"], pages["publications"], pages["citations"], pages["metrics"])
     silver = {name: refresh(df, f"{lake}/silver/{name}") for name, df in plans.items()}
-    results = table_checks(silver)
-    for kind, df in bronze.items():
-        results = results.unionByName(run_checks(kind, df, [has_size(), is_complete("page")]))
-    stored = materialize(results, "checks")
+    results = check_plans(silver) + [run_checks(kind, df, [has_size(), is_complete("page")]) for kind, df in bronze.items()]
+    path = scratch_path(spark, "checks")
+    for checks in results:
+        append(checks, path)
+    stored = spark.read.schema(results[0].schema).parquet(path)
     publish(spark, silver, f"{lake}/gold", stored, gate, PUBLISHED_NAMES)
     return stored

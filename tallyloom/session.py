@@ -6,7 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -15,6 +16,7 @@ BATCH_ROWS = 1000
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_BYTES = 1 << 20
 BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+SHUFFLE_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _local_roots: dict[str, str] = {}
 _scratch: list[str] = []
@@ -64,6 +66,21 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of a write go when it ends, not when the driver happens to collect its garbage.
+
+    Without it, jobs that write many tables one after the other keep the shuffles of most of them on disk. A write has a
+    plan of its own, so nothing reads its shuffles again; a plan that is collected twice would make them twice.
+    """
+    before = spark.conf.get(SHUFFLE_SETTING)
+    spark.conf.set(SHUFFLE_SETTING, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_SETTING, before)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal rows over the session's shuffle partitions before heavy work on each row, evenly or by ``keys``."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.session import shuffles_removed
+
 
 def land(
     spark: SparkSession,
@@ -35,6 +37,16 @@ def land(
     return read_landed(spark, target, rows)
 
 
+def write_lines(lines: DataFrame, path: str) -> None:
+    """Write text lines (``value``) compressed, one file for each partition.
+
+    JSON repeats its field names on every line and takes a tenth of the space so. All readers of text and JSON know the files
+    by their ending. One task reads a file, so the rows should lie in as many partitions as tasks are to read them.
+    """
+    with shuffles_removed(lines.sparkSession):
+        lines.select("value").write.option("compression", "gzip").text(path)
+
+
 def read_landed(spark: SparkSession, target: str, like: DataFrame) -> DataFrame:
     """The landed rows, with the columns of ``like``."""
     return spark.read.schema(like.schema).parquet(f"{target}/rows")

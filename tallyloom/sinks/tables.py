@@ -15,6 +15,9 @@ from tallyloom.operators.quality import assert_passed
 from tallyloom.session import filesystem
 from tallyloom.sinks import versions
 
+# Of the tables that are kept beside each other for every run; Spark's default takes a quarter more for pages.
+CODEC = "zstd"
+
 
 def create_table(spark: SparkSession, name: str, schema: StructType, path: str | None = None) -> None:
     """Register a Parquet table with declared columns unless it exists."""
@@ -54,7 +57,7 @@ def refresh(df: DataFrame, path: str, schema: StructType | None = None) -> DataF
     spark = df.sparkSession
     result = df if schema is None else conform(df, schema)
     version = versions.fresh(path)
-    result.write.parquet(version)
+    result.write.option("compression", CODEC).parquet(version)
     versions.commit(spark, path, version)
     return spark.read.schema(result.schema).parquet(version)
 
@@ -77,7 +80,7 @@ def _write_runs(df: DataFrame, path: str, runs: Sequence[str], run_column: str)
     spark = df.sparkSession
     batch = f"{path}/batch-{uuid.uuid4().hex}"
     key = F.concat(F.lit("r"), F.lower(F.hex(F.encode(F.col(run_column).cast("string"), "UTF-8"))))
-    df.withColumn("_run", key).write.partitionBy("_run").parquet(batch)
+    df.withColumn("_run", key).write.option("compression", CODEC).partitionBy("_run").parquet(batch)
     for run in runs:
         fs, folder = filesystem(spark, f"{batch}/{_run_folder(run)}")
         fs.mkdirs(folder)  # a run without rows has a folder too
@@ -167,7 +170,7 @@ def publish(
         assert_passed(results)
     release, stored = versions.fresh(target), {}
     for name, df in tables.items():
-        df.write.parquet(f"{release}/{(renames or {}).get(name, name)}")
+        df.write.option("compression", CODEC).parquet(f"{release}/{(renames or {}).get(name, name)}")
         stored[(renames or {}).get(name, name)] = f"{release}/{(renames or {}).get(name, name)}"
     versions.commit(spark, target, release)
     return stored
@@ -218,7 +221,7 @@ def compact(spark: SparkSession, path: str, schema: StructType, run_column: str
         if not _fragmented(spark, versions.current(spark, path), file_bytes):
             return []
         version = versions.fresh(path)
-        read_current(spark, path, schema).hint("rebalance").write.parquet(version)
+        read_current(spark, path, schema).hint("rebalance").write.option("compression", CODEC).parquet(version)
         versions.commit(spark, path, version)
         return [path]
     chosen = [run for run in runs if _fragmented(spark, versions.current(spark, _run_path(path, run), _run_place(path, run)), file_bytes)]
