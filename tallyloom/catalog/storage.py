@@ -29,7 +29,7 @@ def _entry_counts(pages):
 @query(_ENTRY_COUNTS)
 def json_directory(spark, sf):
     path = scratch_path(spark, "pages")
-    bibliometrics.publication_lines(spark, sf).select("value").write.text(path)
+    landing.write_lines(bibliometrics.publication_lines(spark, sf), path)
     return _entry_counts(files.read_json(spark, path, schemas.PUBLICATION_PAGE))
 
 
