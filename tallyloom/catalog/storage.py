@@ -44,7 +44,7 @@ def text_lines(spark, sf):
     path = scratch_path(spark, "lines")
     lines = bibliometrics.publication_lines(spark, sf)
     cut = F.when(F.col("line") == 7, F.substring("value", 1, 30)).otherwise(F.col("value"))
-    lines.select(cut.alias("value")).write.text(path)
+    landing.write_lines(lines.select(cut.alias("value")), path)
     parsed = files.parse_json_lines(files.read_text_lines(spark, path), schemas.PUBLICATION_PAGE)
     entries = F.coalesce(F.size("page.`search-results`.entry"), F.lit(0))
     return parsed.agg(

@@ -68,6 +68,7 @@ ENTRIES = [("N", 24), ("R", 24)]
     [
         (layouts.json_from_sample, "sampled-1/pages", ENTRIES),
         (storage.json_directory, "pages-1", ENTRIES),
+        (storage.text_lines, "lines-1", [(60, 6, 42, True)]),
         (layouts.landed_pages, "landing-1/pages", sorted((f"SCOPUS_ID:{k}", f"2-s2.0-{k % 5}", "second" if k % 2 else "first") for k in range(60) if k % 5)),
     ],
 )
